@@ -25,40 +25,54 @@ WEATHER_REFRESH_DAYS = 31
 MEASURES = ["tavg", "tmin", "tmax", "prcp", "snow", "wdir", "wspd", "wpgt", "pres", "tsun"]
 # --- end of fixed values ------------------------------------------------------------------------
 
-_MEASURES_DDL = ", ".join(f"{m} double" for m in MEASURES)
+_MEASURE_COLUMNS = ", ".join(f"{m} double" for m in MEASURES)
 
 
-def _ddl(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def _columns(text: str) -> T.StructType:
+    """A schema from ``name type, name type, …``; usable before a session exists."""
+    pairs = [column.split() for column in text.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # Feeds. Raw records also hold `subID` and `loc.locID`, which differ from a declared field only by
 # case; declaring both spellings is an error in Spark, so the redundant twin is left out.
+_RAW_LOCATION = _columns(
+    "locId string, name string, latitude double, longitude double, countryCode string, countryName string, "
+    "subnational1Name string, subnational1Code string, isHotspot boolean, locName string, lat double, "
+    "lng double, hierarchicalName string"
+)
+_RAW_OBSERVATION = _columns(
+    "speciesCode string, obsDt string, subId string, projId string, obsId string, howManyStr string, "
+    "present boolean"
+)
+_RAW_WEATHER = _columns(f"date string, {_MEASURE_COLUMNS}")
+
 FEEDS: dict[str, T.StructType] = {
-    "checklists": _ddl(
-        "locId string, subId string, userDisplayName string, numSpecies int, obsDt string, obsTime string, "
-        "loc struct<locId:string, name:string, latitude:double, longitude:double, countryCode:string, "
-        "countryName:string, subnational1Name:string, subnational1Code:string, isHotspot:boolean, "
-        "locName:string, lat:double, lng:double, hierarchicalName:string>"
-    ),
-    "observations": _ddl(
-        "obs array<struct<speciesCode:string, obsDt:string, subId:string, projId:string, obsId:string, "
-        "howManyStr:string, present:boolean>>"
-    ),
-    "hotspots": _ddl(
+    "checklists": _columns(
+        "locId string, subId string, userDisplayName string, numSpecies int, obsDt string, obsTime string"
+    ).add("loc", _RAW_LOCATION),
+    "observations": T.StructType().add("obs", T.ArrayType(_RAW_OBSERVATION)),
+    "hotspots": _columns(
         "locId string, locName string, countryCode string, subnational1Code string, lat double, lng double, "
         "latestObsDt string, numSpeciesAllTime int"
     ),
-    "countries": _ddl("code string, name string"),
-    "subregions": _ddl("code string, name string"),
-    "taxonomy": _ddl(
-        "speciesCode string, sciName string, comName string, category string, `order` string, "
+    "countries": _columns("code string, name string"),
+    "subregions": _columns("code string, name string"),
+    "taxonomy": _columns(
+        "speciesCode string, sciName string, comName string, category string, order string, "
         "familyCode string, familySciName string"
     ),
-    "weather": _ddl(
-        "loc_id string, obsdt date, status int, "
-        f"data array<struct<date:string, {', '.join(f'{m}:double' for m in MEASURES)}>>"
-    ),
+    "weather": _columns("loc_id string, obsdt date, status int").add("data", T.ArrayType(_RAW_WEATHER)),
 }
 
 
@@ -75,8 +89,8 @@ class TableSpec:
         return self.schema.names
 
 
-def _table(ddl: str, keys: str, month_of: str | None = None) -> TableSpec:
-    return TableSpec(_ddl(ddl), tuple(keys.split()), month_of)
+def _table(columns: str, keys: str, month_of: str | None = None) -> TableSpec:
+    return TableSpec(_columns(columns), tuple(keys.split()), month_of)
 
 
 _LOCATION_DETAILS = (
@@ -108,7 +122,7 @@ MIRROR: dict[str, TableSpec] = {
         "obsdt",
     ),
     "mrr_weather": _table(
-        f"loc_id string, obsdt date, {_MEASURES_DDL}, update_ts timestamp_ntz", "loc_id obsdt", "obsdt"
+        f"loc_id string, obsdt date, {_MEASURE_COLUMNS}, update_ts timestamp_ntz", "loc_id obsdt", "obsdt"
     ),
     "mrr_hotspots": _table(
         "locid string, locname string, countrycode string, subnational1code string, lat double, lon double, "
@@ -132,15 +146,15 @@ MIRROR: dict[str, TableSpec] = {
 }
 
 STAGING: dict[str, T.StructType] = {
-    "stg_taxonomy": _ddl(_SPECIES),
-    "stg_hotspots": _ddl(_LOCATION_DETAILS),
-    "stg_location": _ddl(_LOCATION),
-    "stg_checklist": _ddl(_CHECKLIST),
-    "stg_observation": _ddl(
+    "stg_taxonomy": _columns(_SPECIES),
+    "stg_hotspots": _columns(_LOCATION_DETAILS),
+    "stg_location": _columns(_LOCATION),
+    "stg_checklist": _columns(_CHECKLIST),
+    "stg_observation": _columns(
         "speciescode string, obsdt timestamp_ntz, subid string, obsid string, howmany int"
     ),
-    "stg_weather": _ddl(
-        f"loc_id string, obsdt timestamp_ntz, {_MEASURES_DDL}, update_ts timestamp_ntz"
+    "stg_weather": _columns(
+        f"loc_id string, obsdt timestamp_ntz, {_MEASURE_COLUMNS}, update_ts timestamp_ntz"
     ),
 }
 
@@ -153,7 +167,7 @@ STAR: dict[str, TableSpec] = {
     "dwh_dim_location": _table(_LOCATION, "locid"),
     "dwh_dim_checklist": _table(_CHECKLIST, "subid", "obsfulldt"),
     "dwh_fact_observation": _table(
-        f"subid string, speciescode string, locid string, obsdt timestamp_ntz, howmany int, {_MEASURES_DDL}",
+        f"subid string, speciescode string, locid string, obsdt timestamp_ntz, howmany int, {_MEASURE_COLUMNS}",
         "subid speciescode",
         "obsdt",
     ),
@@ -163,4 +177,4 @@ STAR: dict[str, TableSpec] = {
 
 TABLES: dict[str, TableSpec] = {**MIRROR, **STAR}
 
-LOG = _ddl("ts timestamp_ntz, event_type int, event_description string")
+LOG = _columns("ts timestamp_ntz, event_type int, event_description string")
