@@ -16,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SRC = "__s_"
 _IN_SOURCE = "__in_source"
@@ -31,6 +32,23 @@ def _has_key(keys: Sequence[str]) -> Column:
     return _all([F.col(k).isNotNull() for k in keys])
 
 
+def _conform(rows: DataFrame, target: DataFrame, filled: Sequence[str]) -> DataFrame:
+    """Rows in the target's columns and types; columns that are not ``filled`` are NULL."""
+    have = {f.name: f.dataType for f in rows.schema.fields}
+    return rows.select(
+        *[
+            _cast(F.col(f.name), have[f.name], f.dataType).alias(f.name)
+            if f.name in filled
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in target.schema.fields
+        ]
+    )
+
+
+def _cast(column: Column, have: T.DataType, want: T.DataType) -> Column:
+    return column if have == want else column.cast(want)
+
+
 def _pick_per_key(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str], copies: str | None, first: bool
 ) -> DataFrame:
@@ -102,17 +120,9 @@ def upsert(
     insert_cols = shared if insert_cols is None else [*keys, *[c for c in insert_cols if c not in keys]]
     needed = [c for c in target.columns if c in set_cols or c in insert_cols or c in keys]
     extra_order = [c for c in order_by if c not in needed]
-    types = {f.name: f.dataType for f in target.schema.fields}
-
-    def inserted(rows: DataFrame) -> DataFrame:
-        return rows.select(
-            *[
-                (F.col(c) if c in insert_cols else F.lit(None)).cast(types[c]).alias(c)
-                for c in target.columns
-            ]
-        )
-
     rows = source.select(*needed, *extra_order)
+    have = {f.name: f.dataType for f in rows.schema.fields}
+    want = {f.name: f.dataType for f in target.schema.fields}
     keyed, unkeyed = rows.filter(_has_key(keys)), rows.filter(~_has_key(keys))
     if on_duplicate == "error":
         one = _pick_per_key(keyed, keys, order_by, _COPIES, first=False)
@@ -143,11 +153,11 @@ def upsert(
 
     def merged(c: str) -> Column:
         old = F.col(c)
-        if c in keys:
-            return F.coalesce(old, F.col(_SRC + c).cast(types[c])).alias(c)
         if c not in needed:
             return old
-        new = F.col(_SRC + c).cast(types[c])
+        new = _cast(F.col(_SRC + c), have[c], want[c])
+        if c in keys:
+            return F.coalesce(old, new).alias(c)
         if c in set_cols and c in insert_cols:
             return F.when(in_source, new).otherwise(old).alias(c)
         if c in set_cols:
@@ -155,25 +165,18 @@ def upsert(
         return F.when(~in_target, new).otherwise(old).alias(c)
 
     result = joined.select(*[merged(c) for c in target.columns])
-    result = result.unionByName(target.filter(~_has_key(keys))).unionByName(inserted(unkeyed))
+    result = result.union(target.filter(~_has_key(keys))).union(_conform(unkeyed, target, insert_cols))
     if on_duplicate == "error":
         copies = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(_COPIES)).filter(F.col(_COPIES) > 1)
         unmatched_copies = keyed.join(copies, list(keys), "left_semi")
-        result = result.unionByName(inserted(unmatched_copies))
+        result = result.union(_conform(unmatched_copies, target, insert_cols))
     return result
 
 
 def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The target plus the source rows whose key it lacks; matched target rows stay untouched."""
-    types = {f.name: f.dataType for f in target.schema.fields}
     fresh = source.join(target.select(*keys), list(keys), "left_anti")
-    conformed = fresh.select(
-        *[
-            (F.col(c) if c in source.columns else F.lit(None)).cast(types[c]).alias(c)
-            for c in target.columns
-        ]
-    )
-    return target.unionByName(conformed)
+    return target.union(_conform(fresh, target, source.columns))
 
 
 def insert_ignore(
@@ -193,7 +196,7 @@ def keyed_refresh(
 
 def full_reload(target: DataFrame, source: DataFrame) -> DataFrame:
     """Truncate and copy: the source in the target's columns and types."""
-    return source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+    return _conform(source, target, source.columns)
 
 
 def update_from(
@@ -227,12 +230,15 @@ def update_from(
         )
     )
     matched = F.col(_COPIES).isNotNull()
+    have = {f.name: f.dataType for f in source.schema.fields}
     return joined.select(
         *[
-            F.when(matched, F.col(_SRC + c).cast(target.schema[c].dataType)).otherwise(F.col(c)).alias(c)
-            if c in set_cols
-            else F.col(c)
-            for c in target.columns
+            F.when(matched, _cast(F.col(_SRC + f.name), have[f.name], f.dataType))
+            .otherwise(F.col(f.name))
+            .alias(f.name)
+            if f.name in set_cols
+            else F.col(f.name)
+            for f in target.schema.fields
         ]
     )
 

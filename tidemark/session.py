@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Settings the library is written for. Shuffle partitions are left to the cluster: adaptive execution
 # coalesces them, so they only need to be high enough for the largest shuffle.
@@ -17,6 +20,18 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Capturing the Python call site of every column expression slows down plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+_ARROW = {
+    T.StringType(): pa.string(),
+    T.IntegerType(): pa.int32(),
+    T.LongType(): pa.int64(),
+    T.DoubleType(): pa.float64(),
+    T.BooleanType(): pa.bool_(),
+    T.DateType(): pa.date32(),
+    T.TimestampNTZType(): pa.timestamp("us"),
 }
 
 
@@ -39,3 +54,14 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         shared = os.path.join(tempfile.gettempdir(), "tidemark")
     return f"{shared.rstrip('/')}/tidemark-{purpose}-{uuid.uuid4().hex}"
+
+
+def small_frame(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """A few driver-side rows (pointers, log events, no rows at all) as a DataFrame.
+
+    Handed over through Arrow, which needs no Python worker on the executors.
+    """
+    columns = [
+        pa.array([row[i] for row in rows], _ARROW[field.dataType]) for i, field in enumerate(schema.fields)
+    ]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=schema.names), schema)

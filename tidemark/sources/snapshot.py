@@ -6,10 +6,12 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.session import small_frame
 from tidemark.sources.warehouse import Warehouse
 
-_COUNTS = "table string, row_count bigint"
+_COUNTS = T.StructType().add("table", "string").add("row_count", "long")
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -26,16 +28,16 @@ def snapshot(warehouse: Warehouse, path: str, tables: Iterable[str] | None = Non
         rows, seen = _counted(warehouse.table(name, state))
         rows.write.mode("error").parquet(f"{path}/{name}")
         counts[name] = seen.get["row_count"]
-    warehouse.spark.createDataFrame(list(counts.items()), _COUNTS).coalesce(1).write.mode("error").json(
-        f"{path}/row_counts"
-    )
+    manifest = small_frame(warehouse.spark, list(counts.items()), _COUNTS)
+    manifest.coalesce(1).write.mode("error").json(f"{path}/row_counts")
     return counts
 
 
 def restore(warehouse: Warehouse, path: str, batch_id: str = "restore") -> dict[str, int]:
     """Replace the tables of a snapshot, all at once, after checking every row count."""
     spark = warehouse.spark
-    counts = {r["table"]: r["row_count"] for r in spark.read.schema(_COUNTS).json(f"{path}/row_counts").collect()}
+    manifest = spark.read.schema(_COUNTS).json(f"{path}/row_counts")
+    counts = {row["table"]: row["row_count"] for row in manifest.collect()}
     publication = warehouse.begin(batch_id)
     for name, expected in counts.items():
         schema = warehouse.tables[name].schema

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tidemark.operators import incremental, merge
 from tidemark.plans.mirror import merge_by_month
 from tidemark.schemas import FACT_MARK
-from tidemark.sources.warehouse import WHOLE, Publication, Warehouse
+from tidemark.sources.warehouse import Publication, Warehouse
 
 
 def new_files(
@@ -93,14 +93,12 @@ def upsert_newer_stream(
     """
 
     def apply(publication: Publication, rows: DataFrame) -> None:
-        spark = publication.warehouse.spark
         control = publication.table("high_water_mark")
         mark = incremental.load_mark(control, mark_id)
         newer = incremental.newer_than(rows, ts_col, mark)
         _upsert_into(publication, name, newer, [ts_col])
         high = newer.agg(F.max(ts_col).alias("new_high_ts")).withColumn("table_id", F.lit(mark_id))
-        advanced = incremental.advance_marks(control, high).collect()
-        publication.write("high_water_mark", spark.createDataFrame(advanced, control.schema))
+        publication.write("high_water_mark", incremental.advance_marks(control, high))
 
     _run(stream, checkpoint, _once(warehouse, stream_id, apply))
 
