@@ -5,9 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -65,3 +67,17 @@ def small_frame(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType
         pa.array([row[i] for row in rows], _ARROW[field.dataType]) for i, field in enumerate(schema.fields)
     ]
     return spark.createDataFrame(pa.Table.from_arrays(columns, names=schema.names), schema)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on the file system it names."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(location)
+
+
+def run_together(spark: SparkSession, steps: Iterable[Callable[[], None]]) -> None:
+    """Run independent steps at the same time, so that small jobs do not wait for each other."""
+    steps = list(steps)
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]:
+            done.result()

@@ -3,32 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import partial
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import small_frame
+from tidemark.session import run_together, small_frame
+from tidemark.sources.staging import settle
 from tidemark.sources.warehouse import Warehouse
 
 _COUNTS = T.StructType().add("table", "string").add("row_count", "long")
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """The rows unchanged, counted while they are written."""
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("row_count")), seen
-
-
 def snapshot(warehouse: Warehouse, path: str, tables: Iterable[str] | None = None) -> dict[str, int]:
     """Copy the current content of the tables below ``path``; the count list is written last."""
-    state = warehouse.state()
-    counts = {}
-    for name in sorted(state.parts) if tables is None else tables:
-        rows, seen = _counted(warehouse.table(name, state))
-        rows.write.mode("error").parquet(f"{path}/{name}")
-        counts[name] = seen.get["row_count"]
-    manifest = small_frame(warehouse.spark, list(counts.items()), _COUNTS)
+    spark, state = warehouse.spark, warehouse.state()
+    counts: dict[str, int] = {}
+
+    def copy(name: str) -> None:
+        _, seen = settle(warehouse.table(name, state), f"{path}/{name}")
+        counts[name] = seen["rows"]
+
+    names = sorted(state.parts if tables is None else tables)
+    run_together(spark, [partial(copy, name) for name in names])
+    manifest = small_frame(spark, sorted(counts.items()), _COUNTS)
     manifest.coalesce(1).write.mode("error").json(f"{path}/row_counts")
     return counts
 
@@ -39,11 +36,15 @@ def restore(warehouse: Warehouse, path: str, batch_id: str = "restore") -> dict[
     manifest = spark.read.schema(_COUNTS).json(f"{path}/row_counts")
     counts = {row["table"]: row["row_count"] for row in manifest.collect()}
     publication = warehouse.begin(batch_id)
-    for name, expected in counts.items():
+
+    def load(name: str) -> None:
         schema = warehouse.tables[name].schema
-        rows, seen = _counted(spark.read.schema(schema).parquet(f"{path}/{name}"))
-        publication.write(name, rows)
-        if seen.get["row_count"] != expected:
-            raise ValueError(f"{name}: {expected} rows backed up, {seen.get['row_count']} rows read")
+        publication.write(name, spark.read.schema(schema).parquet(f"{path}/{name}"))
+        # Parquet counts come from file footers.
+        read = publication.table(name).count()
+        if read != counts[name]:
+            raise ValueError(f"{name}: {counts[name]} rows backed up, {read} rows read")
+
+    run_together(spark, [partial(load, name) for name in counts])
     publication.publish()
     return counts

@@ -1,22 +1,26 @@
 """The staging area: a folder per run with one folder per staged table.
 
-Parquet by default; CSV with a header on request, for exchange. Both keep microseconds, NULL against empty
-text, quotes and line breaks.
+Parquet by default; CSV with a header on request, for exchange. Both keep microseconds, quotes, line breaks
+and the difference between NULL and empty text; in CSV, ``\\N`` stands for NULL.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schemas import STAGING
+from tidemark.session import run_together
 
 # Quoted line breaks need multiLine, which reads a file in one task; Spark writes many files of modest size.
 _CSV = {
     "header": True,
     "escape": '"',
     "multiLine": True,
+    "nullValue": "\\N",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
 }
 ROWS_PER_CSV_FILE = 1_000_000
@@ -40,9 +44,11 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 def write_batch(batch: dict[str, DataFrame], path: str, fmt: str = "parquet") -> None:
     """Write the staged tables of a run in their declared column order and types."""
-    for name, df in batch.items():
-        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in STAGING[name].fields]
-        write_table(df.select(*columns), f"{path}/{name}", fmt)
+    spark = next(iter(batch.values())).sparkSession
+    run_together(
+        spark,
+        [partial(write_table, df.to(STAGING[name]), f"{path}/{name}", fmt) for name, df in batch.items()],
+    )
 
 
 def read_batch(spark: SparkSession, path: str, fmt: str = "parquet") -> dict[str, DataFrame]:
