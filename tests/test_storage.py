@@ -1,0 +1,127 @@
+"""Stored tables: months, publications and failed runs."""
+
+from datetime import datetime
+
+import pytest
+
+from tidemark.plans.mirror import merge_by_month
+from tidemark.operators import merge
+from tidemark.schemas import MIRROR, STAGING
+from tidemark.session import work_dir
+from tidemark.sources import feeds, staging
+from tidemark.sources.warehouse import Warehouse
+
+CHECKLIST = MIRROR["mrr_checklist"].schema
+
+
+def checklist(sub, month, who="Ana"):
+    return ("L1", sub, who, 1, datetime(2024, month, 1) if month else None)
+
+
+def store(warehouse, data, batch_id, months=None):
+    publication = warehouse.begin(batch_id)
+    publication.write("mrr_checklist", warehouse.spark.createDataFrame(data, CHECKLIST), months)
+    publication.publish()
+
+
+def test_table_never_written_is_empty(spark, tmp_path):
+    empty = Warehouse(spark, str(tmp_path)).table("mrr_checklist")
+    assert empty.columns == CHECKLIST.names and empty.count() == 0
+
+
+def test_only_touched_months_get_a_new_version(spark, tmp_path, rows):
+    warehouse = Warehouse(spark, str(tmp_path))
+    store(warehouse, [checklist("S1", 1), checklist("S2", 2), checklist("S3", 3), checklist("S4", None)], "a")
+    publication = warehouse.begin("b")
+    source = spark.createDataFrame([checklist("S1", 2, "moved"), checklist("S5", 5)], CHECKLIST)
+    merge_by_month(
+        publication, "mrr_checklist", source, lambda old, new: merge.keyed_refresh(old, new, ["subid"]), ("subid",)
+    )
+    publication.publish()
+    # S1 has left January, which is now empty; March and the rows without a time stay where they are.
+    assert warehouse.state().parts["mrr_checklist"] == {"2024-02": 2, "2024-03": 1, "2024-05": 2, "unknown": 1}
+    assert rows(warehouse.table("mrr_checklist"), "subid", "userdisplayname") == [
+        ("S1", "moved"), ("S2", "Ana"), ("S3", "Ana"), ("S4", "Ana"), ("S5", "Ana")]
+
+
+def test_unpublished_writes_stay_invisible_and_are_replaced(spark, tmp_path, rows):
+    warehouse = Warehouse(spark, str(tmp_path))
+    store(warehouse, [checklist("S1", 1)], "a")
+    warehouse.begin("lost").write("mrr_checklist", spark.createDataFrame([checklist("S2", 1)], CHECKLIST))
+    assert rows(warehouse.table("mrr_checklist"), "subid") == [("S1",)]
+    store(warehouse, [checklist("S3", 1)], "b")
+    assert rows(warehouse.table("mrr_checklist"), "subid") == [("S3",)]
+    assert warehouse.published("a") and not warehouse.published("lost")
+
+
+def test_reader_keeps_its_state_while_a_run_publishes(spark, tmp_path, rows):
+    warehouse = Warehouse(spark, str(tmp_path))
+    store(warehouse, [checklist("S1", 1)], "a")
+    before = warehouse.table("mrr_checklist")
+    store(warehouse, [checklist("S2", 1)], "b")
+    assert rows(before, "subid") == [("S1",)]
+
+
+def test_second_writer_is_refused(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    one, two = warehouse.begin("one"), warehouse.begin("two")
+    one.publish()
+    with pytest.raises(RuntimeError, match="another run"):
+        two.publish()
+
+
+def test_months_prune_folders(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    store(warehouse, [checklist("S1", 1), checklist("S2", 2)], "a")
+    february = warehouse.table("mrr_checklist", with_month=True).filter("stored_month = '2024-02'")
+    assert [f for f in february.inputFiles() if "2024-02" in f] and february.count() == 1
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_staging_keeps_values(spark, tmp_path, rows, fmt):
+    data = [("L", 'say "hi", then\nleave', 1.5, None, "", "b\\slash", datetime(2024, 1, 1, 7, 5, 0, 123456), None)]
+    staging.write_table(spark.createDataFrame(data, STAGING["stg_location"]), str(tmp_path / "t"), fmt)
+    assert rows(staging.read_table(spark, str(tmp_path / "t"), STAGING["stg_location"], fmt)) == data
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_empty_staging_table(spark, tmp_path, fmt):
+    staging.write_table(spark.createDataFrame([], STAGING["stg_weather"]), str(tmp_path / "t"), fmt)
+    assert staging.read_table(spark, str(tmp_path / "t"), STAGING["stg_weather"], fmt).count() == 0
+
+
+def test_csv_number_that_does_not_fit_fails(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b,c,d,e\nL1,S1,Ana,3.0,2024-01-01 07:05:00\n")
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
+        feeds.read_csv_by_position(spark, str(tmp_path / "t.csv"), CHECKLIST).collect()
+
+
+def test_csv_binds_by_position(spark, tmp_path, rows):
+    (tmp_path / "t.csv").write_text("subid,locid,e,d,c\nL1,S1,Ana,3,2024-01-01 07:05:00\n")
+    out = feeds.read_csv_by_position(spark, str(tmp_path / "t.csv"), CHECKLIST)
+    assert rows(out) == [("L1", "S1", "Ana", 3, datetime(2024, 1, 1, 7, 5))]
+
+
+def test_comname_dictionary_from_csv(spark, tmp_path, rows):
+    (tmp_path / "o.csv").write_text("ordersciname,orderlocale,ordercomname\nO1,ru,one\n")
+    out = feeds.read_comnames(spark, str(tmp_path / "o.csv"), MIRROR["mrr_order_comnames"].schema, "csv")
+    assert rows(out) == [("O1", "ru", "one")]
+
+
+class Session:
+    """As much of a session as the work folder needs."""
+
+    def __init__(self, **conf):
+        self.conf = {k.replace("_", "."): v for k, v in conf.items()}
+
+
+def test_work_dir_is_below_the_shared_folder():
+    session = Session(spark_checkpoint_dir="/shared/folder/", spark_master="yarn")
+    one, two = work_dir(session, "x"), work_dir(session, "x")
+    assert one.startswith("/shared/folder/tidemark-x-") and one != two
+
+
+def test_work_dir_needs_a_shared_folder_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_dir(Session(spark_master="yarn"), "x")
+    assert work_dir(Session(spark_master="local[2]"), "x")

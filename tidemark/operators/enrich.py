@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import day_parts
+from tidemark.functions.values import day_parts, whole_number
 
 
 def hotspots_with_regions(
@@ -26,7 +26,7 @@ def hotspots_with_regions(
         .join(s, "subnational1code", how)
         .select(
             "locid", "locname", "countryname", "subregionname", "lat", "lon",
-            F.col("numspeciesalltime").cast("int").alias("numspeciesalltime"), "latestobsdt",
+            whole_number(F.col("numspeciesalltime")).alias("numspeciesalltime"), "latestobsdt",
         )
     )
 

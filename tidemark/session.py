@@ -69,10 +69,11 @@ def small_frame(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType
     return spark.createDataFrame(pa.Table.from_arrays(columns, names=schema.names), schema)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on the file system it names."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(location)
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern, on the file system it names."""
+    glob = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = glob.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(glob)
+    return [status.getPath().toString() for status in found or []]
 
 
 def run_together(spark: SparkSession, steps: Iterable[Callable[[], None]]) -> None:
