@@ -111,6 +111,14 @@ def test_failed_fetch_is_skipped_or_stops_the_walk(spark):
     assert walk(spark, failing, "stop") == [("L", 1)]
 
 
+def test_response_landed_twice_counts_once(spark):
+    df = spark.createDataFrame(
+        [response("L", d(1), status=500), response("L", d(1)), response("L", d(1))], FEEDS["weather"]
+    )
+    worklist = df.select(F.col("loc_id").alias("locid"), "obsdt").distinct()
+    assert [r.status for r in weather.with_responses(worklist, df).collect()] == [200]
+
+
 def test_answer_without_data_stops_the_walk(spark):
     assert walk(spark, [response("L", d(1), records=None), response("M", d(1))], "stop") == []
 
