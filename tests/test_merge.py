@@ -108,6 +108,22 @@ def test_update_from(spark, rows):
     assert rows(out) == [(None, "t", 3), (1, "t", None), (2, "t", 2)]
 
 
+def test_key_profile(spark):
+    source = table(spark, [(1, "x", 1), (1, "y", 1), (2, "x", 1), (None, "x", 1), (None, "x", 1), (None, "y", 1)])
+    assert merge.key_profile(source, ["k"]) == merge.KeyProfile(6, 3, 2)
+    assert merge.key_profile(source, ["k"]).policy == "error"
+    assert merge.key_profile(source.filter("k = 2"), ["k"]).policy == "unique"
+    assert merge.key_profile(table(spark, []), ["k"]) == merge.KeyProfile(0, 0, 0)
+
+
+def test_update_from_a_unique_source(spark, rows):
+    source = spark.createDataFrame([(1, None), (5, 50)], "id int, b int")
+    out = merge.update_from(
+        table(spark, [(1, "t", 1), (2, "t", 2)]), source, [(F.col("k"), "id")], ["b"], on_duplicate="unique"
+    )
+    assert rows(out) == [(1, "t", None), (2, "t", 2)]
+
+
 def test_update_from_rejects_two_matches(spark, rows):
     source = spark.createDataFrame([(1, 5), (1, 6)], "id int, b int")
     with pytest.raises(Exception, match="several source rows"):

@@ -12,6 +12,7 @@ source never reaches one task whole. No side is hinted as broadcast: Spark decid
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +25,35 @@ _IN_TARGET = "__in_target"
 _COPIES = "__copies"
 
 
+@dataclass(frozen=True)
+class KeyProfile:
+    """What a look at a source's keys has shown."""
+
+    rows: int
+    null_keys: int
+    most_copies: int
+
+    @property
+    def policy(self) -> str:
+        """How ``upsert`` and ``update_from`` may treat the source."""
+        return "error" if self.most_copies > 1 else "unique"
+
+
+def key_profile(source: DataFrame, keys: Sequence[str]) -> KeyProfile:
+    """Count a source's rows, its rows without a key and the copies of its most frequent key.
+
+    One small job over the key columns, run at once. A batch that turns out unique spares its merge the
+    reduction of whole rows to one per key.
+    """
+    groups = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    row = groups.agg(
+        F.coalesce(F.sum("n"), F.lit(0)),
+        F.coalesce(F.sum(F.when(~_has_key(keys), F.col("n"))), F.lit(0)),
+        F.coalesce(F.max(F.when(_has_key(keys), F.col("n"))), F.lit(0)),
+    ).first()
+    return KeyProfile(*row)
+
+
 def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
@@ -102,6 +132,7 @@ def upsert(
     insert_cols: Sequence[str] | None = None,
     on_duplicate: str = "error",
     order_by: Sequence[str] = (),
+    null_keys: bool = True,
 ) -> DataFrame:
     """The target after ``MERGE``: update matched rows, insert the rest.
 
@@ -111,7 +142,8 @@ def upsert(
 
     ``on_duplicate``: ``"error"`` fails if two source rows match one target row and inserts every copy of
     an unmatched key; ``"latest"`` keeps one source row per key, the greatest by ``order_by``;
-    ``"unique"`` states that the caller has made the source unique on ``keys``.
+    ``"unique"`` states that the caller has made the source unique on ``keys``. ``null_keys=False`` states
+    that every source row has its key. A target is expected to hold a key once, apart from NULL keys.
     """
     if on_duplicate not in ("error", "latest", "unique"):
         raise ValueError(f"unknown on_duplicate: {on_duplicate}")
@@ -123,7 +155,7 @@ def upsert(
     rows = source.select(*needed, *extra_order)
     have = {f.name: f.dataType for f in rows.schema.fields}
     want = {f.name: f.dataType for f in target.schema.fields}
-    keyed, unkeyed = rows.filter(_has_key(keys)), rows.filter(~_has_key(keys))
+    keyed = rows.filter(_has_key(keys))
     if on_duplicate == "error":
         one = _pick_per_key(keyed, keys, order_by, _COPIES, first=False)
     elif on_duplicate == "latest":
@@ -165,7 +197,9 @@ def upsert(
         return F.when(~in_target, new).otherwise(old).alias(c)
 
     result = joined.select(*[merged(c) for c in target.columns])
-    result = result.union(target.filter(~_has_key(keys))).union(_conform(unkeyed, target, insert_cols))
+    result = result.union(target.filter(~_has_key(keys)))
+    if null_keys:
+        result = result.union(_conform(rows.filter(~_has_key(keys)), target, insert_cols))
     if on_duplicate == "error":
         copies = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(_COPIES)).filter(F.col(_COPIES) > 1)
         unmatched_copies = keyed.join(copies, list(keys), "left_semi")
@@ -204,20 +238,22 @@ def update_from(
     source: DataFrame,
     on: Sequence[tuple[Column, str]],
     set_cols: Sequence[str],
+    on_duplicate: str = "error",
 ) -> DataFrame:
     """``UPDATE … FROM``: overwrite ``set_cols`` of target rows that match a source row; insert nothing.
 
     ``on`` pairs an expression over the target with a source column. NULL in the source overwrites. Two
-    source rows matching one target row fail the query.
+    source rows matching one target row fail the query; ``on_duplicate="unique"`` states that this cannot
+    happen.
     """
     keys = [k for _, k in on]
-    one = _pick_per_key(
-        source.select(*dict.fromkeys([*keys, *set_cols])).filter(_has_key(keys)),
-        keys,
-        (),
-        _COPIES,
-        first=False,
-    )
+    one = source.select(*dict.fromkeys([*keys, *set_cols])).filter(_has_key(keys))
+    if on_duplicate == "error":
+        one = _pick_per_key(one, keys, (), _COPIES, first=False)
+    elif on_duplicate == "unique":
+        one = one.withColumn(_COPIES, F.lit(1))
+    else:
+        raise ValueError(f"unknown on_duplicate: {on_duplicate}")
     s = one.select(
         *[F.col(c).alias(_SRC + c) for c in one.columns if c != _COPIES], F.col(_COPIES)
     )
