@@ -12,7 +12,7 @@ from tidemark.plans.model import build_model
 from tidemark.plans.stage import stage
 from tidemark.sources import staging
 from tidemark.sources.oplog import BACKUP_CREATED, MIRROR_LOADED, RunLog
-from tidemark.sources.snapshot import snapshot
+from tidemark.sources.snapshot import backed_up, snapshot
 from tidemark.sources.warehouse import Warehouse
 
 
@@ -42,7 +42,7 @@ def run_once(spark: SparkSession, warehouse: Warehouse, settings: Settings, run_
     may be started again under the same id. Weather is asked for before this run's observations reach the
     model, so a new observation gets its weather in a later run.
     """
-    with RunLog(spark, settings.log, run_id, clock=lambda: run_ts) as log:
+    with RunLog(spark, settings.log, run_id) as log:
 
         def due(step: str) -> bool:
             return not warehouse.published(f"{run_id}/{step}")
@@ -82,6 +82,6 @@ def run_once(spark: SparkSession, warehouse: Warehouse, settings: Settings, run_
             )
             batch = staging.read_batch(spark, path, settings.staging_format)
             build_model(warehouse, batch, f"{run_id}/model", log)
-        if settings.backup is not None:
+        if settings.backup is not None and not backed_up(spark, f"{settings.backup}/{run_id}"):
             snapshot(warehouse, f"{settings.backup}/{run_id}")
             log.event(BACKUP_CREATED)

@@ -5,28 +5,39 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import partial
 
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from tidemark.session import run_together, small_frame
+from tidemark.session import matching_paths, run_together, small_frame
 from tidemark.sources.staging import settle
 from tidemark.sources.warehouse import Warehouse
 
 _COUNTS = T.StructType().add("table", "string").add("row_count", "long")
 
 
+def backed_up(spark: SparkSession, path: str) -> bool:
+    """Whether a finished snapshot lies below ``path``."""
+    return bool(matching_paths(spark, f"{path}/row_counts/part-*"))
+
+
 def snapshot(warehouse: Warehouse, path: str, tables: Iterable[str] | None = None) -> dict[str, int]:
-    """Copy the current content of the tables below ``path``; the count list is written last."""
+    """Copy the current content of the tables below ``path``; the count list is written last.
+
+    What an unfinished snapshot has left there is replaced; a finished one is not.
+    """
     spark, state = warehouse.spark, warehouse.state()
+    if backed_up(spark, path):
+        raise FileExistsError(f"{path} already holds a snapshot")
     counts: dict[str, int] = {}
 
     def copy(name: str) -> None:
-        _, seen = settle(warehouse.table(name, state), f"{path}/{name}")
+        _, seen = settle(warehouse.table(name, state), f"{path}/{name}", mode="overwrite")
         counts[name] = seen["rows"]
 
     names = sorted(state.parts if tables is None else tables)
     run_together(spark, [partial(copy, name) for name in names])
     manifest = small_frame(spark, sorted(counts.items()), _COUNTS)
-    manifest.coalesce(1).write.mode("error").json(f"{path}/row_counts")
+    manifest.coalesce(1).write.mode("overwrite").json(f"{path}/row_counts")
     return counts
 
 

@@ -56,7 +56,9 @@ def read_batch(spark: SparkSession, path: str, fmt: str = "parquet") -> dict[str
     return {name: read_table(spark, f"{path}/{name}", schema, fmt) for name, schema in STAGING.items()}
 
 
-def settle(df: DataFrame, path: str, **metrics: Column) -> tuple[DataFrame, dict[str, int]]:
+def settle(
+    df: DataFrame, path: str, mode: str = "error", **metrics: Column
+) -> tuple[DataFrame, dict[str, int]]:
     """Write an intermediate result that several steps read, and read it back.
 
     Cuts the lineage, so a lost executor does not bring back the work behind it, and counts on the way:
@@ -66,5 +68,5 @@ def settle(df: DataFrame, path: str, **metrics: Column) -> tuple[DataFrame, dict
     counted = df.observe(
         seen, F.count(F.lit(1)).alias("rows"), *[m.alias(name) for name, m in metrics.items()]
     )
-    counted.write.mode("error").parquet(path)
+    counted.write.mode(mode).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get
