@@ -7,6 +7,7 @@ are facts and views the weather answers of a user and day.
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,4 +32,7 @@ def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from checks import dictionaries, feed_checks, marks, merges, reporting, star, storage, streams, weather_checks  # noqa: F401, I001
+    for module in (
+        "marks", "feed_checks", "dictionaries", "merges", "star", "weather_checks", "reporting", "storage", "streams",
+    ):
+        importlib.import_module(f"checks.{module}")

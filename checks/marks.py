@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,13 @@ def hwm_observations(spark, sf):
     return incremental.newer_than(observations(spark, sf), "obsdt", mark)
 
 
+@check("hwm_lateness", f"SELECT * FROM ({OBSERVATION}) WHERE obsdt > {MARK} - INTERVAL 30 DAY")
+def hwm_lateness(spark, sf):
+    """Observations up to 30 days older than the mark are taken in as well."""
+    mark = incremental.load_mark(_control(spark, sf), FACT_MARK)
+    return incremental.newer_than(observations(spark, sf), "obsdt", mark, timedelta(days=30))
+
+
 @check("hwm_locations", f"SELECT * FROM ({LOCATION}) WHERE latestobsdt > {MARK}")
 def hwm_locations(spark, sf):
     mark = incremental.load_mark(_control(spark, sf), FACT_MARK)

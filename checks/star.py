@@ -11,17 +11,17 @@ from checks import check
 from checks.feed_checks import land_checklists, land_observations
 from checks.merges import MIRROR_UPSERT
 from checks.roles import (
-    CHECKLIST, CUT, CUT_SQL, FACT, LOCATION, OBSERVATION, SPECIES_DETAIL,
+    CHECKLIST, CUT, CUT_SQL, LOCATION, OBSERVATION, SPECIES_DETAIL,
     as_text, checklists, checklists_first, checklists_second, fact, hotspots, locations, observations, read,
     species_details,
 )
 from checks.dictionaries import hotspots_inner
-from tidemark.operators import clean, enrich, merge
+from tidemark.operators import enrich, merge
 from tidemark.plans import reports
 from tidemark.plans.mirror import ingest_observations, refresh_dictionaries
 from tidemark.plans.model import build_model
 from tidemark.plans.stage import stage
-from tidemark.schemas import FACT_MARK, MEASURES, MIRROR, STAGING, WEATHER_MARK
+from tidemark.schemas import FACT_MARK, MEASURES, STAGING, WEATHER_MARK
 from tidemark.session import work_dir
 from tidemark.sources import staging
 from tidemark.sources.warehouse import Warehouse

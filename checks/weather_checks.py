@@ -65,22 +65,22 @@ def weather_worklist(spark, sf):
     return weather.weather_worklist(known.drop("value"), user_places(spark, sf))
 
 
-def responses(spark, sf) -> DataFrame:
+def responses(spark, sf, errors: int) -> DataFrame:
     """An answer for each user and day with any event.
 
-    It holds one record, but two on days with several clicks and none on days with several views; two errors
-    are a failed fetch; very low and very high values stand for a missing and an undefined temperature.
+    It holds one record, but two on days with several clicks and none on days with several views; a day with
+    as many ``errors`` is a failed fetch; very low and very high values stand for a missing and an undefined temperature.
     """
 
-    def several(kind: str):
-        return F.count_if(F.col("event_type") == kind) >= 2
+    def at_least(n: int, kind: str):
+        return F.count_if(F.col("event_type") == kind) >= n
 
     per_day = read(spark, sf, "events").groupBy(
         F.col("user_id").alias("loc_id"), F.to_date("ts").alias("obsdt")
     ).agg(
         F.max("value").alias("v"),
-        F.when(several("click"), 2).when(several("view"), 0).otherwise(1).alias("records"),
-        F.when(several("error"), 500).otherwise(200).alias("status"),
+        F.when(at_least(2, "click"), 2).when(at_least(2, "view"), 0).otherwise(1).alias("records"),
+        F.when(at_least(errors, "error"), 500).otherwise(200).alias("status"),
     )
     tavg = F.when(F.col("v") > 200, float("nan")).when(F.col("v") >= 1, F.col("v"))
     record = F.struct(F.col("obsdt").cast("string").alias("date"), *_measures(tavg))
@@ -109,7 +109,7 @@ FROM a {stop} WHERE gap_before = 0 AND valid AND NOT failed"""
 @check("weather_gap", _WALK.format(failing="1000000000", stop=""))
 def weather_gap(spark, sf):
     """All fetches succeed: a location's days end at its first day without a valid answer."""
-    answered = responses(spark, sf).withColumn("status", F.lit(200))
+    answered = responses(spark, sf, errors=2).withColumn("status", F.lit(200))
     return weather.accepted_weather(
         weather.classify_responses(weather.with_responses(purchase_days(spark, sf), answered))
     )
@@ -118,19 +118,19 @@ def weather_gap(spark, sf):
 @check("weather_fail_skip", _WALK.format(failing="2", stop=""))
 def weather_fail_skip(spark, sf):
     classified = weather.classify_responses(
-        weather.with_responses(purchase_days(spark, sf), responses(spark, sf))
+        weather.with_responses(purchase_days(spark, sf), responses(spark, sf, errors=2))
     )
     return weather.accepted_weather(classified, "skip")
 
 
 @check(
     "weather_fail_stop",
-    _WALK.format(failing="2", stop="LEFT JOIN stop ON true")
+    _WALK.format(failing="3", stop="LEFT JOIN stop ON true")
     + " AND (stop_loc IS NULL OR locid < stop_loc OR (locid = stop_loc AND obsdt < stop_day))",
 )
 def weather_fail_stop(spark, sf):
     classified = weather.classify_responses(
-        weather.with_responses(purchase_days(spark, sf), responses(spark, sf))
+        weather.with_responses(purchase_days(spark, sf), responses(spark, sf, errors=3))
     )
     return weather.accepted_weather(classified, "stop")
 

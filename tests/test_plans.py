@@ -1,0 +1,114 @@
+"""Plans at scale: pushed filters, pruned columns and months, split hot keys, no forced broadcast."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import enrich, incremental, merge
+from tidemark.plans import reports
+from tidemark.schemas import MIRROR
+from tidemark.sources.warehouse import MONTH, Warehouse
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def executed_plan(df):
+    df._jdf.queryExecution().toRdd().count()
+    return plan(df)
+
+
+@pytest.fixture()
+def small_thresholds(spark):
+    """Sizes at which a small table behaves like a large one."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in old.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def hot_observations(spark, n=120_000):
+    """A third of the observations belong to one checklist."""
+    ids = spark.range(0, n, 1, 8)
+    hot = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 20_000)
+    return ids.select(
+        hot.alias("subid"),
+        F.concat(F.lit("s"), F.xxhash64("id").cast("string")).alias("speciescode"),
+        F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz").alias("obsdt"),
+        (F.col("id") % 50).cast("int").alias("howmany"),
+    )
+
+
+def test_hot_checklist_is_split_in_the_location_lookup(spark, small_thresholds):
+    checklists = spark.range(0, 20_000, 1, 4).select(F.col("id").alias("subid"), (F.col("id") % 7).alias("locid"))
+    located = enrich.observations_with_location(hot_observations(spark), checklists)
+    assert "skew=true" in executed_plan(located)
+    assert located.count() == 120_000 and located.filter("locid is null").count() == 0
+
+
+def test_hot_place_is_split_or_reduced_before_the_location_join(spark, small_thresholds):
+    facts = hot_observations(spark).withColumnRenamed("subid", "locid").withColumn("subid", F.lit("c"))
+    places = spark.range(0, 20_000, 1, 4).select(
+        F.col("id").alias("locid"), F.lit("n").alias("locname"), F.lit("c").alias("countryname"),
+        (F.col("id") % 7).cast("string").alias("subregionname"))
+    report = reports.seasonal_diversity(facts, places)
+    assert "skew=true" in executed_plan(report)
+    assert report.agg(F.sum("species")).first()[0] == 120_000
+
+
+def test_latest_per_key_combines_before_the_shuffle(spark):
+    latest = merge.latest_per_key(hot_observations(spark), ["subid"], ["obsdt"])
+    text = plan(latest)
+    assert "partial_max" in text and "Window" not in text
+
+
+def test_null_keys_bypass_the_shuffle(spark, tmp_path):
+    rows = hot_observations(spark).withColumn("subid", F.when(F.col("subid") > 0, F.col("subid")))
+    rows.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    merged = merge.upsert(stored, stored, ["subid", "speciescode"], on_duplicate="unique")
+    text = plan(merged)
+    # Two shuffles, for the two sides of the one join; both branches of unkeyed rows are plain scans.
+    assert text.count("Exchange hashpartitioning") + text.count("BroadcastExchange") == 2
+    assert "Or(IsNull(subid),IsNull(speciescode))" in text
+    # A third of the rows has no key in either table, and all of those stay.
+    assert merged.count() == stored.count() + stored.filter("subid is null").count()
+
+
+def test_daily_cap_limits_before_the_shuffle(spark):
+    days = hot_observations(spark).withColumn("day", F.date_add(F.to_date("obsdt"), F.col("howmany")))
+    assert "WindowGroupLimit" in plan(incremental.daily_cap(days, "day", ["obsdt"], ["speciescode"], 200))
+
+
+def test_mark_reaches_the_scan_and_prunes_months_and_columns(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    data = [("x", datetime(2024, m, 5), "S", "P", f"O{m}", 1, True) for m in (1, 2, 3)]
+    publication = warehouse.begin("a")
+    publication.write("mrr_observation", spark.createDataFrame(data, MIRROR["mrr_observation"].schema))
+    publication.publish()
+    stored = warehouse.table("mrr_observation", with_month=True)
+    recent = incremental.newer_than(stored, "obsdt", datetime(2024, 2, 10), month_col=MONTH).select("obsid")
+    text = plan(recent)
+    assert "GreaterThan(obsdt,2024-02-10T00:00)" in text
+    assert "PartitionFilters: [isnotnull(stored_month" in text
+    assert "ReadSchema: struct<obsdt:timestamp_ntz,obsid:string>" in text
+    assert [r[0] for r in recent.collect()] == ["O3"]
+
+
+def test_no_broadcast_is_forced(spark, small_thresholds):
+    codes = spark.range(100).select(F.col("id").cast("string").alias("code"), F.lit("n").alias("name"))
+    hotspots = spark.range(1000).select(
+        F.col("id").cast("string").alias("locid"), F.lit("n").alias("locname"),
+        (F.col("id") % 100).cast("string").alias("countrycode"), (F.col("id") % 100).cast("string").alias("subnational1code"),
+        F.lit(1.0).alias("lat"), F.lit(1.0).alias("lon"), F.lit(1).alias("numspeciesalltime"), F.lit(None).alias("latestobsdt"))
+    assert "Broadcast" not in plan(enrich.hotspots_with_regions(hotspots, codes, codes))

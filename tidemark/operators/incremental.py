@@ -84,7 +84,8 @@ def daily_cap(
     """The newest ``limit`` rows of each day.
 
     The rank filter is a group limit that Spark also applies before the shuffle, so a busy day sends at
-    most ``limit`` rows per map task to one place.
+    most ``limit`` rows per map task to one place. Spark does so for limits up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000).
     """
     newest_first = W.partitionBy(day_col).orderBy(
         *[F.col(c).desc() for c in order_by], *[F.col(c).asc() for c in tiebreak]
