@@ -5,13 +5,14 @@ from tidemark.session import configure
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     builder = (
         SparkSession.builder.master("local[4]")
         .appName("tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     )
     session = configure(builder).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

@@ -5,11 +5,12 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+import checks
 from compare import TABLES, counted
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+checks.load_all()
+QUERIES, ORACLE = checks.QUERIES, checks.ORACLE
 # Compositions that take many jobs; `compare.py` runs them too.
 LONG = {"star_fact_two_batches", "star_marks_two_batches", "feeds_to_star", "snapshot_roundtrip"}
 

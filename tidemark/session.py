@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -45,16 +43,11 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
+    """A fresh folder below the shared folder named by ``spark.checkpoint.dir``, else below the warehouse.
 
-    Only a local session without that setting falls back to the machine's temporary folder: on a
-    cluster such a folder is visible to one machine only and is lost with it.
+    Never a machine's temporary folder: that is visible to one machine only and is lost with it.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        shared = os.path.join(tempfile.gettempdir(), "tidemark")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/tidemark-{purpose}-{uuid.uuid4().hex}"
 
 
