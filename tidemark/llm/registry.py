@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, fingerprints, linededup, mixing, sharding, toxicity
+from tidemark.llm import decontamination, fingerprints, jaccard, linededup, mixing, sharding, toxicity
 from tidemark.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,3 +91,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_fingerprints")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(table(spark, sf_dir, "documents"))
+
+
+@query("op9_jaccard")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.jaccard_join(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
