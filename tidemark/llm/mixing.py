@@ -141,9 +141,15 @@ def repeated(mix: DataFrame, columns: list[str]) -> DataFrame:
     return mix.filter(F.col("copies") > 0).withColumn("__copy", times).select(*columns)
 
 
-def quality_weights(labels: DataFrame, by_quality: dict[int, float]) -> DataFrame:
-    """One row per labelled document: its weight by quality, the greatest if labelled more than once."""
+#: Weight of a document in the fractional epoch by its quality label; without a label it weighs 1.
+QUALITY = {0: 0.5, 1: 2.0}
+
+
+def rated(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows with ``mixing_weight``, by quality label; the greatest if labelled more than once."""
     weight = reduce(
-        lambda w, q: F.when(F.col("quality") == q, F.lit(by_quality[q])).otherwise(w), by_quality, F.lit(1.0)
+        lambda w, q: F.when(F.col("quality") == q, F.lit(QUALITY[q])).otherwise(w), QUALITY, F.lit(1.0)
     )
-    return labels.groupBy(F.col("doc_id").alias("__labelled")).agg(F.max(weight).alias("__weight"))
+    weights = labels.groupBy(F.col("doc_id").alias("__labelled")).agg(F.max(weight).alias("mixing_weight"))
+    rows = docs.drop("mixing_weight")
+    return rows.join(weights, F.col(id_col) == F.col("__labelled"), "left").drop("__labelled")

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, fingerprints, jaccard, linededup, mixing, sharding, toxicity
+import corpus_pipeline
+from tidemark.llm import (
+    decontamination,
+    fingerprints,
+    jaccard,
+    licenses,
+    linededup,
+    mixing,
+    sharding,
+    tokencounts,
+    toxicity,
+    urlfilters,
+)
 from tidemark.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,23 +63,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Weight of a document in the fractional epoch by its quality label.
-QUALITY = {0: 0.5, 1: 2.0}
-
-
-def mix_of(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    weights = mixing.quality_weights(table(spark, sf_dir, "labels"), QUALITY)
-    rated = docs.join(weights, F.col("doc_id") == F.col("__labelled"), "left").drop("__labelled")
-    return mixing.mixed(rated, quality=F.col("__weight")).drop("__weight")
-
-
 @query("op4_mixing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    weights = mixing.quality_weights(table(spark, sf_dir, "labels"), QUALITY)
     sized = docs.select("doc_id", "source", mixing.word_count("text").alias("n"), F.xxhash64("text").alias("text_hash"))
-    rated = sized.join(weights, F.col("doc_id") == F.col("__labelled"), "left")
-    mix = mixing.mixed(rated, text_col="text_hash", quality=F.col("__weight"), size=F.col("n"))
+    rated = mixing.rated(sized, table(spark, sf_dir, "labels"))
+    mix = mixing.mixed(rated, text_col="text_hash", quality=F.col("mixing_weight"), size=F.col("n"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
@@ -97,3 +98,103 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.jaccard_join(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op7_licenses")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licence_scan(table(spark, sf_dir, "documents")).drop("covers")
+
+
+@query("op10_tokencounts")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document, then after three edits made from its own text: a replacement a third of
+    the way in, a deletion two thirds in, and its first characters once more at the end."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    n = F.length("text")
+    third = F.expr("length(text) div 3")
+
+    def step(start, length, insert):
+        return F.struct(
+            start.cast("long").alias("start"), F.lit(length).cast("long").alias("length"), insert.alias("insert")
+        )
+
+    edits = F.array(
+        step(third, 10, F.substring("text", 1, 12)), step(third * 2, 5, F.lit("")), step(n + 12, 0, F.substring("text", 1, 40))
+    )
+    counted = tokencounts.counted(docs.withColumn("edits", edits))
+    return tokencounts.recounted(counted, keep_text=False)
+
+
+#: Day of a capture, and the entries of a list, made from the pages: each fifth host by its first page is
+#: put on list ``hosts`` and taken off again later, each seventh comes with its domain, and the first path
+#: step of each third page's host is listed and unlisted by the page number.
+_ENTRIES = """
+    SELECT 'hosts' AS list, concat('host:', host) AS pattern, CAST(first * 11 % 300 AS INT) AS day, true AS active
+    FROM hosts WHERE first % 5 = 0
+    UNION ALL
+    SELECT 'hosts', concat('host:', host), CAST(first * 11 % 300 + 20 + first % 40 AS INT), false
+    FROM hosts WHERE first % 10 = 0
+    UNION ALL
+    SELECT 'domains', concat('domain:', regexp_extract(host, '([^.]+\\\\.[^.]+)$', 1)), CAST(page_id % 365 AS INT), page_id % 2 = 0
+    FROM named WHERE page_id % 7 = 0 AND regexp_extract(host, '([^.]+\\\\.[^.]+)$', 1) <> ''
+    UNION ALL
+    SELECT 'paths', concat('url:', host, '/', step), CAST(page_id * 3 % 365 AS INT), page_id % 4 <> 0
+    FROM named WHERE page_id % 3 = 0 AND step <> ''
+"""
+_HOST = r"lower(regexp_replace(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1), '^.*@', ''), '\.?(:[0-9]*)?$', ''))"
+_STEP = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/+([^/?#]+)', 1)"
+
+
+def url_entries(spark: SparkSession, pages: DataFrame) -> DataFrame:
+    named = pages.select("page_id", urlfilters.host_of(F.col("url")).alias("host"), F.expr(f"""{_STEP.replace(chr(92), chr(92) * 2)} AS step"""))
+    named = named.filter("host <> ''")
+    hosts = named.groupBy("host").agg(F.min("page_id").alias("first"))
+    return spark.sql(_ENTRIES.replace("FROM hosts", "FROM {hosts}").replace("FROM named", "FROM {named}"), hosts=hosts, named=named)
+
+
+_OP3 = f"""
+WITH captures AS (SELECT page_id, url, CAST(page_id * 37 % 365 AS INT) AS fetched, {_HOST} AS host, {_STEP} AS step,
+                         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*(/[^?#]*)?', 1) AS path FROM pages),
+named AS (SELECT page_id, host, step FROM captures WHERE host <> ''),
+hosts AS (SELECT host, min(page_id) AS first FROM named GROUP BY host),
+entries AS ({_ENTRIES.replace(chr(92) * 2, chr(92))}),
+daily AS (SELECT list, pattern, day, bool_or(active) AS active FROM entries GROUP BY ALL),
+valid AS (SELECT list, pattern, day AS valid_from, active,
+                 lead(day) OVER (PARTITION BY list, pattern ORDER BY day) AS valid_to FROM daily),
+labels AS (SELECT page_id, fetched, host, string_split(host, '.') AS parts,
+                  [x FOR x IN string_split(path, '/') IF x <> ''] AS steps FROM captures WHERE host <> ''),
+asked AS (
+    SELECT DISTINCT page_id, fetched, pattern FROM (
+        SELECT page_id, fetched, 'host:' || host AS pattern FROM labels
+        UNION ALL
+        SELECT page_id, fetched, 'domain:' || array_to_string(parts[i:], '.') FROM
+            (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM labels)
+        UNION ALL
+        SELECT page_id, fetched, 'url:' || host || '/' || array_to_string(steps[1:i], '/') FROM
+            (SELECT *, unnest(range(1, len(steps) + 1)) AS i FROM labels))),
+found AS (
+    SELECT page_id, string_agg(DISTINCT list || ' ' || a.pattern, ',' ORDER BY list || ' ' || a.pattern) AS reasons,
+           count(DISTINCT list || ' ' || a.pattern) AS n_reasons
+    FROM asked a JOIN valid v ON a.pattern = v.pattern AND v.active
+     AND a.fetched >= v.valid_from AND (v.valid_to IS NULL OR a.fetched < v.valid_to)
+    GROUP BY page_id)
+SELECT c.page_id, c.host, c.fetched, f.page_id IS NOT NULL AS blocked, coalesce(f.n_reasons, 0)::INT AS n_reasons,
+       coalesce(f.reasons, '') AS reasons
+FROM captures c LEFT JOIN found f ON c.page_id = f.page_id
+"""
+
+
+@query("op3_urlfilters", _OP3)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    captures = pages.withColumn("fetched", (F.col("page_id") * 37 % 365).cast("int"))
+    found = urlfilters.filtered(captures, url_entries(spark, pages))
+    return found.select(
+        "page_id", "host", "fetched", "blocked", F.size("reasons").alias("n_reasons"),
+        F.array_join("reasons", ",").alias("reasons"),
+    )
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
