@@ -2,9 +2,11 @@
 
 A document's set are the distinct shingles of five words; two documents link if their sets share at least
 ``SIMILAR`` of their union. Documents of equal sets are one node. The shingles of a set are hashed into
-``GROUPS`` groups; how many fall into each is the node's point. For two points the sum of the smaller
-coordinates bounds the overlap of the sets from above, and so does the sum against the upper corner of an
-R-tree box, which rules out whole boxes. Pairs that survive the bound are verified on the sets themselves.
+groups; how many fall into each is the node's point. For two points the sum of the smaller coordinates
+bounds the overlap of the sets from above, and so does the sum against the upper corner of an R-tree box,
+which rules out whole boxes. Trees use ``GROUPS`` groups; larger sets have more, a multiple by a power of
+two, so that two points can be folded to the same groups and bounded once more where the tree's are too
+coarse. Pairs that survive the bounds are verified on the sets themselves.
 
 Distribution. Linked sets must share a shingle among their first quarter in any fixed order (prefix filter),
 so nodes meet only under a shared prefix shingle. The order puts shingles that many documents hold last, to
@@ -36,6 +38,7 @@ from tidemark.llm.text import mix, pieces, text_shingles
 WIDTH = 5
 SIMILAR = 75  # percent
 GROUPS = 128
+MOST_GROUPS = 1 << 14
 BLOCK = 512
 FANOUT = 16
 #: A shingle held by one in so many documents is common; at most the mean set size times this are.
@@ -55,8 +58,48 @@ def _node(shingles: np.ndarray) -> int:
     return int(mix(np.array([total]))[0].astype(np.int64))
 
 
+def _groups(n: int) -> int:
+    """Groups of a set of ``n``: about one for each four shingles, within limits."""
+    return GROUPS if n <= 4 * GROUPS else min(MOST_GROUPS, 1 << (-(-n // 4) - 1).bit_length())
+
+
+def _kind(n: int) -> type:
+    return np.uint8 if n < 1 << 8 else np.uint16 if n < 1 << 16 else np.uint32
+
+
 def _vector(shingles: np.ndarray) -> bytes:
-    return np.bincount((shingles % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.int32).tobytes()
+    n = len(shingles)
+    at = (shingles % np.uint64(_groups(n))).astype(np.int64)
+    return np.bincount(at, minlength=_groups(n)).astype(_kind(n)).tobytes()
+
+
+def _folded(vector: bytes, n: int, groups: int) -> np.ndarray:
+    """A set's point with only ``groups`` groups."""
+    return np.frombuffer(vector, _kind(n)).reshape(-1, groups).sum(0, dtype=np.int64)
+
+
+def _points(vectors: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """The points of the trees."""
+    out = np.empty((len(vectors), GROUPS), np.int32)
+    plain = sizes <= 4 * GROUPS
+    for kind, rows in ((np.uint8, plain & (sizes < 1 << 8)), (np.uint16, plain & (sizes >= 1 << 8))):
+        rows = np.flatnonzero(rows)
+        out[rows] = np.frombuffer(b"".join([vectors[i] for i in rows]), kind).reshape(-1, GROUPS)
+    for i in np.flatnonzero(~plain).tolist():
+        out[i] = _folded(vectors[i], int(sizes[i]), GROUPS)
+    return out
+
+
+def _finer(a: np.ndarray, b: np.ndarray, vectors_a, sizes_a, vectors_b, sizes_b) -> np.ndarray:
+    """Whether pairs of rows pass the bound with as many groups as both points have."""
+    keep = np.ones(len(a), dtype=bool)
+    for pair in np.flatnonzero((sizes_a[a] > 4 * GROUPS) & (sizes_b[b] > 4 * GROUPS)).tolist():
+        i, j = int(a[pair]), int(b[pair])
+        n, m = int(sizes_a[i]), int(sizes_b[j])
+        groups = min(_groups(n), _groups(m))
+        overlap = np.minimum(_folded(vectors_a[i], n, groups), _folded(vectors_b[j], m, groups)).sum()
+        keep[pair] = _enough(overlap, np.int64(n + m))
+    return keep
 
 
 _SUMMARY = "doc long, doc_id long, text_hash long, n_shingles long, node long, vector binary, common long"
@@ -90,7 +133,7 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(common):
-    """The rows (shingle, node) of each set's prefix; ``lane`` spreads common shingles."""
+    """The rows (key, node) of each set's prefix: a shingle whose lowest bit says whether it is common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, weight = common.value
@@ -117,12 +160,9 @@ def _prefixes(common):
                         often.append(np.zeros(size, dtype=bool))
                     nodes.append(np.full(size, node, np.int64))
                 if keys:
-                    key, node, often_ = np.concatenate(keys), np.concatenate(nodes), np.concatenate(often)
-                    lane = np.where(often_, mix(key ^ node.astype(np.uint64)), key)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key.astype(np.int64)), pa.array(node), pa.array(lane.astype(np.int64)), pa.array(often_)],
-                        names=["key", "node", "lane", "often"],
-                    )
+                    key = np.concatenate(keys) & ~np.uint64(1) | np.concatenate(often).astype(np.uint64)
+                    arrays = [pa.array(key.astype(np.int64)), pa.array(np.concatenate(nodes))]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["key", "node"])
 
     return run
 
@@ -136,7 +176,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if batch.num_rows == 0:
             continue
         key, node = np.asarray(batch.column("key")), np.asarray(batch.column("node"))
-        often = np.asarray(batch.column("often").to_numpy(zero_copy_only=False), dtype=bool)
+        often = (key & 1) > 0
         new_key = np.concatenate([[True], key[1:] != key[:-1]])
         fresh = new_key | np.concatenate([[True], node[1:] != node[:-1]])
         run = np.cumsum(new_key) - 1
@@ -150,18 +190,17 @@ def _enough(overlap: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return (100 + SIMILAR) * overlap >= SIMILAR * sizes
 
 
-def _points(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.int32).reshape(-1, GROUPS)
-
-
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        overlap = np.minimum(_points(batch.column("vector_a")), _points(batch.column("vector_b"))).sum(1)
-        sizes = np.asarray(batch.column("n_a")) + np.asarray(batch.column("n_b"))
-        keep = pa.array(_enough(overlap.astype(np.int64), sizes))
-        yield batch.select(["a", "b"]).filter(keep)
+        sizes = [np.asarray(batch.column(c)) for c in ("n_a", "n_b")]
+        vectors = [batch.column(c).to_pylist() for c in ("vector_a", "vector_b")]
+        overlap = np.minimum(_points(vectors[0], sizes[0]), _points(vectors[1], sizes[1])).sum(1)
+        keep = _enough(overlap.astype(np.int64), sizes[0] + sizes[1])
+        left = np.flatnonzero(keep)
+        keep[left] = _finer(left, left, vectors[0], sizes[0], vectors[1], sizes[1])
+        yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
 class Tree:
@@ -227,7 +266,9 @@ def _cell_pairs(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         keep = label[a] != label[b]
         if not cross:
             keep &= a < b
-        a, b = node[a[keep]], node[b[keep]]
+        a, b = a[keep], b[keep]
+        finer = _finer(a, b, rows["vectors"], sizes, rows["vectors"], sizes)
+        a, b = node[a[finer]], node[b[finer]]
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
@@ -240,7 +281,8 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = pa.Table.from_batches(held).combine_chunks()
         names = ("node", "label", "n", "block", "cell_a", "cell_b")
         rows = {c: np.asarray(whole.column(c)) for c in names}
-        rows["points"] = _points(whole.column("vector"))
+        rows["vectors"] = whole.column("vector").to_pylist()
+        rows["points"] = _points(rows["vectors"], rows["n"])
         yield from _cell_pairs(rows)
 
     for batch in batches:
@@ -309,23 +351,21 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _sets_of(chosen: DataFrame, texts: DataFrame, nodes: DataFrame, side: str) -> DataFrame:
+    """The sets of the chosen nodes, and of few others, computed anew from one document of each node."""
+    wanted = written(nodes.select("node", "doc").join(chosen, "node", "left_semi").select("doc"), "wanted")
+    bloom, places = _bloom(wanted, wanted.count())
+    sets = texts.select("doc", "text").mapInArrow(_needed_sets(bloom, places), "node long, shingles binary")
+    return sets.select(F.col("node").alias(side), F.col("shingles").alias(f"set_{side}"))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose sets really are similar, as a written table.
 
-    Sets are computed anew from one document of each node; a Bloom filter of these documents, of bounded
-    size, keeps all others out of the shuffle.
+    A Bloom filter of bounded size keeps the documents that are not asked for out of the shuffle.
     """
-    both = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = written(both.join(nodes.select("node", "doc"), "node"), "wanted")
-    bloom, places = _bloom(wanted.select("doc"), wanted.count())
-    sets = (
-        texts.mapInArrow(_needed_sets(bloom, places), "node long, shingles binary")
-        .join(wanted.select("node"), "node", "left_semi")
-        .dropDuplicates(["node"])
-    )
-    sets = written(sets, "sets")
-    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
-    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
+    a = _sets_of(pairs.select(F.col("a").alias("node")), texts, nodes, "a")
+    b = _sets_of(pairs.select(F.col("b").alias("node")), texts, nodes, "b")
     return written(pairs.join(b, "b").join(a, "a").mapInArrow(_linked, "a long, b long"), "links")
 
 
@@ -367,8 +407,10 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     order = np.argsort(known)
     common = spark.sparkContext.broadcast((known[order], np.asarray(often.column("times"), dtype=np.int64)[order]))
 
-    prefixes = texts.select("text").mapInArrow(_prefixes(common), "key long, node long, lane long, often boolean")
-    meetings = prefixes.repartition(n_parts, "lane").sortWithinPartitions("key", "node")
+    prefixes = texts.select("text").mapInArrow(_prefixes(common), "key long, node long")
+    # A shingle's nodes meet in one task, but those of a common one are spread.
+    lane = F.when(F.col("key").bitwiseAND(F.lit(1)) == 1, F.xxhash64("key", "node")).otherwise(F.col("key"))
+    meetings = prefixes.repartition(n_parts, lane).sortWithinPartitions("key", "node")
     shared = written(meetings.mapInArrow(_shared, "key long, node long"), "shared")
 
     # 1. Each node with the smallest node of its prefix shingles.
