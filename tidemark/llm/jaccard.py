@@ -41,8 +41,11 @@ GROUPS = 128
 MOST_GROUPS = 1 << 14
 BLOCK = 512
 FANOUT = 16
-#: A shingle held by one in so many documents is common; at most the mean set size times this are.
-COMMON = 8192
+#: Shingles are counted over so many at a time; those held by several documents at a time are added up.
+COUNTED = 1 << 22
+#: A shingle seen in so many documents is common, unless more than ``MOST_COMMON`` are seen more often.
+COMMON = 8
+MOST_COMMON = 1 << 20
 _PAIRS = 1 << 14
 
 
@@ -103,33 +106,60 @@ def _finer(a: np.ndarray, b: np.ndarray, vectors_a, sizes_a, vectors_b, sizes_b)
 
 
 _SUMMARY = "doc long, doc_id long, text_hash long, n_shingles long, node long, vector binary, common long"
+_SUMMARY_NAMES = [field.split()[0] for field in _SUMMARY.split(", ")]
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Set size, node and point of each row; and shingles seen in several documents (``common`` of them)."""
+    pending: list[np.ndarray] = []
+    size, seen = 0, set()
     for batch in batches:
         for a, sets in _sets(batch.column("text")):
             own = batch.slice(a, len(sets))
             nodes = [_node(s) if len(s) else None for s in sets]
-            _, firsts = np.unique(np.array([n or 0 for n in nodes]), return_index=True)
-            every, times = np.unique(np.concatenate([sets[i] for i in firsts]), return_counts=True)
-            often = times >= 3
-            n, m = len(sets), int(often.sum())
-            none = [None] * m
-            columns = [
-                own.column("doc").to_pylist() + none,
-                own.column("doc_id").to_pylist() + none,
-                own.column("text_hash").to_pylist() + none,
-                [len(s) for s in sets] + none,
-                nodes + every[often].astype(np.int64).tolist(),
-                [_vector(s) if len(s) else None for s in sets] + none,
-                [None] * n + times[often].tolist(),
-            ]
-            kinds = [pa.int64()] * 5 + [pa.binary(), pa.int64()]
-            names = ["doc", "doc_id", "text_hash", "n_shingles", "node", "vector", "common"]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names
-            )
+            n = pa.array([len(s) for s in sets], pa.int64())
+            vectors = pa.array([_vector(s) if len(s) else None for s in sets], pa.binary())
+            none = pa.nulls(len(sets), pa.int64())
+            columns = [*(own.column(c) for c in ("doc", "doc_id", "text_hash")), n, pa.array(nodes, pa.int64()), vectors, none]
+            yield pa.RecordBatch.from_arrays(columns, names=_SUMMARY_NAMES)
+            for node, shingles in zip(nodes, sets, strict=True):
+                if node is not None and node not in seen:  # copies count once
+                    seen.add(node)
+                    pending.append(shingles)
+                    size += len(shingles)
+            if size >= COUNTED:
+                yield _several(pending)
+                pending, size, seen = [], 0, set()
+    if pending:
+        yield _several(pending)
+
+
+def _several(sets: list[np.ndarray]) -> pa.RecordBatch:
+    every, times = np.unique(np.concatenate(sets), return_counts=True)
+    some = times > 1
+    n = int(some.sum())
+    none, longs = pa.nulls(n, pa.int64()), pa.array(every[some].astype(np.int64))
+    columns = [none, none, none, none, longs, pa.nulls(n, pa.binary()), pa.array(times[some].astype(np.int64))]
+    return pa.RecordBatch.from_arrays(columns, names=_SUMMARY_NAMES)
+
+
+def _common(summary: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Common shingles, sorted, and their counts: at most about ``MOST_COMMON``."""
+    times = (
+        summary.filter(F.col("common").isNotNull())
+        .groupBy("node")
+        .agg(F.sum("common").alias("times"))
+        .filter(F.col("times") >= COMMON)
+    )
+    times = written(times, "common")
+    n = times.count()
+    if n > MOST_COMMON:
+        cut = times.agg(F.percentile_approx("times", 1 - MOST_COMMON / n, 100_000)).first()[0]
+        times = times.filter(F.col("times") > cut)
+    often = times.toArrow()
+    known = np.asarray(often.column("node"), dtype=np.int64).astype(np.uint64)
+    order = np.argsort(known)
+    return known[order], np.asarray(often.column("times"), dtype=np.int64)[order]
 
 
 def _prefixes(common):
@@ -395,17 +425,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .agg(F.min("doc").alias("doc"), F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.max("vector").alias("vector")),
         "nodes",
     )
-    n_docs = rows.count()
-    often = (
-        summary.filter(F.col("common").isNotNull())
-        .groupBy("node")
-        .agg(F.sum("common").alias("times"))
-        .filter(F.col("times") >= max(16, n_docs // COMMON))
-        .toArrow()
-    )
-    known = np.asarray(often.column("node"), dtype=np.int64).astype(np.uint64)
-    order = np.argsort(known)
-    common = spark.sparkContext.broadcast((known[order], np.asarray(often.column("times"), dtype=np.int64)[order]))
+    common = spark.sparkContext.broadcast(_common(summary))
 
     prefixes = texts.select("text").mapInArrow(_prefixes(common), "key long, node long")
     # A shingle's nodes meet in one task, but those of a common one are spread.
