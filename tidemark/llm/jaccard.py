@@ -12,11 +12,13 @@ Distribution. Linked sets must share a shingle among their first quarter in any
 so nodes meet only under a shared prefix shingle. The order puts shingles that many documents hold last, to
 keep these meetings small; the order needs to be the same everywhere, not exact.
 
-1. Under each prefix shingle, nodes are bounded and verified against its smallest node, and linked nodes are
-   contracted to components. A group of thousands of near copies needs one pair per node here.
+1. Under each prefix shingle, nodes are bounded and verified against a pivot, and linked nodes are contracted
+   to components; ``PIVOTS`` turns take different pivots. A group of thousands of near copies needs a few
+   pairs per node here.
 2. Only shingles that still join different components go on. Their nodes are dealt into blocks of about
    ``BLOCK`` and pairs of blocks into cells; each cell packs an R-tree and searches it for pairs from
-   different components. No pair is left out, however many nodes meet.
+   different components. A pair is judged under the first such shingle that both have, and no pair is left
+   out, however many nodes meet.
 
 Nodes are 64-bit hashes of sets and shingles are 64-bit hashes of words: distinct ones are taken for equal
 with a probability of 2**-64 per pair.
@@ -40,6 +42,7 @@ SIMILAR = 75  # percent
 GROUPS = 128
 MOST_GROUPS = 1 << 14
 BLOCK = 512
+PIVOTS = 2
 FANOUT = 16
 #: Shingles are counted over so many at a time; those held by several documents at a time are added up.
 COUNTED = 1 << 22
@@ -297,6 +300,8 @@ def _cell_pairs(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         if not cross:
             keep &= a < b
         a, b = a[keep], b[keep]
+        first = np.fromiter((rows["earlier"][i].isdisjoint(rows["earlier"][j]) for i, j in zip(a, b, strict=True)), bool, len(a))
+        a, b = a[first], b[first]
         finer = _finer(a, b, rows["vectors"], sizes, rows["vectors"], sizes)
         a, b = node[a[finer]], node[b[finer]]
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
@@ -313,6 +318,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = {c: np.asarray(whole.column(c)) for c in names}
         rows["vectors"] = whole.column("vector").to_pylist()
         rows["points"] = _points(rows["vectors"], rows["n"])
+        rows["earlier"] = [frozenset(keys) for keys in whole.column("earlier").to_pylist()]
         yield from _cell_pairs(rows)
 
     for batch in batches:
@@ -399,6 +405,27 @@ def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
     return written(pairs.join(b, "b").join(a, "a").mapInArrow(_linked, "a long, b long"), "links")
 
 
+def _to_pivots(shared: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
+    """Pairs (a, b) of each node with the pivot of each of its shingles, if their components differ.
+
+    The first turn's pivot is the smallest node; later ones draw one of few orders for each shingle, so that a
+    node meets several pivots of a large group.
+    """
+    rows = shared.withColumn("label", F.col("node"))
+    if labels is not None:
+        rows = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    draw = F.xxhash64("node", F.pmod("key", F.lit(8)), F.lit(turn)) if turn else F.col("node")
+    chosen = rows.withColumn("draw", draw)
+    pivots = chosen.groupBy("key").agg(
+        F.min(F.struct("draw", "node", "label")).alias("pivot"), F.min("label").alias("least"), F.max("label").alias("most")
+    )
+    pivots = pivots.filter(F.col("least") != F.col("most")).select(
+        "key", F.col("pivot.node").alias("a"), F.col("pivot.label").alias("pivot_label")
+    )
+    met = rows.join(pivots, "key").filter(F.col("label") != F.col("pivot_label"))
+    return met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+
+
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document row: ``doc_id``, ``text_hash``, ``n_shingles`` and ``component_id``.
 
@@ -433,22 +460,19 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     meetings = prefixes.repartition(n_parts, lane).sortWithinPartitions("key", "node")
     shared = written(meetings.mapInArrow(_shared, "key long, node long"), "shared")
 
-    # 1. Each node with the smallest node of its prefix shingles.
-    smallest = shared.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("last"))
-    smallest = smallest.filter(F.col("a") != F.col("last")).drop("last")
-    to_smallest = (
-        shared.join(smallest, "key").filter(F.col("node") != F.col("a")).select("a", F.col("node").alias("b")).distinct()
-    )
+    # 1. Each node with pivots of its prefix shingles, pivots of different components only.
     point = nodes.select("node", "n", "vector")
-    close = to_smallest.join(
-        point.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("vector").alias("vector_b")), "b"
-    ).join(point.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("vector").alias("vector_a")), "a")
-    links = verified(written(close.mapInArrow(_bounded, "a long, b long"), "pairs"), texts, nodes)
-    labels = components(links)
+    point_a, point_b = (point.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("vector").alias(f"vector_{x}")) for x in "ab")
+    links, labels = None, None
+    for turn in range(PIVOTS):
+        near = _to_pivots(shared, labels, turn).join(point_b, "b").join(point_a, "a")
+        found = verified(written(near.mapInArrow(_bounded, "a long, b long"), "pairs"), texts, nodes)
+        links = found if links is None else links.union(found)
+        labels = components(links)
 
     # 2. Shingles that still join different components, each set of nodes once.
     labelled = shared.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    open_keys = (
+    open_keys = written(
         labelled.groupBy("key")
         .agg(
             F.count(F.lit(1)).alias("size"), F.min("label").alias("least"), F.max("label").alias("most"),
@@ -457,15 +481,28 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .filter(F.col("least") != F.col("most"))
         .groupBy("size", "all_nodes", "first")
         .agg(F.min("key").alias("key"))
-        .select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+        .select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")),
+        "open",
+    )
+    # A node's open shingles are at most its prefix. A pair is judged under the first one both have.
+    per_node = (
+        labelled.join(open_keys, "key")
+        .groupBy("node", "label")
+        .agg(F.sort_array(F.collect_list(F.struct("key", "blocks"))).alias("all"))
+        .join(point, "node")
+        .select("node", "label", "n", "vector", "all", F.posexplode("all").alias("nth", "own"))
+        .select(
+            "node", "label", "n", "vector", F.col("own.key").alias("key"), F.col("own.blocks").alias("blocks"),
+            F.transform(F.slice("all", F.lit(1), F.col("nth")), lambda k: k["key"]).alias("earlier"),
+        )
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    )
+    cells = per_node.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", "node", "label", "n", "vector", "earlier", "block",
+        F.least("block", "other").alias("cell_a"), F.greatest("block", "other").alias("cell_b"),
     )
-    dealt = labelled.join(open_keys, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    cells = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", "node", "label", "block", F.least("block", "other").alias("cell_a"), F.greatest("block", "other").alias("cell_b")
-    )
     searched = (
-        cells.join(point, "node")
-        .repartition(n_parts, "key", "cell_a", "cell_b")
+        cells.repartition(n_parts, "key", "cell_a", "cell_b")
         .sortWithinPartitions("key", "cell_a", "cell_b")
         .mapInArrow(_cells, "a long, b long")
     )
