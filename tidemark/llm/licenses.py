@@ -84,17 +84,23 @@ def _array(values) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def _proposals(phrase: list[str], idf: dict[str, float]) -> Column:
-    """Where the phrase may begin: as (start, index), by its highest-IDF word that the file holds."""
+def _anchor(phrase: list[str], needed: list[str], idf: dict[str, float]) -> Column:
+    """The highest-IDF word of the phrase that the file holds; NULL if it lacks one of the needed words."""
     by_rarity = sorted(set(phrase), key=lambda w: (-idf[w], w))
-    anchor = F.get(F.filter(_array(by_rarity), lambda w: F.array_contains(F.col("held"), w)), F.lit(0))
+    lacks = F.size(F.array_except(_array(sorted(set(needed))), F.col("held")))
+    return F.when(lacks == 0, F.get(F.array_intersect(_array(by_rarity), F.col("held")), F.lit(0)))
+
+
+def _proposals(phrase: list[str], anchor: Column) -> Column:
+    """Where the phrase may begin: as (start, index), by the places of its anchor."""
 
     def of_hit(h: Column, x: Column) -> Column:
         offsets = F.filter(F.sequence(F.lit(0), F.lit(len(phrase) - 1)), lambda o: F.get(_array(phrase), o) == h["word"])
         begins = F.transform(offsets, lambda o: F.struct((h["at"] - o).alias("start"), (x - o).alias("index")))
         return F.when(h["word"] == anchor, begins)
 
-    return F.flatten(F.filter(F.transform("hits", of_hit), lambda b: b.isNotNull()))
+    found = F.flatten(F.filter(F.transform("hits", of_hit), lambda b: b.isNotNull()))
+    return F.coalesce(F.when(anchor.isNotNull(), found), F.array().cast("array<struct<start:int,index:int>>"))
 
 
 def _whole(phrase: list[str], proposals: Column) -> Column:
@@ -129,23 +135,32 @@ def _cover(phrase: list[str], idf: dict[str, float], proposals: Column) -> Colum
 
 def licence_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id``, ``n_words``, ``n_base``, ``first_word``, ``last_word``, ``base_labels``, ``labels``,
-    ``score`` (greatest cover of any template or base phrase) and ``covers`` by label.
+    ``score`` (1 with a base phrase, else the greatest cover of any template whose key words the file has) and
+    ``covers`` by template.
 
     NULL and empty texts have no words, no places (first and last NULL), no labels (empty strings) and score
     0. Repeated rows get equal results. Other columns are not read, so their names cannot clash.
     """
     index = written(indexed(docs, id_col, text_col), "licences")
     idf = inverse_frequencies(index)
-    held = index.withColumn("held", F.array_distinct(F.transform("hits", lambda h: h["word"])))
-
-    proposed, phrases = {}, {}
+    # A phrase that must stand whole needs all its words, a template those of its key phrase.
+    phrases, needed = {}, {}
     for n, (_, phrase) in enumerate(BASE):
-        phrases[f"base{n}"] = phrase.split()
+        phrases[f"base{n}"] = needed[f"base{n}"] = phrase.split()
     for n, (_, template, key) in enumerate(TEMPLATES):
         phrases[f"text{n}"], phrases[f"key{n}"] = template.split(), key.split()
-    for name, phrase in phrases.items():
-        proposed[name] = _proposals(phrase, idf).alias(name)
-    looked_up = held.select("doc_id", "n_words", "hits", *proposed.values())
+        needed[f"text{n}"] = needed[f"key{n}"] = key.split()
+    # Anchors are one column that is read often, so that Spark does not work them out for every place anew.
+    held = index.withColumn("held", F.array_distinct(F.transform("hits", lambda h: h["word"])))
+    anchored = held.select(
+        "doc_id", "n_words", "hits", F.array(*[_anchor(phrases[p], needed[p], idf) for p in phrases]).alias("anchors")
+    )
+    looked_up = anchored.select(
+        "doc_id",
+        "n_words",
+        "hits",
+        *[_proposals(words_, F.get("anchors", F.lit(n))).alias(p) for n, (p, words_) in enumerate(phrases.items())],
+    )
 
     base = [_whole(phrases[f"base{n}"], F.col(f"base{n}")) for n in range(len(BASE))]
     covers = [_cover(phrases[f"text{n}"], idf, F.col(f"text{n}")) for n in range(len(TEMPLATES))]
