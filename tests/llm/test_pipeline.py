@@ -1,0 +1,58 @@
+"""The stages in turn on the smallest given tables, and the registered queries with SQL."""
+
+import os
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from compare import counted
+from tidemark.llm import registry
+from tidemark.llm.frames import table
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no given tables")
+
+
+def test_every_operator_is_registered():
+    assert {n.split("_")[0] for n in registry.QUERIES} == {*(f"op{n}" for n in range(1, 11)), "pipeline"}
+
+
+def test_stages_take_effect(spark):
+    docs = table(spark, SF, "documents")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        after = stage(spark, docs, SF)
+        assert after.columns == docs.columns
+        kept = {r.doc_id for r in after.collect()}
+        before = {r.doc_id for r in docs.select("doc_id").collect()}
+        assert kept < before and len(kept) > 0.5 * len(before), name
+        docs = after
+    mixed = corpus_pipeline.mix(spark, docs, SF)
+    assert mixed.columns == docs.columns
+    placed = corpus_pipeline.shard(spark, mixed, SF).select("position", "shard", "slot").collect()
+    assert sorted(r.position for r in placed) == list(range(mixed.count()))
+
+
+def test_stages_bear_awkward_rows(spark, awkward):
+    docs = awkward.select("doc_id", "text", "lang", "source", "n_chars")
+    for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.drop_near_duplicates, corpus_pipeline.drop_contaminated):
+        kept = stage(spark, docs, SF)
+        assert kept.columns == docs.columns
+        if stage is corpus_pipeline.drop_near_duplicates:
+            assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 4, 5, 6, 7]
+        else:
+            assert kept.count() == 9
+        assert stage(spark, docs.limit(0), SF).count() == 0
+    assert corpus_pipeline.shard(spark, docs, SF).count() == 9
+    assert corpus_pipeline.mix(spark, docs.limit(0), SF).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLE))
+def test_query_equals_sql(spark, name):
+    connection = duckdb.connect()
+    for one in ("pages", "documents", "benchmark", "labels"):
+        connection.execute(f"CREATE VIEW {one} AS SELECT * FROM '{SF}/{one}.parquet'")
+    cursor = connection.execute(registry.ORACLE[name])
+    columns = [d[0] for d in cursor.description]
+    found = registry.QUERIES[name](spark, SF)
+    assert counted(found.columns, found.collect()) == counted(columns, cursor.fetchall())

@@ -77,7 +77,7 @@ def inverse_frequencies(index: DataFrame) -> dict[str, float]:
     held = index.select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["word"]))).alias("word"))
     files = index.count()
     counts = dict(held.groupBy("word").agg(F.count(F.lit(1))).collect())
-    return {w: math.log(1.0 + files / (counts.get(w, 0) + 0.5)) for w in licence_words()}
+    return {w: math.log(1.0 + (files + 1) / (counts.get(w, 0) + 0.5)) for w in licence_words()}
 
 
 def _array(values) -> Column:
