@@ -136,18 +136,6 @@ def checklist_worklist(spark, sf):
     return incremental.observations_to_read(observations(spark, sf), worklist)
 
 
-@check(
-    "daily_cap",
-    """
-SELECT event_id, user_id, ts, CAST(ts AS DATE) AS day FROM events
-QUALIFY row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts DESC, event_id) <= 200""",
-)
-def daily_cap(spark, sf):
-    """At most 200 records per day, the newest."""
-    dated = read(spark, sf, "events").select("event_id", "user_id", "ts", F.to_date("ts").alias("day"))
-    return incremental.daily_cap(dated, "day", ["ts"], ["event_id"], 200)
-
-
 @check("feed_union_dedup", f"SELECT DISTINCT * FROM ({CHECKLIST})")
 def feed_union_dedup(spark, sf):
     """Two listings that overlap by a year: every checklist once."""

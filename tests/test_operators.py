@@ -48,11 +48,6 @@ def test_ingest_days_includes_both_ends(spark, rows):
     assert incremental.ingest_days(spark, MARK, date(2024, 1, 9)).count() == 0
 
 
-def test_daily_cap_is_per_day(spark, rows):
-    df = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (1, 4, "c"), (2, 1, "d")], "day int, t int, id string")
-    assert rows(incremental.daily_cap(df, "day", ["t"], ["id"], 2)) == [(1, 5, "a"), (1, 5, "b"), (2, 1, "d")]
-
-
 def test_hotspot_without_country(spark, rows):
     hotspots = spark.createDataFrame(
         [("L1", "n", "GE", "GE-1", 1.0, 2.0, MARK, 3), ("L2", "n", "ZZ", "GE-1", 1.0, 2.0, MARK, 3),

@@ -85,11 +85,6 @@ def test_null_keys_bypass_the_shuffle(spark, tmp_path):
     assert merged.count() == stored.count() + stored.filter("subid is null").count()
 
 
-def test_daily_cap_limits_before_the_shuffle(spark):
-    days = hot_observations(spark).withColumn("day", F.date_add(F.to_date("obsdt"), F.col("howmany")))
-    assert "WindowGroupLimit" in plan(incremental.daily_cap(days, "day", ["obsdt"], ["speciescode"], 200))
-
-
 def test_mark_reaches_the_scan_and_prunes_months_and_columns(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
     data = [("x", datetime(2024, m, 5), "S", "P", f"O{m}", 1, True) for m in (1, 2, 3)]

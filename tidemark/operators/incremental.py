@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from tidemark.functions.values import UNKNOWN_MONTH
 from tidemark.schemas import DEFAULT_MARK
@@ -76,19 +74,3 @@ def checklist_worklist(checklists: DataFrame, mark: datetime) -> DataFrame:
 def observations_to_read(observations: DataFrame, worklist: DataFrame) -> DataFrame:
     """Observations of the checklists on the worklist."""
     return observations.join(worklist, "subid", "left_semi")
-
-
-def daily_cap(
-    df: DataFrame, day_col: str, order_by: Sequence[str], tiebreak: Sequence[str], limit: int
-) -> DataFrame:
-    """The newest ``limit`` rows of each day.
-
-    The rank filter is a group limit that Spark also applies before the shuffle, so a busy day sends at
-    most ``limit`` rows per map task to one place. Spark does so for limits up to
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000).
-    """
-    newest_first = W.partitionBy(day_col).orderBy(
-        *[F.col(c).desc() for c in order_by], *[F.col(c).asc() for c in tiebreak]
-    )
-    ranked = df.withColumn("__rank", F.row_number().over(newest_first))
-    return ranked.filter(F.col("__rank") <= limit).drop("__rank")

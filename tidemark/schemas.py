@@ -18,7 +18,6 @@ FACT_MARK = "dwh_fact_observation"
 WEATHER_MARK = "mrr_fact_weather_observations"
 
 # Feed limits and intervals, in records per day and days.
-DAILY_CAP = 200
 WEATHER_REFRESH_DAYS = 31
 
 # Weather measures, in staging order.
