@@ -43,11 +43,16 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the shared folder named by ``spark.checkpoint.dir``, else below the warehouse.
+    """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
 
-    Never a machine's temporary folder: that is visible to one machine only and is lost with it.
+    Only a local session without that setting falls back, to its warehouse folder. Never a temporary folder:
+    on a cluster that is visible to one machine only and is lost with it.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        shared = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
     return f"{shared.rstrip('/')}/tidemark-{purpose}-{uuid.uuid4().hex}"
 
 
