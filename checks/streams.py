@@ -7,8 +7,8 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from checks import check
-from checks.merges import MIRROR_UPSERT
-from checks.roles import CUT, CUT_SQL, as_text, checklists_first, checklists_second, read
+from checks.merges import FIRST, MIRROR_UPSERT
+from checks.roles import CHECKLIST_SECOND, CUT, CUT_SQL, as_text, checklists_first, checklists_second, read
 from tidemark.schemas import FACT_MARK, MIRROR
 from tidemark.session import work_dir
 from tidemark.sources.warehouse import Warehouse
@@ -77,13 +77,34 @@ def stream_late(spark, sf):
     return warehouse.table("mrr_observation").select("speciescode", "obsdt", "subid", "obsid", "howmany")
 
 
+@check(
+    "stream_new_checkpoint",
+    f"""
+SELECT CAST(locid AS VARCHAR) AS locid, CAST(subid AS VARCHAR) AS subid, userdisplayname, numspecies, obsfulldt
+FROM ({FIRST} UNION ALL {CHECKLIST_SECOND})
+QUALIFY row_number() OVER (PARTITION BY subid
+    ORDER BY obsfulldt DESC NULLS LAST, userdisplayname DESC NULLS LAST, numspecies DESC NULLS LAST) = 1""",
+)
+def stream_new_checkpoint(spark, sf):
+    """The second landing is picked up under a new checkpoint, which reads both: the latest row of a key wins."""
+    root, schema = work_dir(spark, "stream"), MIRROR["mrr_checklist"].schema
+    warehouse = Warehouse(spark, f"{root}/warehouse")
+    for turn, landed in enumerate((checklists_first(spark, sf), checklists_second(spark, sf))):
+        as_text(landed, "locid", "subid").to(schema).write.mode("append").parquet(f"{root}/landing")
+        stream = ingest.new_files(spark, f"{root}/landing", schema)
+        checkpoint = f"{root}/checkpoint-{turn}"
+        ingest.upsert_stream(stream, warehouse, "mrr_checklist", checkpoint, "checklists", ["obsfulldt"])
+    return warehouse.table("mrr_checklist")
+
+
 @check("stream_dedup", "SELECT * FROM events")
 def stream_dedup(spark, sf):
-    """Purchases land twice, in different files; each event comes out once."""
+    """The later half of the events lands first, then all of them; each event comes out once."""
     root, events = work_dir(spark, "stream"), read(spark, sf, "events")
-    events.write.parquet(f"{root}/landing")
-    events.filter(F.col("event_type") == "purchase").write.mode("append").parquet(f"{root}/landing")
-    stream = ingest.new_files(spark, f"{root}/landing", events.schema)
-    unique = ingest.deduplicated(stream, ["event_id"], "ts", "31 days")
-    ingest.append_stream(unique, f"{root}/unique", f"{root}/checkpoint")
-    return spark.read.schema(events.schema).parquet(f"{root}/unique")
+    middle = events.agg(F.expr("min(ts) + (max(ts) - min(ts)) / 2").alias("middle"))
+    later = events.join(middle, events["ts"] > middle["middle"]).select(*events.columns)
+    for landed in (later, events):
+        landed.write.mode("append").parquet(f"{root}/landing")
+        stream = ingest.new_files(spark, f"{root}/landing", events.schema)
+        ingest.deduplicate_stream(stream, f"{root}/unique", f"{root}/checkpoint", ["event_id"], ["ts"])
+    return ingest.stored_batches(spark, f"{root}/unique", events.schema)

@@ -7,6 +7,7 @@ like a scheduled batch. Progress is kept in the checkpoint; results go to a :cla
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import Future
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +16,12 @@ from pyspark.sql import types as T
 from tidemark.operators import incremental, merge
 from tidemark.plans.mirror import merge_by_month
 from tidemark.schemas import FACT_MARK
+from tidemark.session import matching_paths, small_frame, work_dir
+from tidemark.sources.staging import settle
 from tidemark.sources.warehouse import Publication, Warehouse
 
+_BATCH = "stored_batch"
+
 
 def new_files(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", files_per_batch: int | None = None
@@ -28,25 +33,35 @@ def new_files(
     return reader.load(path)
 
 
-def _run(stream: DataFrame, checkpoint: str, apply: Callable[[DataFrame, int], None]) -> None:
+def _run(stream: DataFrame, checkpoint: str, apply: Callable[[DataFrame, str], None]) -> None:
+    """Hand every batch to ``apply``, with an id that only a repeat of this checkpoint's batch has again."""
+    started: Future[str] = Future()
     query = (
-        stream.writeStream.foreachBatch(apply)
+        stream.writeStream.foreachBatch(lambda rows, number: apply(rows, f"{started.result()}-{number}"))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    # The query's id is kept in its checkpoint; numbers start at 0 again in a new one.
+    started.set_result(query.id)
     query.awaitTermination()
 
 
 def _once(
     warehouse: Warehouse, stream_id: str, apply: Callable[[Publication, DataFrame], None]
-) -> Callable[[DataFrame, int], None]:
-    """A batch function that publishes each batch once, even if the stream repeats it after a failure."""
+) -> Callable[[DataFrame, str], None]:
+    """A batch function that publishes each batch once, even if the stream repeats it after a failure.
+
+    A new checkpoint reads all files again. The merge by key makes that harmless, but what counts between two
+    rows of one key is then their order, not which file came first.
+    """
 
-    def run(rows: DataFrame, number: int) -> None:
-        batch_id = f"{stream_id}-{number}"
+    def run(rows: DataFrame, batch: str) -> None:
+        batch_id = f"{stream_id}-{batch}"
         if warehouse.published(batch_id):
             return
+        # The files of a batch are read once, however often the steps below use their rows.
+        rows, _ = settle(rows, work_dir(warehouse.spark, "batch"))
         publication = warehouse.begin(batch_id)
         apply(publication, rows)
         publication.publish()
@@ -103,21 +118,30 @@ def upsert_newer_stream(
     _run(stream, checkpoint, _once(warehouse, stream_id, apply))
 
 
-def deduplicated(stream: DataFrame, keys: list[str], ts_col: str, delay: str) -> DataFrame:
-    """The first row of each key; repeats that arrive within ``delay`` of it are dropped."""
-    # A watermark needs a zoned timestamp, so a copy of the column carries it.
-    timed = stream.withColumn("__event_time", F.col(ts_col).cast("timestamp"))
-    unique = timed.withWatermark("__event_time", delay).dropDuplicatesWithinWatermark(keys)
-    return unique.drop("__event_time")
+def stored_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What ``deduplicate_stream`` has stored so far, none at all included."""
+    if not matching_paths(spark, f"{path}/{_BATCH}=*"):
+        return small_frame(spark, [], schema)
+    read = spark.read.schema(T.StructType([*schema.fields, T.StructField(_BATCH, T.StringType())]))
+    return read.parquet(path).drop(_BATCH)
 
 
-def append_stream(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Append a stream's rows to a Parquet folder, each exactly once."""
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+def deduplicate_stream(stream: DataFrame, path: str, checkpoint: str, keys: list[str], order_by: list[str]) -> None:
+    """Append the first row of each key that is not stored yet, however late it or its repeats come.
+
+    Within a batch the least ``order_by`` is first. Rows with a NULL in their key are repeats of nothing and
+    are all kept. Each batch is one folder, written anew if the stream repeats the batch, so a failure
+    neither loses nor doubles rows. A batch reads the stored keys, no other columns.
+    """
+    schema = stream.schema
+
+    def apply(rows: DataFrame, batch: str) -> None:
+        spark = rows.sparkSession
+        read = T.StructType([*schema.fields, T.StructField(_BATCH, T.StringType())])
+        fresh = merge.insert_ignore(small_frame(spark, [], schema), rows, keys, order_by)
+        if matching_paths(spark, f"{path}/{_BATCH}=*"):
+            stored = spark.read.schema(read).parquet(path).filter(F.col(_BATCH) != batch)
+            fresh = fresh.join(stored.select(*keys), keys, "left_anti").select(*schema.names)
+        fresh.write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch}")
+
+    _run(stream, checkpoint, apply)
