@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import count_or_zero, date_and_time, minute_timestamp
@@ -61,6 +61,15 @@ def clean_observations(observations: DataFrame) -> DataFrame:
     )
 
 
+def unreadable_observations() -> dict[str, Column]:
+    """Conditions on raw observations: text is there, but no value can be read from it."""
+    when, count = F.col("obsDt"), F.col("howManyStr")
+    return {
+        "time": when.isNotNull() & minute_timestamp(when).isNull(),
+        "count": count.isNotNull() & count_or_zero(count).isNull(),
+    }
+
+
 def clean_hotspots(hotspots: DataFrame) -> DataFrame:
     return hotspots.select(
         F.col("locId").alias("locid"),

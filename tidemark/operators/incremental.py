@@ -71,6 +71,15 @@ def checklist_worklist(checklists: DataFrame, mark: datetime) -> DataFrame:
     return newer_than(checklists, "obsfulldt", mark).select("subid").distinct()
 
 
+def without_view(checklists: DataFrame, observations: DataFrame) -> DataFrame:
+    """Ids of checklists none of whose observations has landed.
+
+    A checklist that states zero species has none to wait for.
+    """
+    expected = checklists.filter(F.coalesce(F.col("numspecies"), F.lit(1)) > 0).select("subid").distinct()
+    return expected.join(observations.select("subid"), "subid", "left_anti")
+
+
 def observations_to_read(observations: DataFrame, worklist: DataFrame) -> DataFrame:
     """Observations of the checklists on the worklist."""
     return observations.join(worklist, "subid", "left_semi")

@@ -33,6 +33,7 @@ class Settings:
     staging_format: str = "parquet"
     backup: str | None = None
     multi_line: bool = True
+    missing_views: str = "error"
 
 
 def run_once(spark: SparkSession, warehouse: Warehouse, settings: Settings, run_id: str, run_ts: datetime) -> None:
@@ -54,8 +55,9 @@ def run_once(spark: SparkSession, warehouse: Warehouse, settings: Settings, run_
             )
         if due("observations"):
             ingest_observations(
-                spark, settings.landing, warehouse, f"{run_id}/observations", run_ts, **shared
-            )
+                spark, settings.landing, warehouse, f"{run_id}/observations", run_ts,
+                missing_views=settings.missing_views, **shared,
+            )
         if due("weather"):
             ingest_weather(
                 spark,

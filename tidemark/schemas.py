@@ -174,6 +174,9 @@ STAR: dict[str, TableSpec] = {
     "high_water_mark": _table("table_id string, current_high_ts timestamp_ntz", "table_id"),
 }
 
-TABLES: dict[str, TableSpec] = {**MIRROR, **STAR}
+# Checklists whose view had not landed when they were ingested.
+PENDING: dict[str, TableSpec] = {"pending_view": _table("subid string", "subid")}
+
+TABLES: dict[str, TableSpec] = {**MIRROR, **STAR, **PENDING}
 
 LOG = _columns("ts timestamp_ntz, event_type int, event_description string")
