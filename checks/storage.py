@@ -22,14 +22,14 @@ def staging_roundtrip(spark, sf):
 
 
 _TEXTS = """
-SELECT doc_id, CASE WHEN lang <> 'de' THEN text END AS text, '' AS empty FROM documents"""
+SELECT doc_id, text, CASE WHEN lang <> 'de' THEN lang END AS maybe, '' AS empty FROM documents"""
 
 
 @check("staging_text_roundtrip", _TEXTS)
 def staging_text_roundtrip(spark, sf):
     """Whole texts with line breaks and quotes, empty text and NULL through CSV staging."""
     texts = read(spark, sf, "documents").select(
-        "doc_id", F.when(F.col("lang") != "de", F.col("text")).alias("text"), F.lit("").alias("empty")
+        "doc_id", "text", F.when(F.col("lang") != "de", F.col("lang")).alias("maybe"), F.lit("").alias("empty")
     )
     path = work_dir(spark, "staging")
     staging.write_table(texts, path, "csv")

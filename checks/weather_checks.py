@@ -37,18 +37,16 @@ def facts(spark, sf) -> DataFrame:
 
 
 def user_places(spark, sf) -> DataFrame:
-    """Users who signed up in the first days, as locations."""
-    early = read(spark, sf, "events").filter(
-        (F.col("event_type") == "signup") & (F.col("ts") < F.lit(datetime(2024, 1, 5)).cast("timestamp_ntz"))
-    )
-    return early.select(
+    """Users who signed up, as locations."""
+    signed = read(spark, sf, "events").filter(F.col("event_type") == "signup")
+    return signed.select(
         F.col("user_id").alias("locid"), (F.col("user_id") / 2).alias("lat"), (F.col("user_id") / 4).alias("lon")
     ).distinct()
 
 
 _PLACE = """
 SELECT DISTINCT user_id AS locid, user_id / 2.0 AS lat, user_id / 4.0 AS lon FROM events
-WHERE event_type = 'signup' AND ts < TIMESTAMP '2024-01-05'"""
+WHERE event_type = 'signup'"""
 
 
 @check(
@@ -137,18 +135,16 @@ def weather_fail_stop(spark, sf):
 
 _DAILY = """
 SELECT user_id AS loc_id, CAST(ts AS DATE) AS obsdt, max(value) AS tavg, TIMESTAMP '2024-01-31 06:00:00' AS update_ts
-FROM events WHERE event_type = 'view' AND ts < TIMESTAMP '2024-01-16' GROUP BY 1, 2"""
-_CLICKS = """
+FROM events WHERE event_type = 'view' GROUP BY 1, 2"""
+_OTHERS = """
 SELECT user_id AS loc_id, CAST(ts AS DATE) AS obsdt, value AS tavg, ts AS update_ts
-FROM events WHERE event_type = 'click' AND ts >= TIMESTAMP '2024-01-10'
+FROM events WHERE event_type <> 'view'
 QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts {order}, value {order}) = 1"""
 
 
 def _mirror(spark, sf) -> DataFrame:
-    """Stored weather: the views of the first half of the month, stamped by an earlier run."""
-    seen = read(spark, sf, "events").filter(
-        (F.col("event_type") == "view") & (F.col("ts") < F.lit(datetime(2024, 1, 16)).cast("timestamp_ntz"))
-    )
+    """Stored weather: the views, stamped by an earlier run."""
+    seen = read(spark, sf, "events").filter(F.col("event_type") == "view")
     daily = seen.groupBy(F.col("user_id").alias("loc_id"), F.to_date("ts").alias("obsdt")).agg(
         F.max("value").alias("tavg")
     )
@@ -156,10 +152,8 @@ def _mirror(spark, sf) -> DataFrame:
 
 
 def _fetched(spark, sf) -> DataFrame:
-    """New weather: clicks from the tenth on, several per day."""
-    seen = read(spark, sf, "events").filter(
-        (F.col("event_type") == "click") & (F.col("ts") >= F.lit(datetime(2024, 1, 10)).cast("timestamp_ntz"))
-    )
+    """New weather: all other events, several per day."""
+    seen = read(spark, sf, "events").filter(F.col("event_type") != "view")
     return seen.select(
         F.col("user_id").alias("loc_id"),
         F.to_date("ts").alias("obsdt"),
@@ -172,7 +166,7 @@ def _fetched(spark, sf) -> DataFrame:
     "weather_insert_ignore",
     f"""
 SELECT * FROM ({_DAILY}) UNION ALL
-SELECT c.* FROM ({_CLICKS.format(order="ASC")}) c
+SELECT c.* FROM ({_OTHERS.format(order="ASC")}) c
 WHERE NOT EXISTS (SELECT 1 FROM ({_DAILY}) d WHERE d.loc_id = c.loc_id AND d.obsdt = c.obsdt)""",
 )
 def weather_insert_ignore(spark, sf):
@@ -182,9 +176,9 @@ def weather_insert_ignore(spark, sf):
 @check(
     "weather_replace",
     f"""
-SELECT * FROM ({_CLICKS.format(order="DESC")}) UNION ALL
+SELECT * FROM ({_OTHERS.format(order="DESC")}) UNION ALL
 SELECT d.* FROM ({_DAILY}) d
-WHERE NOT EXISTS (SELECT 1 FROM ({_CLICKS.format(order="DESC")}) c WHERE d.loc_id = c.loc_id AND d.obsdt = c.obsdt)""",
+WHERE NOT EXISTS (SELECT 1 FROM ({_OTHERS.format(order="DESC")}) c WHERE d.loc_id = c.loc_id AND d.obsdt = c.obsdt)""",
 )
 def weather_replace(spark, sf):
     return merge.keyed_refresh(_mirror(spark, sf), _fetched(spark, sf), ["loc_id", "obsdt"], ["update_ts", "tavg"])
