@@ -13,8 +13,8 @@ so nodes meet only under a shared prefix shingle. The order puts shingles that m
 keep these meetings small; the order needs to be the same everywhere, not exact.
 
 1. Under each prefix shingle, nodes are bounded and verified against a pivot, and linked nodes are contracted
-   to components; ``PIVOTS`` turns take different pivots. A group of thousands of near copies needs a few
-   pairs per node here.
+   to components. The pivot, judged against all others, leaves the shingle; the next of ``PIVOTS`` turns takes
+   another one. A group of thousands of near copies needs a few pairs per node here.
 2. Only shingles that still join different components go on. Their nodes are dealt into blocks of about
    ``BLOCK`` and pairs of blocks into cells; each cell packs an R-tree and searches it for pairs from
    different components. A pair is judged under the first such shingle that both have, and no pair is left
@@ -205,6 +205,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Runs at the ends of a batch and common keys are passed on undecided.
     """
+    last = None
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -212,6 +213,8 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = (key & 1) > 0
         new_key = np.concatenate([[True], key[1:] != key[:-1]])
         fresh = new_key | np.concatenate([[True], node[1:] != node[:-1]])
+        fresh[0] = last != (key[0], node[0])
+        last = key[-1], node[-1]
         run = np.cumsum(new_key) - 1
         nodes = np.bincount(run, weights=fresh)
         keep = fresh & (often | (nodes[run] > 1) | (run == 0) | (run == run[-1]))
@@ -405,25 +408,41 @@ def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
     return written(pairs.join(b, "b").join(a, "a").mapInArrow(_linked, "a long, b long"), "links")
 
 
-def _to_pivots(shared: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
-    """Pairs (a, b) of each node with the pivot of each of its shingles, if their components differ.
+def _to_pivots(rest: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
+    """Each row (key, node) of shingles that join different components with the pivot ``a`` of its shingle.
 
-    The first turn's pivot is the smallest node; later ones draw one of few orders for each shingle, so that a
-    node meets several pivots of a large group.
+    Pivots' own rows are left out. ``apart`` says whether both are of different components, ``size`` how many
+    nodes the shingle had. The first turn's pivot is the smallest node; later ones draw one of few orders for
+    each shingle, so that a node meets several pivots of a large group.
     """
-    rows = shared.withColumn("label", F.col("node"))
-    if labels is not None:
-        rows = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    rows = _labelled(rest, labels)
     draw = F.xxhash64("node", F.pmod("key", F.lit(8)), F.lit(turn)) if turn else F.col("node")
-    chosen = rows.withColumn("draw", draw)
-    pivots = chosen.groupBy("key").agg(
-        F.min(F.struct("draw", "node", "label")).alias("pivot"), F.min("label").alias("least"), F.max("label").alias("most")
-    )
-    pivots = pivots.filter(F.col("least") != F.col("most")).select(
-        "key", F.col("pivot.node").alias("a"), F.col("pivot.label").alias("pivot_label")
-    )
-    met = rows.join(pivots, "key").filter(F.col("label") != F.col("pivot_label"))
-    return met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    pivots = (
+        rows.withColumn("draw", draw)
+        .groupBy("key")
+        .agg(
+            F.min(F.struct("draw", "node", "label")).alias("pivot"), F.min("label").alias("least"),
+            F.max("label").alias("most"), F.count(F.lit(1)).alias("size"),
+        )
+        .filter(F.col("least") != F.col("most"))
+        .select("key", "size", F.col("pivot.node").alias("a"), F.col("pivot.label").alias("pivot_label"))
+    )
+    met = rows.join(pivots, "key").filter(F.col("node") != F.col("a"))
+    return met.select("key", "node", "a", "size", (F.col("label") != F.col("pivot_label")).alias("apart"))
+
+
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The rows with their component's label; without links a node is its own."""
+    if labels is None:
+        return rows.withColumn("label", F.col("node"))
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _of_size(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs with both set sizes, if these allow the similarity."""
+    for side in "ba":
+        pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}")), side)
+    return pairs.filter(100 * F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b"))
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -461,17 +480,18 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shared = written(meetings.mapInArrow(_shared, "key long, node long"), "shared")
 
     # 1. Each node with pivots of its prefix shingles, pivots of different components only.
-    point = nodes.select("node", "n", "vector")
-    point_a, point_b = (point.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("vector").alias(f"vector_{x}")) for x in "ab")
-    links, labels = None, None
+    point_a, point_b = (nodes.select(F.col("node").alias(x), F.col("vector").alias(f"vector_{x}")) for x in "ab")
+    rest, labels = shared, None
     for turn in range(PIVOTS):
-        near = _to_pivots(shared, labels, turn).join(point_b, "b").join(point_a, "a")
+        met = written(_to_pivots(rest, labels, turn), "met")
+        apart = met.filter("apart").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+        near = _of_size(apart.distinct(), nodes).join(point_b, "b").join(point_a, "a")
         found = verified(written(near.mapInArrow(_bounded, "a long, b long"), "pairs"), texts, nodes)
-        links = found if links is None else links.union(found)
-        labels = components(links)
+        labels = components(found if labels is None else labels.toDF("a", "b").union(found))
+        rest = met.filter(F.col("size") > 2).select("key", "node")
 
     # 2. Shingles that still join different components, each set of nodes once.
-    labelled = shared.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    labelled = _labelled(rest, labels)
     open_keys = written(
         labelled.groupBy("key")
         .agg(
@@ -489,7 +509,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         labelled.join(open_keys, "key")
         .groupBy("node", "label")
         .agg(F.sort_array(F.collect_list(F.struct("key", "blocks"))).alias("all"))
-        .join(point, "node")
+        .join(nodes.select("node", "n", "vector"), "node")
         .select("node", "label", "n", "vector", "all", F.posexplode("all").alias("nth", "own"))
         .select(
             "node", "label", "n", "vector", F.col("own.key").alias("key"), F.col("own.blocks").alias("blocks"),
@@ -507,7 +527,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .mapInArrow(_cells, "a long, b long")
     )
     more = verified(written(searched.distinct(), "pairs"), texts, nodes)
-    labels = components(links.union(more))
+    labels = components(labels.toDF("a", "b").union(more))
 
     labelled = nodes.join(labels, "node", "left").select(
         "node", "doc_id", F.coalesce("label", "node").alias("label")
