@@ -40,6 +40,8 @@ from tidemark.llm.text import mix, pieces, text_shingles
 WIDTH = 5
 SIMILAR = 75  # percent
 GROUPS = 128
+#: Larger sets have more groups.
+PLAIN = 2 * GROUPS
 MOST_GROUPS = 1 << 14
 BLOCK = 512
 PIVOTS = 2
@@ -65,32 +67,29 @@ def _node(shingles: np.ndarray) -> int:
 
 
 def _groups(n: int) -> int:
-    """Groups of a set of ``n``: about one for each four shingles, within limits."""
-    return GROUPS if n <= 4 * GROUPS else min(MOST_GROUPS, 1 << (-(-n // 4) - 1).bit_length())
-
-
-def _kind(n: int) -> type:
-    return np.uint8 if n < 1 << 8 else np.uint16 if n < 1 << 16 else np.uint32
+    """Groups of a set of ``n``: about one for each two shingles, within limits."""
+    return GROUPS if n <= PLAIN else min(MOST_GROUPS, 1 << (-(-n // 2) - 1).bit_length())
 
 
 def _vector(shingles: np.ndarray) -> bytes:
-    n = len(shingles)
-    at = (shingles % np.uint64(_groups(n))).astype(np.int64)
-    return np.bincount(at, minlength=_groups(n)).astype(_kind(n)).tobytes()
+    """The counts of the groups, each in the fewest bytes that hold the largest."""
+    groups = _groups(len(shingles))
+    counts = np.bincount((shingles % np.uint64(groups)).astype(np.int64), minlength=groups)
+    return counts.astype(np.min_scalar_type(counts.max())).tobytes()
 
 
 def _folded(vector: bytes, n: int, groups: int) -> np.ndarray:
     """A set's point with only ``groups`` groups."""
-    return np.frombuffer(vector, _kind(n)).reshape(-1, groups).sum(0, dtype=np.int64)
+    kind = np.dtype(f"u{len(vector) // _groups(n)}")
+    return np.frombuffer(vector, kind).reshape(-1, groups).sum(0, dtype=np.int64)
 
 
 def _points(vectors: list[bytes], sizes: np.ndarray) -> np.ndarray:
     """The points of the trees."""
     out = np.empty((len(vectors), GROUPS), np.int32)
-    plain = sizes <= 4 * GROUPS
-    for kind, rows in ((np.uint8, plain & (sizes < 1 << 8)), (np.uint16, plain & (sizes >= 1 << 8))):
-        rows = np.flatnonzero(rows)
-        out[rows] = np.frombuffer(b"".join([vectors[i] for i in rows]), kind).reshape(-1, GROUPS)
+    plain = np.fromiter((len(v) == GROUPS for v in vectors), bool, len(vectors))
+    rows = np.flatnonzero(plain)
+    out[rows] = np.frombuffer(b"".join([vectors[i] for i in rows]), np.uint8).reshape(-1, GROUPS)
     for i in np.flatnonzero(~plain).tolist():
         out[i] = _folded(vectors[i], int(sizes[i]), GROUPS)
     return out
@@ -99,7 +98,7 @@ def _points(vectors: list[bytes], sizes: np.ndarray) -> np.ndarray:
 def _finer(a: np.ndarray, b: np.ndarray, vectors_a, sizes_a, vectors_b, sizes_b) -> np.ndarray:
     """Whether pairs of rows pass the bound with as many groups as both points have."""
     keep = np.ones(len(a), dtype=bool)
-    for pair in np.flatnonzero((sizes_a[a] > 4 * GROUPS) & (sizes_b[b] > 4 * GROUPS)).tolist():
+    for pair in np.flatnonzero((sizes_a[a] > PLAIN) & (sizes_b[b] > PLAIN)).tolist():
         i, j = int(a[pair]), int(b[pair])
         n, m = int(sizes_a[i]), int(sizes_b[j])
         groups = min(_groups(n), _groups(m))
