@@ -24,14 +24,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; documents without words stay.
+    """Of each group of near duplicates one row with its smallest id; documents without words stay.
 
-    Of rows that share that id, one stays.
+    NULL is the largest id. Of rows with the smallest id, one with the smallest hash of its text stays; ids
+    may be NULL and may repeat, in one group or in several.
     """
     found = jaccard.jaccard_join(docs)
-    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    grouped = first.filter(F.col("n_shingles") > 0).groupBy("doc_id").agg(F.min("text_hash").alias("text_hash"))
-    alone = first.filter(F.col("n_shingles") == 0).select("doc_id", "text_hash").distinct()
+    smallest = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")
+    grouped = found.filter(F.col("n_shingles") > 0).groupBy("component").agg(smallest).select("first.doc_id", "first.text_hash")
+    alone = found.filter(F.col("n_shingles") == 0).select("doc_id", "text_hash").distinct()
     kept = grouped.withColumn("grouped", F.lit(True)).unionByName(alone.withColumn("grouped", F.lit(False)))
     kept = kept.select(F.col("doc_id").alias("__kept_id"), F.col("text_hash").alias("__kept_hash"), "grouped")
     hashed = unused(docs, "text_hash")

@@ -47,6 +47,20 @@ def test_stages_bear_awkward_rows(spark, awkward):
     assert corpus_pipeline.mix(spark, docs.limit(0), SF).count() == 0
 
 
+def test_one_document_of_each_group_stays(spark, documents):
+    """Groups are told apart by their texts: ids may be NULL, repeat, or be the smallest of several groups."""
+    texts = [" ".join(f"t{k}w{i}" for i in range(40)) for k in range(6)]
+    near = [f"{t} end" for t in texts]
+    rows = [(None, texts[0], "s"), (None, texts[1], "s"), (None, near[1], "s"), (5, texts[2], "s"), (6, near[2], "s")]
+    rows += [(5, texts[3], "s"), (7, near[3], "s"), (8, texts[4], "s"), (8, texts[5], "s"), (8, texts[5], "s"), (None, near[5], "s")]
+    rows += [(None, None, "s"), (None, "", "s"), (None, None, "s")]
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, documents(rows), SF).collect()]
+    assert (None, near[1]) in kept or (None, texts[1]) in kept
+    stay = [x for x in kept if x not in ((None, near[1]), (None, texts[1]))]
+    expected = [(None, texts[0]), (5, texts[2]), (5, texts[3]), (8, texts[4]), (8, texts[5]), (None, None), (None, None), (None, "")]
+    assert sorted(stay, key=str) == sorted(expected, key=str) and len(kept) == len(expected) + 1
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()

@@ -445,13 +445,14 @@ def _of_size(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document row: ``doc_id``, ``text_hash``, ``n_shingles`` and ``component_id``.
+    """One row per document row: ``doc_id``, ``text_hash``, ``n_shingles``, ``component_id`` and ``component``.
 
     Words are what lies between white space, A-Z lower-cased. A document of fewer than five words, but not
     none, has one shingle: all of its words. Documents without words, NULL texts among them, have an empty
     set, link with nothing and are components of their own. ``component_id`` is the smallest id reachable by
-    links (rows of equal sets are linked); a NULL id counts only where there is no other. Repeated rows get
-    equal results. Ids are integers; other columns are not read.
+    links (rows of equal sets are linked); a NULL id counts only where there is no other. ``component`` tells
+    components apart whatever their ids, which may be NULL or stand in several components; it is NULL for
+    documents without words. Repeated rows get equal results. Ids are integers; other columns are not read.
     """
     spark = docs.sparkSession
     n_parts = partitions(spark)
@@ -532,8 +533,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "node", "doc_id", F.coalesce("label", "node").alias("label")
     )
     ids = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = labelled.select("node", "label").join(ids, "label").select("node", "component_id")
+    named = labelled.select("node", "label").join(ids, "label").select("node", "component_id", F.col("label").alias("component"))
     alone = F.when(F.col("n_shingles") == 0, F.col("doc_id"))
     return rows.join(named, "node", "left").select(
-        "doc_id", "text_hash", "n_shingles", F.coalesce(alone, "component_id").alias("component_id")
+        "doc_id", "text_hash", "n_shingles", F.coalesce(alone, "component_id").alias("component_id"), "component"
     )
