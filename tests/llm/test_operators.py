@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import os
 import random
 import re
 
@@ -25,6 +26,7 @@ from tidemark.llm import (
     toxicity,
     urlfilters,
 )
+from tidemark.llm.frames import table
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -168,6 +170,27 @@ def test_toxicity_learns_held_out_labels(spark, documents, awkward):
     assert toxicity.scored(awkward, empty).filter("predicted = 1").count() == 0
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no given tables")
+def test_toxicity_does_not_grow_with_length(spark, documents):
+    """Clean texts, each scored clean, joined to 300,000 words are clean; with toxic ones among them they are not."""
+    given, labels = (table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
+    known = given.join(labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id")
+    model = toxicity.fit(given, labels)
+    single = toxicity.scored(known.select("doc_id", "text", "text", "toxic").toDF("doc_id", "text", "own", "toxic"), model).collect()
+    clean, toxic = ([r.own for r in single if r.own and r.toxic == k and r.predicted == k] for k in (0, 1))
+    rng, joined, n = random.Random(15), [], 0
+    for least in (20_000, 80_000, 160_000, 300_000):
+        for _ in range(3):
+            own, size = [], 0
+            while size < least:
+                own.append(rng.choice(clean))
+                size += len(WORDS.findall(own[-1]))
+            joined += [(n, " ".join(own), "s"), (n + 1, " ".join([*own, *rng.sample(toxic, 20)]), "s")]
+            n += 2
+    got = {r.doc_id: r.predicted for r in toxicity.scored(documents(joined), model, carry=["doc_id"]).collect()}
+    assert got == {i: i % 2 for i in range(n)}
+
+
 def test_licence_places(documents, awkward):
     rows = [
         (1, "Under the MIT License. under the mit license", "s"), (2, "Apache License, Version 2.0", "s"),

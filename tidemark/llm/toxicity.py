@@ -7,12 +7,15 @@ a table of ``1 << BITS`` bins, so the model has a fixed size whatever the vocabu
 that hold the token.
 
 Scoring. One linear scan per document finds every maximal scoring segment (a run of tokens whose sum cannot
-be raised by making it longer or shorter). A document's statistic is its best sum, plus half of what its
-other segments have above ``MINOR``, less the log of its length: for the best of n chance segments that is
-the form of an extreme-value (Gumbel) law, whose location and scale are fitted to clean training text.
-Segments whose tail probability under this law is below ``SIGNIFICANT`` are reported. The score is a logistic
-curve of the statistic with the law's scale, centred where training rows are told apart with the fewest
-errors; training rows are judged by a model that has not seen them (two halves, swapped).
+be raised by making it longer or shorter). Clean text has chance segments too: of a sum s or more so many a
+token as the law ``rate * exp(-decay * (s - MINOR))`` says, which is fitted to clean training text (the decay
+from the median, which mislabelled rows hardly move). For each k, the k-th largest sum has a tail probability:
+that of k or more such segments in a text of this length, by a negative binomial law of shape ``SHAPE``, for
+texts differ in what they speak of. A document's statistic is the largest -log of tail times k (k + 1); as
+the sum of 1 / (k (k + 1)) is 1, a clean text of any length exceeds x with a probability of at most exp(-x).
+Segments that alone have a tail below ``SIGNIFICANT`` are reported. The score is a logistic curve of the
+statistic, centred where training rows are told apart with the fewest errors; training rows are judged by a
+model that has not seen them (two halves, swapped).
 
 Learning uses at most about ``max_labelled`` labelled rows (a documented bound: they are sent to every task),
 chosen by a hash of the id over the whole table. Counts cross the cluster as sums per bin.
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import plus, unused
+from tidemark.llm.frames import plus, unused, written
 from tidemark.llm.text import LETTERS, mix, pieces, utf8, word_hashes, words
 
 BITS = 20
@@ -38,20 +41,23 @@ PRIOR = 1.0
 DRIFT = 0.3
 CAUTION = 2.0
 MINOR = 2.0
+SHAPE = 4.0
 SIGNIFICANT = 0.01
 MAX_LABELLED = 100_000
 _STATISTIC_BINS = 4096
 _LOW, _HIGH = -16.0, 112.0
+#: Excesses over ``MINOR`` are counted in steps of one over this.
+_STEPS = 256
 
 
 @dataclass(frozen=True)
 class Model:
-    """Toxic and clean counts by bin at each level, the clean law, and the statistic that scores 0.5."""
+    """Toxic and clean counts by bin at each level, the law of chance segments, and the statistic that scores 0.5."""
 
     tables: list[tuple[np.ndarray, np.ndarray]]
     ratio: float
-    location: float
-    scale: float
+    rate: float
+    decay: float
     centre: float
 
 
@@ -116,11 +122,25 @@ def _scores(tables: list[tuple[np.ndarray, np.ndarray]], ratio: float, levels: l
     return np.where(log > 0, np.maximum(0.0, log - CAUTION / np.sqrt(seen + 0.5)), log) - DRIFT
 
 
-def statistic(parts: list[tuple[int, int, float]], tokens: int) -> float:
-    """What a document's segments amount to."""
-    sums = sorted((s for _, _, s in parts), reverse=True)
-    best = sums[0] if sums else 0.0
-    return best + sum(max(0.0, s - MINOR) for s in sums[1:]) / 2 - math.log(tokens + 1.0)
+def expected(sums: np.ndarray, tokens: int, rate: float, decay: float) -> np.ndarray:
+    """How many chance segments of each sum or more a clean text of so many tokens has."""
+    return tokens * rate * np.exp(np.clip(-decay * (sums - MINOR), -500.0, 500.0))
+
+
+def statistic(sums: np.ndarray, tokens: int, rate: float, decay: float) -> float:
+    """What a document's segments amount to, by their sums; only the largest may be below ``MINOR``."""
+    sums = np.sort(sums)[::-1]
+    sums = sums[: max(1, int((sums >= MINOR).sum()))]
+    if len(sums) == 0:
+        return -math.log(2.0)
+    k = np.arange(1.0, len(sums) + 1)
+    mean = expected(sums, tokens, rate, decay)
+    share = mean / (mean + SHAPE)
+    # The tail is at most its first term over one less the ratio of the second to it, as ratios fall.
+    first = np.cumsum(np.log((SHAPE + k - 1) / k)) + k * np.log(share) - SHAPE * np.log1p(mean / SHAPE)
+    ratio = (k + SHAPE) / (k + 1) * share
+    log_tail = np.where(ratio < 1, np.minimum(0.0, first - np.log(np.maximum(1e-12, 1 - ratio))), 0.0)
+    return float((-log_tail - np.log(k * (k + 1))).max())
 
 
 def labelled(labels: DataFrame, label_col: str = "toxic", most: int = MAX_LABELLED) -> DataFrame:
@@ -190,10 +210,33 @@ def _tables(
     return tables, ratio
 
 
-def _statistics(model: tuple, levels: list[np.ndarray], first: np.ndarray) -> np.ndarray:
+def _sums(model: tuple, levels: list[np.ndarray], first: np.ndarray) -> list[np.ndarray]:
+    """Each row's segment sums, without those that the statistic leaves out."""
     score = _scores(*model, levels)
-    rows = [score[first[i] : first[i + 1]] for i in range(len(first) - 1)]
-    return np.array([statistic(segments(own), len(own)) for own in rows])
+    out = []
+    for i in range(len(first) - 1):
+        sums = np.sort([s for _, _, s in segments(score[first[i] : first[i + 1]])])[::-1]
+        out.append(sums[: max(1, int((sums >= MINOR).sum()))])
+    return out
+
+
+def _law(clean: DataFrame) -> tuple[float, float]:
+    """Rate and decay of chance segments, by clean rows of ``tokens`` and ``sums``.
+
+    One segment of excess 1 is added, the mean that exact log-odds would have.
+    """
+    tokens = clean.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    excess = clean.select(F.explode("sums").alias("s")).filter(F.col("s") >= MINOR)
+    step = F.least(F.floor((F.col("s") - MINOR) * _STEPS), F.lit(int(_HIGH) * _STEPS)).cast("int")
+    found = sorted(excess.groupBy(step.alias("step")).agg(F.count(F.lit(1))).collect())  # a fixed number of steps
+    n = sum(times for _, times in found)
+    median, below = 0.0, 0
+    for at, times in found:
+        below += times
+        if 2 * below >= n:
+            median = (at + 0.5) / _STEPS
+            break
+    return (n + 1.0) / (tokens + 1.0), (n + 1.0) / (n * median / math.log(2.0) + 1.0)
 
 
 def fit(
@@ -219,12 +262,11 @@ def fit(
         documents[k] = values[bins < 0].sum()
     final = _tables(counts, documents, (0, 1))
     if not (documents[0] + documents[2]) or not (documents[1] + documents[3]):
-        return Model(*final, 0.0, 1.0, 1e6)
+        return Model(*final, 1.0, 1.0, 1e6)
     halves = spark.sparkContext.broadcast([_tables(counts, documents, (1,)), _tables(counts, documents, (0,))])
     del counts
 
-    def calibrating(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros((2, _STATISTIC_BINS), np.int64)
+    def judging(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = np.asarray(batch.column("label")) > 0
             fold = np.asarray(batch.column("fold"))
@@ -232,28 +274,37 @@ def fit(
                 for half in (0, 1):
                     rows = np.flatnonzero(fold[a:b] == half) + a
                     levels, first = token_bins(batch.column("text").take(pa.array(rows)))
-                    x = _statistics(halves.value[half], levels, first)
-                    at = np.clip((x - _LOW) / (_HIGH - _LOW) * _STATISTIC_BINS, 0, _STATISTIC_BINS - 1).astype(int)
-                    for kind in (0, 1):
-                        seen[kind] += np.bincount(at[label[rows] == kind], minlength=_STATISTIC_BINS)
+                    sums = _sums(halves.value[half], levels, first)
+                    arrays = [
+                        pa.array(label[rows].astype(np.int32)),
+                        pa.array(np.diff(first).astype(np.int64)),
+                        pa.array(sums, pa.list_(pa.float64())),
+                    ]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["label", "tokens", "sums"])
+
+    judged = written(train.mapInArrow(judging, "label int, tokens long, sums array<double>"), "toxicity")
+    halves.unpersist()
+    rate, decay = _law(judged.filter("label = 0"))
+
+    def calibrating(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((2, _STATISTIC_BINS), np.int64)
+        for batch in batches:
+            rows = zip(batch.column("sums").to_pylist(), batch.column("tokens").to_pylist(), strict=True)
+            x = np.array([statistic(np.array(sums), tokens, rate, decay) for sums, tokens in rows])
+            at = np.clip((x - _LOW) / (_HIGH - _LOW) * _STATISTIC_BINS, 0, _STATISTIC_BINS - 1).astype(int)
+            np.add.at(seen, (np.asarray(batch.column("label")), at), 1)
         kind, at = np.nonzero(seen)
         arrays = [pa.array(kind.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(seen[kind, at])]
         yield pa.RecordBatch.from_arrays(arrays, names=["label", "at", "n"])
 
-    histogram = train.mapInArrow(calibrating, "label int, at int, n long").groupBy("label", "at").agg(F.sum("n").alias("n"))
+    histogram = judged.mapInArrow(calibrating, "label int, at int, n long").groupBy("label", "at").agg(F.sum("n").alias("n"))
     seen = np.zeros((2, _STATISTIC_BINS))
     for label, at, n in histogram.collect():  # a fixed number of bins
         seen[label, at] = n
-    halves.unpersist()
-    x = _LOW + (np.arange(_STATISTIC_BINS) + 0.5) * (_HIGH - _LOW) / _STATISTIC_BINS
-    clean = seen[0] / max(1.0, seen[0].sum())
-    mean = float((clean * x).sum())
-    deviation = math.sqrt(max(1e-6, float((clean * (x - mean) ** 2).sum())))
-    scale = deviation * math.sqrt(6) / math.pi  # moments of a Gumbel law
     errors = np.concatenate([[0], np.cumsum(seen[1])]) + seen[0].sum() - np.concatenate([[0], np.cumsum(seen[0])])
     fewest = np.flatnonzero(errors == errors.min())
     centre = _LOW + float(np.median(fewest)) * (_HIGH - _LOW) / _STATISTIC_BINS
-    return Model(*final, mean - 0.5772156649 * scale, scale, centre)
+    return Model(*final, rate, decay, centre)
 
 
 def held_out(doc_id: str) -> Column:
@@ -264,7 +315,7 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", carry: list[st
     """All rows with ``score``, ``predicted`` and ``passages``; ``carry`` names the columns that stay (all).
 
     ``passages`` are the significant segments as (first token, tokens, sum, tail probability). NULL and
-    empty texts have no tokens and are scored by the calibration at 0. Repeated rows get equal results.
+    empty texts have no tokens and the lowest statistic. Repeated rows get equal results.
     Columns of the result's names are replaced.
     """
     made = ("score", "predicted", "passages")
@@ -289,9 +340,10 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", carry: list[st
                 for row in range(b - a):
                     own = score[first[row] : first[row + 1]]
                     parts = segments(own)
-                    less = math.log(len(own) + 1.0)
-                    x[row] = statistic(parts, len(own))
-                    tails = [-math.expm1(-math.exp(min(50.0, -(s - less - m.location) / m.scale))) for _, _, s in parts]
+                    sums = np.array([s for _, _, s in parts])
+                    x[row] = statistic(sums, len(own), m.rate, m.decay)
+                    mean = expected(sums, len(own), m.rate, m.decay)
+                    tails = (-np.expm1(-SHAPE * np.log1p(mean / SHAPE))).tolist()
                     found.append(
                         [
                             {"first": i, "tokens": j - i, "sum": s, "tail": t}
@@ -299,7 +351,7 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", carry: list[st
                             if t < SIGNIFICANT
                         ]
                     )
-                p = 1 / (1 + np.exp(-np.clip((x - m.centre) / m.scale, -700, 700)))
+                p = 1 / (1 + np.exp(-np.clip(x - m.centre, -700, 700)))
                 part = batch.slice(a, b - a)
                 names = [c for c in part.schema.names if c != alias]
                 arrays = [part.column(c) for c in names]
