@@ -207,6 +207,35 @@ def test_licence_places(documents, awkward):
     assert licenses.licence_scan(awkward).count() == 9 and licenses.licence_scan(awkward.limit(0)).count() == 0
 
 
+def test_licence_covers_by_brute_force(documents):
+    """A passage without the template's rarest word keeps its cover when that word stands elsewhere."""
+    rng, rows = random.Random(16), []
+    for i in range(40):
+        own = prose(rng, 30).split()
+        for _, template, key in rng.sample(licenses.TEMPLATES, 2):
+            passage = [w if w in key.split() or rng.random() < 0.8 else "other" for w in template.split()]
+            at = rng.randrange(len(own))
+            own[at:at] = passage + rng.choices(template.split(), k=rng.randrange(12)) + key.split() * rng.randrange(2)
+        rows.append((i, " ".join(own), "s"))
+    mit = "permission is hereby granted free of charge to any person {} a copy of this software"
+    rows += [(n, f"{mit.format('getting')} {'filler ' * 30}{w}", "s") for n, w in enumerate(("", *sorted(set(mit.split()) - {"{}"}), "obtaining"), 40)]
+    frame = documents(rows)
+    got = {r.doc_id: r for r in licenses.licence_scan(frame).collect()}
+    idf = licenses.inverse_frequencies(licenses.indexed(frame, "doc_id", "text"))
+    for i, t, _ in rows:
+        w, names = t.split(), set()
+        for n, (label, template, key) in enumerate(licenses.TEMPLATES):
+            p, k = template.split(), key.split()
+            shares = [sum(idf[x] for o, x in enumerate(p) if 0 <= a + o < len(w) and w[a + o] == x) for a in range(-len(p), len(w))]
+            cover = max(shares) / sum(idf[x] for x in p) if set(k) <= set(w) else 0.0
+            assert got[i].covers[n] == pytest.approx(cover), (i, label)
+            if cover >= 0.6 and any(w[a : a + len(k)] == k for a in range(len(w))):
+                names.add(label)
+        assert set(filter(None, got[i].labels.split(","))) - set(got[i].base_labels.split(",")) <= names
+        assert names <= set(got[i].labels.split(","))
+    assert got[len(rows) - 1].labels == "mit"
+
+
 def test_sketches_merge_and_estimate(spark):
     rng = random.Random(6)
     a, b = prose(rng, 3000, 5000), prose(rng, 3000, 5000)

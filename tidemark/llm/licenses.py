@@ -1,11 +1,14 @@
 """Licence scan by a positional index of rare words.
 
 Licence templates are word sequences. For each file the places of licence words are kept (all others are
-dropped at once), and their document frequencies over all files give IDF weights. A template is looked up by
-the highest-IDF of its words that the file holds; each place of that word proposes where the template
-begins. A proposal is compared with the template's postings by relative position: the share of the
-template's IDF weight found at its places is its cover. A template's label is given where its cover is high
-enough and its key phrase stands word for word.
+dropped at once), and their document frequencies over all files give IDF weights. Each place of a template's
+words proposes where the template begins. A proposal is compared with the template's postings by relative
+position: the share of the template's IDF weight found at its places is its cover. A template's label is given
+where its cover is high enough and its key phrase stands word for word.
+
+Rare words propose first: so many, by falling IDF, that the others weigh less than ``1 - COVER`` of the
+template. A place with a cover of ``COVER`` or more holds one of them, so where they find such a cover it is
+the greatest. Otherwise all words of the template propose.
 
 The base phrases are templates that must stand whole. All their words are licence words, so a phrase stands
 at consecutive entries of a file's index and every place of it is found by its rarest word.
@@ -91,6 +94,18 @@ def _anchor(phrase: list[str], needed: list[str], idf: dict[str, float]) -> Colu
     return F.when(lacks == 0, F.get(F.array_intersect(_array(by_rarity), F.col("held")), F.lit(0)))
 
 
+def _heavy(phrase: list[str], idf: dict[str, float]) -> list[str]:
+    """Words of the highest IDF, without which less than ``1 - COVER`` of the phrase's IDF weight is left."""
+    left, out = sum(idf[w] for w in phrase), []
+    most = (1 - COVER) * left * (1 - 1e-9)
+    for w in sorted(set(phrase), key=lambda w: (-idf[w], w)):
+        if left < most:
+            break
+        out.append(w)
+        left -= idf[w] * phrase.count(w)
+    return out
+
+
 def _proposals(phrase: list[str], anchor: Column) -> Column:
     """Where the phrase may begin: as (start, index), by the places of its anchor."""
 
@@ -116,21 +131,32 @@ def _whole(phrase: list[str], proposals: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(proposals, stands), lambda p: p["start"]))
 
 
-def _cover(phrase: list[str], idf: dict[str, float], proposals: Column) -> Column:
-    """The greatest share of the phrase's IDF weight found at one proposal."""
+def _cover(phrase: list[str], idf: dict[str, float], eligible: Column) -> Column:
+    """The greatest share of the phrase's IDF weight found at any place; 0 where it is not eligible."""
     total = sum(idf[w] for w in phrase)
 
-    def share(p: Column) -> Column:
-        near = F.slice("hits", F.greatest(p["index"], F.lit(0)) + 1, F.lit(len(phrase)))
+    def share(start: Column, index: Column) -> Column:
+        near = F.slice("hits", F.greatest(index, F.lit(0)) + 1, F.lit(len(phrase)))
 
         def add(sum_: Column, h: Column) -> Column:
-            at = h["at"] - p["start"]
+            at = h["at"] - start
             weight = F.when(F.get(_array(phrase), at) == h["word"], F.get(_array([idf[w] / total for w in phrase]), at))
             return sum_ + F.coalesce(weight, F.lit(0.0))
 
         return F.aggregate(near, F.lit(0.0), add)
 
-    return F.coalesce(F.array_max(F.transform(proposals, share)), F.lit(0.0))
+    def by(words_: list[str]) -> Column:
+        def of_hit(h: Column, x: Column) -> Column:
+            offsets = [(w, F.array(*[F.lit(o) for o, p in enumerate(phrase) if p == w])) for w in words_]
+            own = reduce(lambda rest, one: F.when(h["word"] == one[0], one[1]).otherwise(rest), offsets, F.lit(None))
+            return F.coalesce(F.array_max(F.transform(own, lambda o: share(h["at"] - o, x - o))), F.lit(0.0))
+
+        return F.coalesce(F.array_max(F.transform("hits", of_hit)), F.lit(0.0))
+
+    heavy = by(_heavy(phrase, idf))
+    # Held as an array of one, so that it is worked out once.
+    best = F.get(F.transform(F.array(heavy), lambda c: F.when(c >= COVER, c).otherwise(F.greatest(c, by(sorted(set(phrase)))))), F.lit(0))
+    return F.when(eligible, best).otherwise(F.lit(0.0))
 
 
 def licence_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -159,7 +185,10 @@ def licence_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "doc_id",
         "n_words",
         "hits",
-        *[_proposals(words_, F.get("anchors", F.lit(n))).alias(p) for n, (p, words_) in enumerate(phrases.items())],
+        *[
+            (F.get("anchors", F.lit(n)).isNotNull() if p.startswith("text") else _proposals(words_, F.get("anchors", F.lit(n)))).alias(p)
+            for n, (p, words_) in enumerate(phrases.items())
+        ],
     )
 
     base = [_whole(phrases[f"base{n}"], F.col(f"base{n}")) for n in range(len(BASE))]
