@@ -293,6 +293,28 @@ def test_jaccard_by_brute_force(documents, awkward, monkeypatch):
     assert jaccard.jaccard_join(awkward.limit(0)).count() == 0
 
 
+def test_jaccard_counts_links(documents):
+    rng = random.Random(18)
+    base, rows = [prose(rng, 40).split() for _ in range(3)], []
+    for i in range(40):
+        words = list(rng.choice(base))
+        for _ in range(rng.randrange(3)):
+            words[rng.randrange(len(words))] = f"new{rng.randrange(50)}"
+        rows.append((i, " ".join(words), "s"))
+    rows += [(40, rows[0][1], "s"), (41, rows[0][1].upper(), "s"), (42, None, "s"), (None, rows[1][1], "s")]
+    sets = {t: shingle_set(t) for _, t, _ in rows}
+
+    def similar(x, y):
+        shared = len(sets[x] & sets[y])
+        return sets[x] and sets[y] and 100 * shared >= 75 * (len(sets[x]) + len(sets[y]) - shared)
+
+    links = [(i or -1, sum(bool(x != t and similar(x, t)) for x in sets)) for i, t, _ in rows]
+    found = jaccard.jaccard_join(documents(rows), links=True).collect()
+    assert sorted((r.doc_id or -1, r.n_links) for r in found) == sorted(links)
+    plain = jaccard.jaccard_join(documents(rows)).collect()
+    assert sorted((r.doc_id or -1, r.component_id) for r in plain) == sorted((r.doc_id or -1, r.component_id) for r in found)
+
+
 def test_components(spark):
     rng = random.Random(9)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1, 1), (None, 4)]

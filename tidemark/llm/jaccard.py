@@ -444,7 +444,7 @@ def _of_size(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.filter(100 * F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b"))
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", links: bool = False) -> DataFrame:
     """One row per document row: ``doc_id``, ``text_hash``, ``n_shingles``, ``component_id`` and ``component``.
 
     Words are what lies between white space, A-Z lower-cased. A document of fewer than five words, but not
@@ -453,6 +453,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     links (rows of equal sets are linked); a NULL id counts only where there is no other. ``component`` tells
     components apart whatever their ids, which may be NULL or stand in several components; it is NULL for
     documents without words. Repeated rows get equal results. Ids are integers; other columns are not read.
+
+    With ``links`` also ``n_links``: how many other texts the document links with. For that every pair of nodes
+    is judged, those inside one component too, whose number can grow with the square of a group.
     """
     spark = docs.sparkSession
     n_parts = partitions(spark)
@@ -482,7 +485,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # 1. Each node with pivots of its prefix shingles, pivots of different components only.
     point_a, point_b = (nodes.select(F.col("node").alias(x), F.col("vector").alias(f"vector_{x}")) for x in "ab")
     rest, labels = shared, None
-    for turn in range(PIVOTS):
+    for turn in range(0 if links else PIVOTS):
         met = written(_to_pivots(rest, labels, turn), "met")
         apart = met.filter("apart").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
         near = _of_size(apart.distinct(), nodes).join(point_b, "b").join(point_a, "a")
@@ -527,7 +530,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .mapInArrow(_cells, "a long, b long")
     )
     more = verified(written(searched.distinct(), "pairs"), texts, nodes)
-    labels = components(labels.toDF("a", "b").union(more))
+    labels = components(more if labels is None else labels.toDF("a", "b").union(more))
 
     labelled = nodes.join(labels, "node", "left").select(
         "node", "doc_id", F.coalesce("label", "node").alias("label")
@@ -535,6 +538,13 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ids = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = labelled.select("node", "label").join(ids, "label").select("node", "component_id", F.col("label").alias("component"))
     alone = F.when(F.col("n_shingles") == 0, F.col("doc_id"))
-    return rows.join(named, "node", "left").select(
-        "doc_id", "text_hash", "n_shingles", F.coalesce(alone, "component_id").alias("component_id"), "component"
-    )
+    made = ["doc_id", "text_hash", "n_shingles", F.coalesce(alone, "component_id").alias("component_id"), "component"]
+    if links:
+        copies = rows.filter(F.col("node").isNotNull()).select("node", "text_hash").distinct().groupBy("node").agg(F.count(F.lit(1)).alias("texts"))
+        pairs = more.distinct()
+        both = pairs.select("a", F.col("b").alias("node")).union(pairs.select("b", F.col("a").alias("node")))
+        linked = both.join(copies, "node").groupBy(F.col("a").alias("node")).agg(F.sum("texts").alias("linked"))
+        counted = copies.join(linked, "node", "left")
+        named = named.join(counted.select("node", (F.coalesce("linked", F.lit(0)) + F.col("texts") - 1).alias("own")), "node")
+        made.append(F.coalesce("own", F.lit(0)).cast("long").alias("n_links"))
+    return rows.join(named, "node", "left").select(*made)
