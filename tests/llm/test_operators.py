@@ -111,6 +111,24 @@ def test_decontamination_by_brute_force(spark, documents, awkward):
     assert decontamination.contamination(awkward.limit(0), benchmark).count() == 0
 
 
+def test_frequent_passages_are_written_out_once(spark, documents, monkeypatch):
+    """Equal windows of many items at many places: each place once, and the same matches in small pieces."""
+    rng = random.Random(17)
+    opening = prose(rng, 10)
+    items = pa.array([f"{opening} end{i}" for i in range(50)])
+    strings, first = decontamination._column_words(pa.array([f"{opening} " * 40, "none", f"x {opening} end7 y"]))
+    found = decontamination._search(strings, first, decontamination._items(items), False)
+    assert len(found[0]) == 40 + 1 + 1
+    benchmark = spark.createDataFrame([(str(i), t) for i, t in enumerate(items.to_pylist())], "item_id string, text string")
+    rows = documents([(1, f"{opening} " * 40, "s"), (2, "none", "s"), (3, f"x {opening} end7 y", "s")])
+    monkeypatch.setattr(decontamination, "PAIRS", 64)
+    got = {r.doc_id: r for r in decontamination.contamination(rows, benchmark, matches="longest").collect()}
+    assert [(got[i].n_hit, got[i].n_items, got[i].longest_match) for i in (1, 2, 3)] == [(400, 50, 10), (0, 0, 0), (11, 50, 11)]
+    whole = decontamination.contamination(rows, benchmark, matches=True).collect()
+    assert {r.doc_id: max((m.words for m in r.matches), default=0) for r in whole} == {i: got[i].longest_match for i in got}
+    assert len(whole[0].matches) == 50 * 40
+
+
 def test_line_dedup_by_brute_force(documents, awkward):
     rng = random.Random(3)
     lines = [f"line number {i} of a common text" for i in range(12)] + ["short", ""]

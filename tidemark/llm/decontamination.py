@@ -29,6 +29,8 @@ WINDOW = 10
 #: Bytes of document text per suffix array, and of benchmark text per block of queries.
 SHARD_BYTES = 3 << 20
 BLOCK_BYTES = 4 << 20
+#: Pairs of test suffix and occurrence that are followed at a time.
+PAIRS = 1 << 20
 
 
 def _column_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -102,7 +104,7 @@ def _items(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarr
 
 
 def _search(strings, first, block, want_matches):
-    """Hits of one block in one shard: per occurrence its place, length and item."""
+    """Hits of one block in one shard: place and length of each window's occurrences, and items by document."""
     query_words, q_start, q_length, q_item, n_items = block
     vocabulary = strings.dictionary_encode()
     codes = np.asarray(vocabulary.indices, dtype=np.int64) + 1
@@ -115,22 +117,57 @@ def _search(strings, first, block, want_matches):
     found = pc.index_in(query_words, value_set=vocabulary.dictionary)
     query = np.asarray(pc.fill_null(found, -2), dtype=np.int64) + 1
     low, high = window_ranges(ids, order, query, q_length, q_start)
-    hits = high > low
-    occurrences = np.repeat(low[hits], (high - low)[hits])
-    within = np.arange(len(occurrences)) - np.repeat(np.cumsum((high - low)[hits]) - (high - low)[hits], (high - low)[hits])
-    at = order[occurrences + within]
-    which = np.repeat(np.flatnonzero(hits), (high - low)[hits])
+    hits = np.flatnonzero(high > low)
+    # Equal windows have one range and one length, others have neither in common: each is written out once.
+    ranges, window = np.unique(np.stack([low[hits], high[hits], q_length[hits]], axis=1), axis=0, return_inverse=True)
+    window = window.reshape(-1)
+    at, which = _written_out(order, ranges[:, 0], ranges[:, 1])
     separators = np.flatnonzero(ids == 0)
     doc = np.searchsorted(separators, at)
-    matches = None
-    if want_matches:
-        # Follow each occurrence to both ends of what document and item share.
-        item_first = np.full(n_items, len(query))
-        item_last = np.zeros(n_items, np.int64)
-        np.minimum.at(item_first, q_item, q_start)
-        np.maximum.at(item_last, q_item, q_start + q_length)
+    # The items of each window in a row, and the distinct windows of each document.
+    pairs = np.unique(np.stack([window, q_item[hits]], axis=1), axis=0)
+    begins = np.searchsorted(pairs[:, 0], np.arange(len(ranges) + 1))
+    held = np.unique(doc * np.int64(max(1, len(ranges))) + which)
+    of_doc = held // max(1, len(ranges))
+    found = {}
+    for d in np.unique(of_doc).tolist():
+        present = np.zeros(n_items, dtype=bool)
+        for w in (held[of_doc == d] % len(ranges)).tolist():
+            present[pairs[begins[w] : begins[w + 1], 1]] = True
+        found[d] = np.flatnonzero(present)
+    matches = _matches(first, block, query, ids, order, separators, hits, low, high, want_matches) if want_matches else None
+    return at, ranges[which, 2], found, ids, matches
+
+
+def _written_out(order, low, high):
+    """The places in all ranges, and the range of each."""
+    size = high - low
+    within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    return order[np.repeat(low, size) + within], np.repeat(np.arange(len(size)), size)
+
+
+def _matches(first, block, query, ids, order, separators, hits, low, high, wanted):
+    """Occurrences followed to both ends of what document and item share, as (document, item, first word, words).
+
+    Pairs of test suffix and occurrence are taken ``PAIRS`` at a time; of each piece, distinct matches stay, or
+    with ``longest`` the longest of each document.
+    """
+    _, q_start, q_length, q_item, n_items = block
+    item_first = np.full(n_items, len(query))
+    item_last = np.zeros(n_items, np.int64)
+    np.minimum.at(item_first, q_item, q_start)
+    np.maximum.at(item_last, q_item, q_start + q_length)
+    longest = np.zeros(len(separators), np.int64)
+    kept = [np.empty((0, 4), np.int64)]
+    ends = np.concatenate([[0], np.cumsum((high - low)[hits])])
+    for begin in range(0, int(ends[-1]), PAIRS):
+        pair = np.arange(begin, min(begin + PAIRS, int(ends[-1])))
+        nth = np.searchsorted(ends, pair, side="right") - 1
+        which, at = hits[nth], order[low[hits[nth]] + pair - ends[nth]]
+        doc = np.searchsorted(separators, at)
         left, right = np.zeros(len(at), np.int64), q_length[which].copy()
-        for side in (-1, 1):
+        # The longest match is found whole from its first window.
+        for side in (1,) if wanted == "longest" else (-1, 1):
             live = np.arange(len(at))
             while len(live):
                 if side < 0:
@@ -143,10 +180,11 @@ def _search(strings, first, block, want_matches):
                 same = ok & (query[np.clip(q, 0, len(query) - 1)] == ids[np.clip(t, 0, len(ids) - 1)])
                 live = live[same]
                 (left if side < 0 else right)[live] += 1
-        matches = np.unique(
-            np.stack([doc, q_item[which], at - left - doc - first[doc], left + right], axis=1), axis=0
-        ) if len(at) else np.empty((0, 4), np.int64)
-    return at, q_length[which], doc, q_item[which], ids, matches
+        if wanted == "longest":
+            np.maximum.at(longest, doc, right)
+        else:
+            kept.append(np.unique(np.stack([doc, q_item[which], at - left - doc - first[doc], left + right], axis=1), axis=0))
+    return longest if wanted == "longest" else np.unique(np.concatenate(kept), axis=0)
 
 
 def contamination(
@@ -156,13 +194,14 @@ def contamination(
     item_col: str = "item_id",
     item_text: str = "text",
     carry: list[str] | None = None,
-    matches: bool = False,
+    matches: bool | str = False,
 ) -> DataFrame:
     """Each document row with the benchmark windows it holds; ``carry`` names the columns that stay (all).
 
     Adds ``n_words``, ``n_hit`` (words inside any occurrence of a window), ``n_items``, ``items`` (sorted
     ids of items with occurring windows, as strings), ``items_sha256``, ``contaminated`` and, with
-    ``matches``, ``matches``: the longest verbatim matches as (item, first word, words).
+    ``matches``, ``matches``: the longest verbatim matches as (item, first word, words); with
+    ``matches="longest"`` only ``longest_match``, the words of the longest one, or 0.
 
     * A window is ``WINDOW`` consecutive words of an item; an item of fewer words is one window, an item
       without words none. NULL text has no words; a NULL item id is the empty string.
@@ -171,13 +210,15 @@ def contamination(
     * Columns of the result's names are replaced.
     """
     spark = docs.sparkSession
-    made = ["n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated", "matches"]
+    made = ["n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated", "matches", "longest_match"]
     kept = [c for c in (docs.columns if carry is None else carry) if c.lower() not in made]
     text_alias = unused(docs, "benchmark_text_of_row")
     rows = docs.select(*kept, F.col(text_col).alias(text_alias))
     blocks = _blocks(spark, benchmark, item_col, item_text)
     added = "n_words long, n_hit long, n_items long, items array<string>, items_sha256 string, contaminated boolean"
-    if matches:
+    if matches == "longest":
+        added += ", longest_match long"
+    elif matches:
         added += ", matches array<struct<item_id:string,first_word:long,words:long>>"
     schema = plus(rows.schema, text_alias, added)
 
@@ -213,18 +254,21 @@ def _judged(batch, text_alias, blocks, want_matches):
     marks, total = None, len(strings)
     items: list[set[str]] = [set() for _ in range(n)]
     longest: list[list] = [[] for _ in range(n)]
+    most = np.zeros(n, np.int64)
     for block in blocks if total else ():
         names, asked = block.value
         if len(asked[1]) == 0:
             continue
-        at, size, doc, item, ids, matches = _search(strings, first, asked, want_matches)
+        at, size, held, ids, matches = _search(strings, first, asked, want_matches)
         if marks is None:
             marks = np.zeros(len(ids) + 1, np.int64)  # +1 where a hit begins, -1 behind its end
             separators = np.flatnonzero(ids == 0)
         marks += np.bincount(at, minlength=len(marks)) - np.bincount(at + size, minlength=len(marks))
-        for pair in np.unique(doc * np.int64(len(names)) + item).tolist():
-            items[pair // len(names)].add(names[pair % len(names)])
-        if want_matches:
+        for d, own in held.items():
+            items[d].update(names[i] for i in own.tolist())
+        if want_matches == "longest":
+            most = np.maximum(most, matches)
+        elif want_matches:
             for d, i, start, count in matches.tolist():
                 longest[d].append({"item_id": names[i], "first_word": start, "words": count})
     if marks is None:
@@ -245,7 +289,10 @@ def _judged(batch, text_alias, blocks, want_matches):
         pa.array(hit > 0),
     ]
     names += ["n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated"]
-    if want_matches:
+    if want_matches == "longest":
+        arrays.append(pa.array(most))
+        names.append("longest_match")
+    elif want_matches:
         kind = pa.list_(pa.struct([("item_id", pa.string()), ("first_word", pa.int64()), ("words", pa.int64())]))
         arrays.append(pa.array(longest, kind))
         names.append("matches")
