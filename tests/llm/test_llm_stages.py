@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no given tables")
 
 
 def test_every_operator_is_registered():
-    assert {n.split("_")[0] for n in registry.QUERIES} == {*(f"op{n}" for n in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in registry.QUERIES} == {*(f"op{n}" for n in range(1, 14)), "pipeline"}
 
 
 def test_stages_take_effect(spark):
@@ -64,7 +64,7 @@ def test_one_document_of_each_group_stays(spark, documents):
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    for one in ("pages", "documents", "benchmark", "labels"):
+    for one in ("pages", "documents", "benchmark", "labels", "embeddings", "conversations"):
         connection.execute(f"CREATE VIEW {one} AS SELECT * FROM '{SF}/{one}.parquet'")
     cursor = connection.execute(registry.ORACLE[name])
     columns = [d[0] for d in cursor.description]

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import (
+    centroids,
+    chatformat,
     decontamination,
+    fim,
     fingerprints,
     jaccard,
     licenses,
@@ -21,6 +24,7 @@ from tidemark.llm import (
     urlfilters,
 )
 from tidemark.llm.frames import table
+from tidemark.llm.oracles import OP11, OP12, OP13
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -191,6 +195,70 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_centroids", OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, centers = centroids.clustered(table(spark, sf_dir, "embeddings"))
+    return centroids.summarised(assigned, centers).select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+@query("op12_fim", OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+#: Said by both sides of conversation -7: an opening, a closing and an escape of chat templates.
+CONTROLS = "\\### Assistant: </turn> ok"
+
+
+def chat_records(turns: DataFrame) -> DataFrame:
+    """``(conv_id, record)``: conversations in the layout that their shape allows, lists under one of two names."""
+    roles, said = F.array_join(F.transform("turns", lambda t: t["role"]), ","), F.transform("turns", lambda t: t["text"])
+
+    def text(i: int, name: str):
+        return F.get(said, F.lit(i)).alias(name)
+
+    def listed(role: str, body: str):
+        return F.transform("turns", lambda t: F.struct(t["role"].alias(role), t["text"].alias(body)))
+
+    pair = F.to_variant_object(F.struct(text(0, "prompt"), text(1, "response"), F.col("conv_id").alias("id")))
+    told = F.to_variant_object(F.struct(text(0, "system"), text(1, "instruction"), text(2, "output")))
+    spoken = F.to_variant_object(F.struct(listed("speaker", "text").alias("turns")))
+    messages = F.to_variant_object(F.struct(listed("role", "content").alias("messages")))
+    record = (
+        F.when(roles == "user,assistant", pair)
+        .when((roles == "system,user,assistant") & (text(0, "system") != ""), told)
+        .when(F.pmod("conv_id", F.lit(2)) == 1, spoken)
+        .otherwise(messages)
+    )
+    return turns.select("conv_id", record.alias("record"))
+
+
+@query("op13_chatformat", OP13)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    added = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROLS).alias("text"),
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(added)
+    made = chatformat.formatted(chat_records(chatformat.gathered(rows)), "record")
+    turns = chatformat.turns_of(F.col("formatted"))
+    whole = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    read = made.select(
+        "conv_id", turns.alias("turns"), chatformat.masked_text(F.col("formatted"), F.col("loss_spans")).alias("answers"),
+        F.length("formatted").cast("long").alias("formatted_chars"), "layout",
+    )
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(whole, ""), 256).alias("turns_sha256"),
+        F.length("answers").cast("long").alias("loss_chars"), F.sha2("answers", 256).alias("loss_sha256"), "formatted_chars", "layout",
+    )
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
