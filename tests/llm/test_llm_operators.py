@@ -63,6 +63,8 @@ def test_sharding_is_a_permutation(spark, awkward):
     again = sharding.shuffled(awkward.repartition(5), 3).collect()
     assert sorted(map(str, found)) == sorted(map(str, again))
     assert sharding.shuffled(awkward.limit(0), 3).count() == 0
+    many = sharding.shuffled(spark.range(1).select(F.lit(5).alias("__first"), F.explode(F.sequence(F.lit(1), F.lit(10_000))).alias("x")).drop("x"), 3).collect()
+    assert sorted(r.position for r in many) == list(range(10_000)) and {r["__first"] for r in many} == {5}
     for n in (1, 2, 3, 100, 1000):
         places = spark.range(n).select(sharding.permuted(F.col("id"), n, 5).alias("p")).collect()
         assert sorted(r.p for r in places) == list(range(n))
@@ -79,11 +81,69 @@ def test_mixing_meets_targets(awkward, documents):
         target[r.source] = r.target
     assert all(abs(taken[s] - target[s]) <= 1 for s in target)
     assert sum(target.values()) == pytest.approx(1.5 * sum(r.size for r in found))
-    copies = mixing.repeated(mixing.mixed(documents(rows)), ["doc_id"]).count()
-    assert copies == sum(r.copies for r in found)
     assert mixing.mixed(awkward).count() == 9 and mixing.mixed(awkward.limit(0)).count() == 0
 
 
+def mixture_by_hand(rows, sizes, keys, targets):
+    """How often each distinct row stands in the mix: whole epochs, then rows by key until the words are used."""
+    out = collections.Counter()
+    for source, target in targets.items():
+        own = sorted((keys[r], r) for r in rows if r[2] == source)
+        total = sum(sizes[r] for _, r in own)
+        epochs = int(target // total) if total else 0
+        left = round(target - epochs * total)
+        for _, r in own:
+            out[r] += epochs
+            if sizes[r] and 2 * min(sizes[r], left) >= sizes[r]:
+                out[r] += 1
+            left = max(0, left - sizes[r])
+    return +out
+
+
+@pytest.mark.parametrize("copies", [1, 5])
+def test_mixture_by_brute_force(spark, copies):
+    """Rows repeated often stand on the border of their source, some of them taken and some not."""
+    rng = random.Random(19)
+    rows = [(i, prose(rng, rng.randrange(40)), rng.choice(["a", "b", "c", None])) for i in range(120)] + [(None, None, "a"), (7, "", "b")]
+    rows += [(1000, prose(rng, 30), s) for s in ("a", "b", None) for _ in range(60 * copies)]
+    frame = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, source string, size string")
+    rates = {i: rng.choice([0.5, 2.0]) for i in range(0, 120, 3)}
+    ratings = spark.createDataFrame(list(rates.items()), "rated_id long, weight double")
+    ties = frame.select("doc_id", "text", "source", F.xxhash64("doc_id", "text", "source", "size").alias("tie"))
+    drawn = ties.select("*", F.shiftrightunsigned(F.xxhash64("tie", F.lit(11)), 11).alias("bits")).distinct().collect()
+    keys = {(r.doc_id, r.text, r.source): (-np.log((r.bits + 0.5) / (1 << 53)) / rates.get(r.doc_id, 1.0), r.tie) for r in drawn}
+    sizes = {r: len((r[1] or "").split()) for r in rows}
+    totals = collections.Counter()
+    for r in rows:
+        totals[r[2]] += sizes[r]
+    per_source = spark.createDataFrame(list(totals.items()), "source string, source_size long")
+    targets = {r.source: r.target for r in mixing.targets(per_source).collect()}
+    got = collections.Counter((r.doc_id, r.text, r.source) for r in mixing.mixture(frame.repartition(4), ratings).collect())
+    assert got == mixture_by_hand(rows, sizes, keys, targets)
+    assert mixing.mixture(frame.limit(0), ratings).count() == 0 and mixing.mixture(frame).columns == frame.columns
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_targets_by_refilling(spark, seed):
+    """Targets against the rule itself: share by weight, and share again what is above a source's cap."""
+    rng = random.Random(seed)
+    names = sorted(rng.sample("abcdefgh", rng.randrange(1, 8))) + [None] * rng.randrange(2)
+    sizes = {s: rng.choice([0, 1, 10, 1000, rng.randrange(5000)]) for s in names}
+    weight = {s: (3.0, 1.0, 2.0)[i % 3] for i, s in enumerate(names)}
+    target, spare, open_ = dict.fromkeys(names, 0.0), 1.5 * sum(sizes.values()), set(names)
+    while open_ and spare > 1e-9:
+        total = sum(weight[s] for s in open_)
+        wanted = {s: target[s] + spare * weight[s] / total for s in open_}
+        spare = 0.0
+        for s, w in wanted.items():
+            target[s] = min(w, 2.0 * sizes[s])
+            spare += w - target[s]
+            if w >= 2.0 * sizes[s]:
+                open_.discard(s)
+    frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    assert {r.source: r.target for r in mixing.targets(frame).collect()} == pytest.approx(target)
+
+
 def test_decontamination_by_brute_force(spark, documents, awkward):
     rng = random.Random(2)
     items = [("b", prose(rng, 14)), ("a", "Short one"), (None, prose(rng, 10)), ("c", None), ("a", prose(rng, 12))]

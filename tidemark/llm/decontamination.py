@@ -26,6 +26,8 @@ from tidemark.llm.frames import plus, unused
 from tidemark.llm.text import LETTERS, pieces, utf8, word_strings, words
 
 WINDOW = 10
+#: Columns that judging adds.
+MADE = ("n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated", "matches", "longest_match")
 #: Bytes of document text per suffix array, and of benchmark text per block of queries.
 SHARD_BYTES = 3 << 20
 BLOCK_BYTES = 4 << 20
@@ -210,8 +212,7 @@ def contamination(
     * Columns of the result's names are replaced.
     """
     spark = docs.sparkSession
-    made = ["n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated", "matches", "longest_match"]
-    kept = [c for c in (docs.columns if carry is None else carry) if c.lower() not in made]
+    kept = [c for c in (docs.columns if carry is None else carry) if c.lower() not in MADE]
     text_alias = unused(docs, "benchmark_text_of_row")
     rows = docs.select(*kept, F.col(text_col).alias(text_alias))
     blocks = _blocks(spark, benchmark, item_col, item_text)

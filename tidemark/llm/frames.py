@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,24 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def shielded(df: DataFrame, made: Iterable[str]) -> tuple[DataFrame, list[Column]]:
+    """The frame with columns called like ``made`` (in any case) renamed, and columns that name them back.
+
+    An operator that adds columns of these names can then be applied without loss: selecting the second result
+    from what it returns gives the frame's own columns under their own names.
+    """
+    clashing = {m.lower() for m in made}
+    back, taken = [], {c.lower() for c in df.columns} | clashing
+    for name in df.columns:
+        inner = name
+        while inner.lower() in clashing or (inner != name and inner.lower() in taken):
+            inner += "_"
+        taken.add(inner.lower())
+        back.append((name, inner))
+    renamed = df.select(*[F.col(f"`{name}`").alias(inner) for name, inner in back])
+    return renamed, [F.col(f"`{inner}`").alias(name) for name, inner in back]
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import unused
+from tidemark.llm.frames import unused, written
 
 #: Key ranges per source; more ranges make smaller tasks and give the same result.
 RANGES = 2048
@@ -135,21 +135,143 @@ def mixed(
     )
 
 
-def repeated(mix: DataFrame, columns: list[str]) -> DataFrame:
-    """The mix itself: each document as often as it is to be copied."""
-    times = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    return mix.filter(F.col("copies") > 0).withColumn("__copy", times).select(*columns)
+def cutoffs(
+    rows: DataFrame,
+    weights: tuple[float, ...] = (3.0, 1.0, 2.0),
+    share: float = 1.5,
+    cap: float = 2.0,
+    ranges: int = RANGES,
+) -> DataFrame:
+    """Where each source's mix ends, one row per source, of narrow rows ``(source, size, key, tie)``.
+
+    Rows are taken in the order of ``key``, then ``tie``; rows equal in both are interchangeable and of one
+    size. Gives ``source``, ``epochs`` (whole ones), and of the last, fractional epoch ``end_key`` and
+    ``end_tie`` of the row on the border (NULL if it takes nothing), how many ``equal`` rows stand there, and
+    how many of them, ``chosen``, are taken by half of their size at least.
+
+    Sizes are summed per range of keys with map-side combine; only the range that holds a source's border is
+    sorted, with equal rows counted first.
+    """
+    placed = rows.select(
+        F.coalesce(F.concat(F.lit("+"), F.col("source")), F.lit("-")).alias("name"), "size", "key", "tie",
+        F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * ranges).cast("long").alias("range"),
+    )
+    sizes = written(placed.groupBy("name", "range").agg(F.sum("size").alias("size")), "ranges")
+    per_source = sizes.groupBy("name").agg(F.sum("size").alias("source_size"))
+    source = F.when(F.col("name") != "-", F.expr("substring(name, 2)")).alias("source")
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
+    budgets = targets(per_source.select(source, "source_size"), weights, share, cap).select(
+        F.coalesce(F.concat(F.lit("+"), F.col("source")), F.lit("-")).alias("name"),
+        "source",
+        epochs.alias("epochs"),
+        F.round(F.col("target") - epochs * F.col("source_size")).cast("long").alias("rest"),
+    )
+    # One row per source and range; then the one range in which the rest runs out.
+    through = F.sum("size").over(W.partitionBy("name").orderBy("range").rowsBetween(W.unboundedPreceding, W.currentRow))
+    border = (
+        sizes.withColumn("through", through)
+        .join(budgets, "name")
+        .filter((F.col("rest") > F.col("through") - F.col("size")) & (F.col("rest") <= F.col("through")))
+        .select("name", "range", (F.col("rest") - F.col("through") + F.col("size")).alias("left"))
+    )
+    border = written(border, "border")
+    near = placed.filter("size > 0").join(border, ["name", "range"]).groupBy("name", "left", "key", "tie", "size").agg(
+        F.count(F.lit(1)).alias("equal")
+    )
+    before = W.partitionBy("name").orderBy("key", "tie", "size").rowsBetween(W.unboundedPreceding, -1)
+    begun = near.withColumn("left", F.col("left") - F.coalesce(F.sum(F.col("size") * F.col("equal")).over(before), F.lit(0)))
+    whole = F.expr("left div size")
+    half = F.when((F.col("left") % F.col("size")) * 2 >= F.col("size"), 1).otherwise(0)
+    last = begun.filter((F.col("left") > 0) & (F.col("left") <= F.col("size") * F.col("equal"))).select(
+        "name", F.col("key").alias("end_key"), F.col("tie").alias("end_tie"), "equal", (whole + half).alias("chosen")
+    )
+    return budgets.join(last, "name", "left").select("source", "epochs", "end_key", "end_tie", "equal", "chosen")
+
+
+#: Rows of a key range, beyond which there are more ranges.
+ROWS_PER_RANGE = 50_000
+#: Copies of one row made by one task at a time.
+CHUNK = 1 << 12
+
+
+def mixture(
+    docs: DataFrame,
+    ratings: DataFrame | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple[float, ...] = (3.0, 1.0, 2.0),
+    share: float = 1.5,
+    cap: float = 2.0,
+    seed: int = 11,
+) -> DataFrame:
+    """The mix itself: the rows, each as often as it is to be copied, in the columns of ``docs``.
+
+    Decided on narrow rows: ``cutoffs`` gives one row per source, and each document is then compared with its
+    source's border where it lies. Texts cross the cluster only to meet ``ratings(rated_id, weight)``, one row
+    per id, if these are too many to broadcast. Keys are drawn from a hash of the whole row, so only rows
+    equal in every column tie; should they stand on a border, those copies are made of one of them.
+
+    A document's weight in the fractional epoch is positive, 1 without a rating. NULL text and text without
+    words has size 0 and is copied once per whole epoch; a NULL source is a source of its own, a NULL id has
+    no rating. Repeated rows are copied each; an empty frame gives an empty one. No column is overwritten.
+    """
+    names = [f"`{c}`" for c in docs.columns]
+
+    def keyed(*more: Column) -> DataFrame:
+        rows = docs.select(
+            *more, word_count(text_col).alias("size"), F.col(source_col).alias("source"), F.xxhash64(*names).alias("tie"),
+            F.col(id_col).alias("id"),
+        )
+        if ratings is None:
+            rows = rows.withColumn("weight", F.lit(1.0))
+        else:
+            rows = rows.join(ratings, F.col("id") == F.col("rated_id"), "left")
+        bits = F.shiftrightunsigned(F.xxhash64("tie", F.lit(seed)), 11)
+        uniform = (bits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
+        weight = F.greatest(F.coalesce("weight", F.lit(1.0)), F.lit(1e-6))
+        return rows.withColumn("key", -F.log(uniform) / weight)
+
+    ranges = max(RANGES, docs.count() // ROWS_PER_RANGE)
+    narrow = keyed().select("source", "size", "key", "tie")
+    ends = written(cutoffs(narrow, weights, share, cap, ranges), "cutoffs").withColumnRenamed("source", "of_source")
+    met = keyed(F.struct(*names).alias("row")).join(ends, F.col("source").eqNullSafe(F.col("of_source")))
+    sized, border = F.col("size") > 0, (F.col("key") == F.col("end_key")) & (F.col("tie") == F.col("end_tie"))
+    earlier = (F.col("key") < F.col("end_key")) | ((F.col("key") == F.col("end_key")) & (F.col("tie") < F.col("end_tie")))
+    parted = F.coalesce((F.col("chosen") > 0) & (F.col("chosen") < F.col("equal")), F.lit(False))
+    extra = F.coalesce(sized & (earlier | (border & (F.col("chosen") == F.col("equal")))), F.lit(False))
+    copies = F.when(F.coalesce(sized & border & parted, F.lit(False)), 0).otherwise(F.col("epochs") + F.when(extra, 1).otherwise(0))
+    whole = _copied(met.select("row", copies.cast("long").alias("copies")))
+    if ends.filter(parted).count():
+        # One row stands for all that are equal to it; its copies are made in many tasks.
+        one = met.filter(sized & border & parted).select("row", (F.col("epochs") * F.col("equal") + F.col("chosen")).alias("copies"))
+        chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {CHUNK}"))).alias("chunk")
+        dealt = one.distinct().select("row", "copies", chunks).repartition("chunk")
+        left = F.least(F.lit(CHUNK), F.col("copies") - F.col("chunk") * CHUNK)
+        whole = whole.unionByName(_copied(dealt.select("row", left.alias("copies"))))
+    return whole.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
+def _copied(rows: DataFrame) -> DataFrame:
+    """``row`` as often as ``copies`` says."""
+    return rows.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).select("row")
 
 
 #: Weight of a document in the fractional epoch by its quality label; without a label it weighs 1.
 QUALITY = {0: 0.5, 1: 2.0}
 
 
-def rated(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows with ``mixing_weight``, by quality label; the greatest if labelled more than once."""
+def ratings(labels: DataFrame) -> DataFrame:
+    """``(rated_id, weight)`` by quality label; the greatest if labelled more than once. NULL ids rate nothing."""
     weight = reduce(
         lambda w, q: F.when(F.col("quality") == q, F.lit(QUALITY[q])).otherwise(w), QUALITY, F.lit(1.0)
     )
-    weights = labels.groupBy(F.col("doc_id").alias("__labelled")).agg(F.max(weight).alias("mixing_weight"))
+    known = labels.filter(F.col("doc_id").isNotNull())
+    return known.groupBy(F.col("doc_id").alias("rated_id")).agg(F.max(weight).alias("weight"))
+
+
+def rated(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows with ``mixing_weight``, by quality label; an earlier column of that name is replaced."""
     rows = docs.drop("mixing_weight")
-    return rows.join(weights, F.col(id_col) == F.col("__labelled"), "left").drop("__labelled")
+    rates = ratings(labels).withColumnRenamed("weight", "mixing_weight")
+    return rows.join(rates, F.col(id_col) == F.col("rated_id"), "left").drop("rated_id")

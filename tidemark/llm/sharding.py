@@ -19,8 +19,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.frames import unused
 
-#: Hash ranges in which rows are numbered; more ranges make smaller tasks and give the same numbers.
+#: Hash ranges in which rows are numbered, at least; more ranges make smaller tasks.
 RANGES = 4096
+#: Rows of a hash range, beyond which there are more ranges.
+ROWS_PER_RANGE = 50_000
+#: Copies of one row that are numbered at a time.
+CHUNK = 1 << 12
 ROUNDS = 6
 #: A walk is longer than this with probability 2**-64 per row; it then fails and says so.
 WALK = 64
@@ -61,7 +65,7 @@ def permuted(number: Column, n: int, seed: int) -> Column:
     return F.when((end >= 0) & (end < n), end).otherwise(F.raise_error(F.lit("a walk did not end")).cast("long"))
 
 
-def shuffled(df: DataFrame, shards: int, seed: int = 7, ranges: int = RANGES) -> DataFrame:
+def shuffled(df: DataFrame, shards: int, seed: int = 7, ranges: int | None = None) -> DataFrame:
     """The rows with ``position``, ``shard`` and ``slot``; all columns stay.
 
     * Rows equal in every column are interchangeable: each gets a number of its own. NULL is a value like
@@ -73,23 +77,31 @@ def shuffled(df: DataFrame, shards: int, seed: int = 7, ranges: int = RANGES) ->
         raise ValueError("there must be a shard")
     rows = df.drop(*[c for c in df.columns if c.lower() in ("position", "shard", "slot")])
     names = rows.columns
-    hashed, part, copies, before = (unused(rows, c) for c in ("row_hash", "hash_range", "copies", "before"))
+    hashed, part, copies, before, first_of, start, chunk = (
+        unused(rows, c) for c in ("row_hash", "hash_range", "copies", "before", "first_of", "start", "chunk")
+    )
+    n = rows.count()
+    ranges = max(RANGES, n // ROWS_PER_RANGE) if ranges is None else ranges
     counted = rows.withColumn(hashed, F.xxhash64(*names)).withColumn(
-        part, F.pmod(F.shiftrightunsigned(F.col(hashed), 40), F.lit(ranges)).cast("int")
+        part, F.pmod(F.shiftrightunsigned(F.col(hashed), 24), F.lit(ranges)).cast("int")
     )
     sizes = counted.groupBy(part).agg(F.count(F.lit(1)).alias(copies))
-    n = int(sizes.agg(F.coalesce(F.sum(copies), F.lit(0))).first()[0])
     # One row per range: the window over them is bounded by the number of ranges.
     earlier = W.orderBy(part).rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(part, F.coalesce(F.sum(copies).over(earlier), F.lit(0)).alias(before))
     distinct = counted.groupBy(part, hashed, *names).agg(F.count(F.lit(1)).alias(copies))
     in_range = W.partitionBy(part).orderBy(hashed, *names)
     first = F.coalesce(F.sum(copies).over(in_range.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    numbered = distinct.withColumn("__first", first).join(F.broadcast(offsets), part)
-    start = F.col("__first") + F.col(before)
-    number = F.explode(F.sequence(start, start + F.col(copies) - 1)).alias("position")
+    numbered = distinct.withColumn(first_of, first).join(offsets, part)
+    # A row repeated many times is numbered in chunks, so no array of all its numbers is ever held.
+    chunked = numbered.select(
+        *names, copies, (F.col(first_of) + F.col(before)).alias(start),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(`{copies}` - 1) div {CHUNK}"))).alias(chunk),
+    )
+    begin = F.col(start) + F.col(chunk) * CHUNK
+    end = F.least(begin + CHUNK, F.col(start) + F.col(copies)) - 1
     return (
-        numbered.select(*names, number)
+        chunked.select(*names, F.explode(F.sequence(begin, end)).alias("position"))
         .withColumn("position", permuted(F.col("position"), n, seed))
         .select(
             *names,

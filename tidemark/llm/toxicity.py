@@ -44,6 +44,8 @@ MINOR = 2.0
 SHAPE = 4.0
 SIGNIFICANT = 0.01
 MAX_LABELLED = 100_000
+#: Columns that scoring adds.
+MADE = ("score", "predicted", "passages")
 _STATISTIC_BINS = 4096
 _LOW, _HIGH = -16.0, 112.0
 #: Excesses over ``MINOR`` are counted in steps of one over this.
@@ -318,8 +320,7 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", carry: list[st
     empty texts have no tokens and the lowest statistic. Repeated rows get equal results.
     Columns of the result's names are replaced.
     """
-    made = ("score", "predicted", "passages")
-    kept = [c for c in (docs.columns if carry is None else carry) if c.lower() not in made]
+    kept = [c for c in (docs.columns if carry is None else carry) if c.lower() not in MADE]
     alias = unused(docs, "text_to_score")
     rows = docs.select(*kept, F.col(text_col).alias(alias))
     shared = docs.sparkSession.sparkContext.broadcast(model)
