@@ -3,6 +3,10 @@
 A stage takes (spark, docs, sf_dir) and returns the columns of ``documents``; the last adds the place of each
 row. Between stages the rows are written as Parquet in the shared folder, so a stage starts from files and
 not from the work before it.
+
+Stages decide without touching what they pass on: a column of ``docs`` keeps its values whatever its name,
+NULL ids and texts and repeated rows are rows like others, and an empty frame gives an empty one. Only the
+names of the places that the last stage adds are its own.
 """
 
 from __future__ import annotations
@@ -11,54 +15,84 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, jaccard, mixing, sharding, toxicity
-from tidemark.llm.frames import table, text_hash, unused, written
+from tidemark.llm.frames import shielded, table, text_hash, unused, written
 
 SHARDS = 8
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below one half; learned from the labels of the documents at hand."""
+    """Documents scored below one half; learned from the labels of the documents at hand.
+
+    NULL and empty texts have no tokens and stay. Repeated rows and ties are scored alike; a NULL id has no
+    label. Without labels nothing goes. Columns called like the score's are kept as they are.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.scored(docs, model)
-    return scored.filter(F.col("predicted") == 0).select(*docs.columns)
+    rows, own = shielded(docs, toxicity.MADE)
+    return toxicity.scored(rows, model).filter(F.col("predicted") == 0).select(*own)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates one row with its smallest id; documents without words stay.
 
-    NULL is the largest id. Of rows with the smallest id, one with the smallest hash of its text stays; ids
-    may be NULL and may repeat, in one group or in several.
+    NULL is the largest id. Of rows with the smallest id, one with the smallest hash of its text stays, and of
+    these one with the smallest hash of all columns; ids may be NULL and may repeat, in one group or in several.
+
+    Who goes is decided on hashes; texts are shuffled once, to meet the hashes of those that go.
     """
-    found = jaccard.jaccard_join(docs)
-    smallest = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")
-    grouped = found.filter(F.col("n_shingles") > 0).groupBy("component").agg(smallest).select("first.doc_id", "first.text_hash")
-    alone = found.filter(F.col("n_shingles") == 0).select("doc_id", "text_hash").distinct()
-    kept = grouped.withColumn("grouped", F.lit(True)).unionByName(alone.withColumn("grouped", F.lit(False)))
-    kept = kept.select(F.col("doc_id").alias("__kept_id"), F.col("text_hash").alias("__kept_hash"), "grouped")
-    hashed = unused(docs, "text_hash")
+    names = [f"`{c}`" for c in docs.columns]
+    found = jaccard.jaccard_join(docs).filter(F.col("n_shingles") > 0)
+    place = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash").alias("place")
+    placed = written(found.select("component", place).groupBy("component", "place").agg(F.count(F.lit(1)).alias("rows")), "placed")
+    first = placed.groupBy("component").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("places"), F.sum("rows").alias("rows"))
+    crowded = first.filter("rows > 1").select("component", "first")
+    # Every place of a crowded component goes, apart from a first one that holds a single row.
+    met = placed.join(crowded, "component")
+    gone = written(met.filter((F.col("place") != F.col("first")) | (F.col("rows") > 1)).select("place.*", (F.col("place") == F.col("first")).alias("back")), "gone")
+
+    hashed, gone_id, gone_hash = (unused(docs, c) for c in ("text_hash", "gone_id", "gone_hash"))
     rows = docs.withColumn(hashed, text_hash("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("__kept_id")) & (F.col(hashed) == F.col("__kept_hash"))
-    joined = rows.join(kept, same).withColumn(
-        "__copy", F.when(F.col("grouped"), F.lit(0)).otherwise(F.monotonically_increasing_id())
-    )
-    return joined.dropDuplicates(["__kept_id", "__kept_hash", "__copy"]).select(*docs.columns)
+
+    def places(back: bool) -> DataFrame:
+        some = gone.filter("back") if back else gone
+        return some.select(F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_hash))
+
+    here = F.col("doc_id").eqNullSafe(F.col(gone_id)) & (F.col(hashed) == F.col(gone_hash))
+    kept = rows.join(places(False), here, "left_anti").select(*names)
+    if gone.filter("back").count():
+        # Rows equal in id and text: the one of the smallest hash, whole rows reduced where they lie first.
+        repeated = rows.join(places(True), here, "left_semi")
+        least = F.min_by(F.struct(*names), F.xxhash64(*names)).alias("row")
+        one = repeated.groupBy("doc_id", hashed).agg(least)
+        kept = kept.unionByName(one.select(*[F.col("row")[c].alias(c) for c in docs.columns]))
+    return kept
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of the benchmark."""
-    judged = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return judged.filter(~F.col("contaminated")).select(*docs.columns)
+    """Documents without any window of the benchmark.
+
+    NULL and empty texts hold none and stay. Repeated rows are judged row by row; ids are not read. An empty
+    benchmark keeps all. Columns called like the judgement's are kept as they are.
+    """
+    rows, own = shielded(docs, decontamination.MADE)
+    judged = decontamination.contamination(rows, table(spark, sf_dir, "benchmark"))
+    return judged.filter(~F.col("contaminated")).select(*own)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it, not at all included."""
-    rated = mixing.rated(docs, table(spark, sf_dir, "labels"))
-    mixed = mixing.mixed(rated, quality=F.col("mixing_weight"))
-    return mixing.repeated(mixed, docs.columns)
+    """Each document as often as the mix of sources takes it, not at all included.
+
+    Weighted by quality label. A NULL source is a source of its own, a NULL id has no label; documents without
+    words come once per whole epoch. Ties are rows equal in every column. No column is overwritten.
+    """
+    return mixing.mixture(docs, mixing.ratings(table(spark, sf_dir, "labels")))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its shard and slot in a reproducible shuffle."""
+    """Every row with its ``position``, ``shard`` and ``slot`` in a reproducible shuffle.
+
+    Equal rows get places of their own; NULL is a value like others. Columns of these three names are
+    replaced, all others stay.
+    """
     return sharding.shuffled(docs, SHARDS)
 
 
