@@ -26,10 +26,10 @@ def stream_upsert(spark, sf):
     root, schema = work_dir(spark, "stream"), MIRROR["mrr_checklist"].schema
     warehouse = Warehouse(spark, f"{root}/warehouse")
     for landed in (checklists_first(spark, sf), checklists_second(spark, sf)):
-        as_text(landed, "locid", "subid").to(schema).write.mode("append").parquet(f"{root}/landing")
+        as_text(landed, "locid", "subid").select("*", F.lit(None).cast("timestamp_ntz").alias("arrived")).to(schema).write.mode("append").parquet(f"{root}/landing")
         stream = ingest.new_files(spark, f"{root}/landing", schema)
         ingest.upsert_stream(stream, warehouse, "mrr_checklist", f"{root}/checkpoint", "checklists", ["obsfulldt"])
-    return warehouse.table("mrr_checklist")
+    return warehouse.table("mrr_checklist").drop("arrived")
 
 
 # The first landing holds the older half of the line items and a few of the newer ones early.
@@ -66,6 +66,7 @@ def stream_late(spark, sf):
         F.concat_ws("-", *ids).alias("obsid"),
         F.col("l_quantity").cast("int").alias("howmany"),
         F.lit(True).alias("present"),
+        F.lit(None).cast("timestamp_ntz").alias("arrived"),
         in_first.alias("first"),
     )
     for landed in (rows.filter("first"), rows.filter("not first")):
@@ -90,11 +91,11 @@ def stream_new_checkpoint(spark, sf):
     root, schema = work_dir(spark, "stream"), MIRROR["mrr_checklist"].schema
     warehouse = Warehouse(spark, f"{root}/warehouse")
     for turn, landed in enumerate((checklists_first(spark, sf), checklists_second(spark, sf))):
-        as_text(landed, "locid", "subid").to(schema).write.mode("append").parquet(f"{root}/landing")
+        as_text(landed, "locid", "subid").select("*", F.lit(None).cast("timestamp_ntz").alias("arrived")).to(schema).write.mode("append").parquet(f"{root}/landing")
         stream = ingest.new_files(spark, f"{root}/landing", schema)
         checkpoint = f"{root}/checkpoint-{turn}"
         ingest.upsert_stream(stream, warehouse, "mrr_checklist", checkpoint, "checklists", ["obsfulldt"])
-    return warehouse.table("mrr_checklist")
+    return warehouse.table("mrr_checklist").drop("arrived")
 
 
 @check("stream_dedup", "SELECT * FROM events")

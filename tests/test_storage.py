@@ -1,13 +1,16 @@
 """Stored tables: months, publications and failed runs."""
 
+import random
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark.operators import keyfilter, merge
 from tidemark.plans.mirror import merge_by_month
-from tidemark.operators import merge
 from tidemark.schemas import MIRROR, STAGING
-from tidemark.session import work_dir
+from tidemark.session import matching_paths, owned, run_together, work_dir
 from tidemark.sources import feeds, staging
 from tidemark.sources.warehouse import Warehouse
 
@@ -15,7 +18,7 @@ CHECKLIST = MIRROR["mrr_checklist"].schema
 
 
 def checklist(sub, month, who="Ana"):
-    return ("L1", sub, who, 1, datetime(2024, month, 1) if month else None)
+    return ("L1", sub, who, 1, datetime(2024, month, 1) if month else None, None)
 
 
 def store(warehouse, data, batch_id, months=None):
@@ -93,12 +96,12 @@ def test_empty_staging_table(spark, tmp_path, fmt):
 def test_csv_number_that_does_not_fit_fails(spark, tmp_path):
     (tmp_path / "t.csv").write_text("a,b,c,d,e\nL1,S1,Ana,3.0,2024-01-01 07:05:00\n")
     with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
-        feeds.read_csv_by_position(spark, str(tmp_path / "t.csv"), CHECKLIST).collect()
+        feeds.read_csv_by_position(spark, str(tmp_path / "t.csv"), STAGING["stg_checklist"]).collect()
 
 
 def test_csv_binds_by_position(spark, tmp_path, rows):
     (tmp_path / "t.csv").write_text("subid,locid,e,d,c\nL1,S1,Ana,3,2024-01-01 07:05:00\n")
-    out = feeds.read_csv_by_position(spark, str(tmp_path / "t.csv"), CHECKLIST)
+    out = feeds.read_csv_by_position(spark, str(tmp_path / "t.csv"), STAGING["stg_checklist"])
     assert rows(out) == [("L1", "S1", "Ana", 3, datetime(2024, 1, 1, 7, 5))]
 
 
@@ -113,6 +116,7 @@ class Session:
 
     def __init__(self, **conf):
         self.conf = {k.replace("_", "."): v for k, v in conf.items()}
+        self.sparkContext = SimpleNamespace(getLocalProperty=lambda name: None)
 
 
 def test_work_dir_is_below_the_shared_folder():
@@ -125,3 +129,131 @@ def test_work_dir_needs_a_shared_folder_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_dir(Session(spark_master="yarn"), "x")
     assert work_dir(Session(spark_master="local[2]"), "x")
+
+
+# -- key filters ----------------------------------------------------------------------------------
+
+
+def test_filters_miss_no_key_and_rule_out_most_others(spark):
+    rng = random.Random(1)
+    stored = [(f"p{i % 5}", f"k{rng.randrange(10**9)}", i % 3) for i in range(20_000)] + [("p9", None, 1), (None, "alone", 2)]
+    frame = spark.createDataFrame(stored, "part string, key string, n int")
+    filters = keyfilter.build(frame, ["part"], ["key", "n"])
+    assert {r.part for r in filters.collect()} == {"p0", "p1", "p2", "p3", "p4", None}
+    for part in ("p0", "p3", None):
+        own = frame.filter(F.col("part").eqNullSafe(F.lit(part))).limit(300)
+        assert part in {r[0] for r in keyfilter.may_hold(filters, ["part"], own, ["key", "n"]).collect()}
+    others = spark.range(200).select(F.concat(F.lit("other"), F.col("id")).alias("key"), F.lit(1).alias("n"))
+    asked = [keyfilter.may_hold(filters, ["part"], others.filter(f"key = 'other{i}'"), ["key", "n"]).count() for i in range(10)]
+    assert sum(asked) <= 1
+    assert keyfilter.may_hold(filters, ["part"], frame.filter("key is null"), ["key", "n"]).count() == 0
+    assert keyfilter.may_hold(filters.limit(0), ["part"], frame, ["key", "n"]).count() == 0
+
+
+def poison(path):
+    """Make the data files of a folder unreadable."""
+    for file in path.rglob("*.parquet"):
+        if not file.name.startswith("."):
+            file.write_bytes(b"nothing")
+            (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+
+
+def test_merge_opens_only_months_that_may_hold_a_key(spark, tmp_path, rows):
+    warehouse = Warehouse(spark, str(tmp_path), filter_rows=1)
+    store(warehouse, [checklist(f"S{m}-{i}", m) for m in (1, 2, 3, 4) for i in range(50)], "a")
+    for month in ("01", "03", "04"):
+        poison(tmp_path / "mrr_checklist" / "version=1" / f"stored_month=2024-{month}")
+    publication = warehouse.begin("b")
+    source = spark.createDataFrame([checklist("S2-7", 2, "new"), checklist("S9", 5)], CHECKLIST)
+    merge_by_month(publication, "mrr_checklist", source, lambda old, new: merge.keyed_refresh(old, new, ["subid"]), ("subid",))
+    publication.publish()
+    parts = warehouse.state().parts
+    assert parts["mrr_checklist"] == {"2024-01": 1, "2024-02": 2, "2024-03": 1, "2024-04": 1, "2024-05": 2}
+    assert parts["mrr_checklist/keys"] == parts["mrr_checklist"]
+    whole = warehouse.begin("c").table("mrr_checklist", months=["2024-02", "2024-05"])
+    assert whole.count() == 51 and rows(whole.filter("userdisplayname = 'new'"), "subid") == [("S2-7",)]
+
+
+def test_months_without_a_filter_are_always_looked_into(spark, tmp_path):
+    store(Warehouse(spark, str(tmp_path)), [checklist("S1", 1)], "a")
+    warehouse = Warehouse(spark, str(tmp_path), filter_rows=1)
+    publication = warehouse.begin("b")
+    publication.write("mrr_checklist", spark.createDataFrame([checklist("S2", 2)], CHECKLIST), ["2024-02"])
+    source = spark.createDataFrame([checklist("S1", 3)], CHECKLIST)
+    assert publication.months_that_may_hold("mrr_checklist", source, ["subid"]) == ["2024-01"]
+
+
+# -- buckets --------------------------------------------------------------------------------------
+
+
+def test_bucketed_target_is_not_shuffled_by_a_merge(spark, tmp_path, rows):
+    """Neither to meet its source nor to be written; a month-partitioned table like a whole one."""
+    old_threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain, bucketed = Warehouse(spark, str(tmp_path / "p")), Warehouse(spark, str(tmp_path / "b"), buckets=4)
+        first = [checklist(f"S{i}", i % 3 + 1) for i in range(60)] + [checklist(None, 1)]
+        second = spark.createDataFrame([checklist(f"S{i}", i % 4 + 1, "new") for i in range(40, 80)] + [checklist(None, 2)], CHECKLIST)
+        location = spark.createDataFrame([(f"L{i}", *[None] * 11) for i in range(50)], MIRROR["mrr_location"].schema)
+        for warehouse in (plain, bucketed):
+            store(warehouse, first, "a")
+            publication = warehouse.begin("b")
+            merge_by_month(publication, "mrr_checklist", second, lambda old, new: merge.keyed_refresh(old, new, ["subid"]), ("subid",))
+            publication.write("mrr_location", location)
+            publication.publish()
+        assert rows(plain.table("mrr_checklist")) == rows(bucketed.table("mrr_checklist"))
+        assert bucketed.state().buckets[("mrr_checklist", 2)] == 4 and not plain.state().buckets
+        for name, source in (("mrr_checklist", second), ("mrr_location", location)):
+            keys = list(MIRROR[name].keys)
+            merged = merge.upsert(bucketed.table(name), source, keys, on_duplicate="unique")
+            text = merged._jdf.queryExecution().executedPlan().toString()
+            exchanges = [part for part in text.split("Exchange ")[1:]]
+            assert "Bucketed: true" in text and exchanges
+            depth = [len(line) - len(line.lstrip(" :+-")) for line in text.splitlines()]
+            lines = text.splitlines()
+            for at, line in enumerate(lines):
+                if "Exchange" in line:  # nothing below an exchange reads the target
+                    below = []
+                    for later, deep in zip(lines[at + 1 :], depth[at + 1 :], strict=True):
+                        if deep <= depth[at]:
+                            break
+                        below.append(later)
+                    target_scans = [x for x in below if "FileScan" in x and f"{bucketed.root}" in x]
+                    assert not target_scans or "LeftSemi" in "".join(below), line
+        # A session that does not know of the buckets reads the same rows; a new warehouse object does too.
+        assert rows(Warehouse(spark, bucketed.root).table("mrr_checklist")) == rows(plain.table("mrr_checklist"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_threshold)
+
+
+# -- work folders ---------------------------------------------------------------------------------
+
+
+def test_owned_work_folders_go(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+
+    def folders():
+        return matching_paths(spark, f"{shared}/tidemark-owner-*")
+
+    with owned(spark, "one"):
+        path = work_dir(spark, "a")
+        run_together(spark, [lambda: spark.range(3).write.parquet(work_dir(spark, "b"))])
+        spark.range(3).write.parquet(path)
+        assert len(folders()) == 1 and path.startswith(folders()[0].removeprefix("file:"))
+        with owned(spark, "two"):
+            spark.range(3).write.parquet(work_dir(spark, "c"))
+            assert len(folders()) == 2
+        assert len(folders()) == 1 and work_dir(spark, "d").startswith(path.rsplit("/", 1)[0])
+    assert not folders() and "owner" not in work_dir(spark, "e").rsplit("/", 1)[1]
+    with pytest.raises(ZeroDivisionError), owned(spark, "three"):
+        spark.range(3).write.parquet(work_dir(spark, "f"))
+        1 / 0
+    assert not folders()
+
+
+def test_what_a_dead_run_has_left_goes_when_it_begins_again(spark, tmp_path):
+    with owned(spark, "run"):
+        left = work_dir(spark, "a")
+    spark.range(3).write.parquet(left)  # as if the driver had died inside
+    with owned(spark, "run"):
+        assert not matching_paths(spark, left)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import UNKNOWN_MONTH
-from tidemark.schemas import DEFAULT_MARK
+from tidemark.schemas import ARRIVAL_MARK, DEFAULT_MARK
 
 
 def load_mark(control: DataFrame, table_id: str, default: str = DEFAULT_MARK) -> datetime:
@@ -59,6 +59,19 @@ def newer_than(
     return rows
 
 
+def arrived_after(df: DataFrame, mark: datetime | None) -> DataFrame:
+    """Rows that a run has brought since the mark; all rows if there is none.
+
+    The bound is a literal, so files of months that no run has touched since are passed over by their footers.
+    """
+    return df if mark is None else df.filter(F.col("arrived") > F.lit(mark).cast("timestamp_ntz"))
+
+
+def arrival_mark(control: DataFrame) -> datetime | None:
+    """Up to when the mirror has been staged by arrival; None if it never was."""
+    return control.agg(F.max(F.when(F.col("table_id") == ARRIVAL_MARK, F.col("current_high_ts")))).first()[0]
+
+
 def ingest_days(spark: SparkSession, mark: datetime, today: date) -> DataFrame:
     """Every day from the mark's day to ``today``, both included."""
     first, last = F.lit(mark.date()), F.lit(today)
@@ -72,11 +85,12 @@ def checklist_worklist(checklists: DataFrame, mark: datetime) -> DataFrame:
 
 
 def without_view(checklists: DataFrame, observations: DataFrame) -> DataFrame:
-    """Ids of checklists none of whose observations has landed.
+    """Ids of checklists none of whose observations has landed, with the day they are listed for, if known.
 
     A checklist that states zero species has none to wait for.
     """
-    expected = checklists.filter(F.coalesce(F.col("numspecies"), F.lit(1)) > 0).select("subid").distinct()
+    listed = ["subid", *(["day"] if "day" in checklists.columns else [])]
+    expected = checklists.filter(F.coalesce(F.col("numspecies"), F.lit(1)) > 0).select(*listed).distinct()
     return expected.join(observations.select("subid"), "subid", "left_anti")
 
 

@@ -4,9 +4,11 @@ Spark's Parquet tables have no ``MERGE INTO``; these functions compute the table
 behind. All of them follow SQL equality: a row with NULL in a key never matches, so such rows bypass
 the shuffle entirely and are appended.
 
-Scale notes. A target is shuffled once, on its key. A source is reduced to one row per key by an
-aggregate with map-side combine before it meets the target, so a key that holds a large share of the
-source never reaches one task whole. No side is hinted as broadcast: Spark decides by size.
+Scale notes. A target meets its source in a left join, and the new rows are those of the source that found
+no key in the target's key columns. So a target bucketed by key is not shuffled at all, nor is any target whose
+source Spark broadcasts; otherwise it is shuffled once, and its keys once more. A source is reduced to one row
+per key by an aggregate with map-side combine before it meets the target, so a key that holds a large share of
+the source never reaches one task whole. No side is hinted as broadcast: Spark decides by size.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import types as T
 
 _SRC = "__s_"
 _IN_SOURCE = "__in_source"
-_IN_TARGET = "__in_target"
+_IN_TARGET = "__t_"
 _COPIES = "__copies"
 
 
@@ -155,11 +157,11 @@ def upsert(
     rows = source.select(*needed, *extra_order)
     have = {f.name: f.dataType for f in rows.schema.fields}
     want = {f.name: f.dataType for f in target.schema.fields}
-    keyed = rows.filter(_has_key(keys))
+    keyed = fresh = rows.filter(_has_key(keys))
     if on_duplicate == "error":
         one = _pick_per_key(keyed, keys, order_by, _COPIES, first=False)
     elif on_duplicate == "latest":
-        one = latest_per_key(keyed, keys, order_by)
+        one = fresh = latest_per_key(keyed, keys, order_by)
     else:
         one = keyed
 
@@ -168,42 +170,34 @@ def upsert(
         *([F.col(_COPIES)] if on_duplicate == "error" else []),
         F.lit(True).alias(_IN_SOURCE),
     )
-    t = target.filter(_has_key(keys)).withColumn(_IN_TARGET, F.lit(True))
-    joined = t.join(s, _all([t[k] == s[_SRC + k] for k in keys]), "full_outer")
-    in_source, in_target = F.col(_IN_SOURCE).isNotNull(), F.col(_IN_TARGET).isNotNull()
+    t = target.filter(_has_key(keys))
+    joined = t.join(s, _all([t[k] == s[_SRC + k] for k in keys]), "left")
+    in_source = F.col(_IN_SOURCE).isNotNull()
     if on_duplicate == "error":
-        repeated = F.col(_COPIES) > 1
         joined = joined.filter(
             _reject_if(
-                in_source & in_target & repeated,
-                # Every copy of an unmatched key is inserted below, so its stand-in goes.
-                in_target | ~F.coalesce(repeated, F.lit(False)),
+                F.coalesce(F.col(_COPIES) > 1, F.lit(False)),
+                F.lit(True),
                 [F.col(k) for k in keys],
                 "several source rows match one target row",
             )
         )
 
     def merged(c: str) -> Column:
-        old = F.col(c)
-        if c not in needed:
-            return old
-        new = _cast(F.col(_SRC + c), have[c], want[c])
-        if c in keys:
-            return F.coalesce(old, new).alias(c)
-        if c in set_cols and c in insert_cols:
-            return F.when(in_source, new).otherwise(old).alias(c)
-        if c in set_cols:
-            return F.when(in_source & in_target, new).otherwise(old).alias(c)
-        return F.when(~in_target, new).otherwise(old).alias(c)
-
-    result = joined.select(*[merged(c) for c in target.columns])
+        if c not in set_cols or c in keys:
+            return F.col(c)
+        return F.when(in_source, _cast(F.col(_SRC + c), have[c], want[c])).otherwise(F.col(c)).alias(c)
+
+    # The keys that are there already, at most one per source key; every other source row is inserted.
+    asked = keyed.select(*[_cast(F.col(k), have[k], want[k]).alias(_SRC + k) for k in keys])
+    held = t.select(*keys).join(asked, _all([F.col(k) == F.col(_SRC + k) for k in keys]), "left_semi")
+    held = held.select(*[F.col(k).alias(_IN_TARGET + k) for k in keys])
+    new = fresh.join(held, _all([_cast(F.col(k), have[k], want[k]) == F.col(_IN_TARGET + k) for k in keys]), "left_anti")
+
+    result = joined.select(*[merged(c) for c in target.columns]).union(_conform(new, target, insert_cols))
     result = result.union(target.filter(~_has_key(keys)))
     if null_keys:
         result = result.union(_conform(rows.filter(~_has_key(keys)), target, insert_cols))
-    if on_duplicate == "error":
-        copies = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(_COPIES)).filter(F.col(_COPIES) > 1)
-        unmatched_copies = keyed.join(copies, list(keys), "left_semi")
-        result = result.union(_conform(unmatched_copies, target, insert_cols))
     return result
 
 

@@ -17,13 +17,16 @@ DEFAULT_MARK = "2023-07-27 00:00:00"
 FACT_MARK = "dwh_fact_observation"
 WEATHER_MARK = "mrr_fact_weather_observations"
 
-# Feed limits and intervals, in records per day and days.
+# Interval between weather refreshes, in days.
 WEATHER_REFRESH_DAYS = 31
 
 # Weather measures, in staging order.
 MEASURES = ["tavg", "tmin", "tmax", "prcp", "snow", "wdir", "wspd", "wpgt", "pres", "tsun"]
 # --- end of fixed values ------------------------------------------------------------------------
 
+# Control-table row of staging by arrival: up to when the mirror has been staged.
+ARRIVAL_MARK = "mrr_arrivals"
+
 _MEASURE_COLUMNS = ", ".join(f"{m} double" for m in MEASURES)
 
 
@@ -106,17 +109,18 @@ _SPECIES = (
 )
 _CHECKLIST = "locid string, subid string, userdisplayname string, numspecies int, obsfulldt timestamp_ntz"
 
+# ``arrived`` is the time of the run that brought a row, or brought it again.
 MIRROR: dict[str, TableSpec] = {
     "mrr_location": _table(
         "locid string, countrycode string, countryname string, subnational1name string, "
         "subnational1code string, ishotspot boolean, locname string, lat double, lng double, "
-        "hierarchicalname string, obsfulldt timestamp_ntz",
+        "hierarchicalname string, obsfulldt timestamp_ntz, arrived timestamp_ntz",
         "locid",
     ),
-    "mrr_checklist": _table(_CHECKLIST, "subid", "obsfulldt"),
+    "mrr_checklist": _table(f"{_CHECKLIST}, arrived timestamp_ntz", "subid", "obsfulldt"),
     "mrr_observation": _table(
         "speciescode string, obsdt timestamp_ntz, subid string, projid string, obsid string, howmany int, "
-        "present boolean",
+        "present boolean, arrived timestamp_ntz",
         "obsid",
         "obsdt",
     ),
@@ -174,8 +178,8 @@ STAR: dict[str, TableSpec] = {
     "high_water_mark": _table("table_id string, current_high_ts timestamp_ntz", "table_id"),
 }
 
-# Checklists whose view had not landed when they were ingested.
-PENDING: dict[str, TableSpec] = {"pending_view": _table("subid string", "subid")}
+# Checklists whose view had not landed when they were ingested, with the day they were listed for.
+PENDING: dict[str, TableSpec] = {"pending_view": _table("subid string, day date", "subid")}
 
 TABLES: dict[str, TableSpec] = {**MIRROR, **STAR, **PENDING}
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import inheritable_thread_target
@@ -42,8 +44,8 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
-def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
+def _shared(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``.
 
     Only a local session without that setting falls back, to its warehouse folder. Never a temporary folder:
     on a cluster that is visible to one machine only and is lost with it.
@@ -53,7 +55,45 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         shared = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
-    return f"{shared.rstrip('/')}/tidemark-{purpose}-{uuid.uuid4().hex}"
+    return shared.rstrip("/")
+
+
+# Local property of the owner of work folders; threads started by ``run_together`` inherit it.
+_OWNER = "tidemark.owner"
+
+
+def _owned_folder(spark: SparkSession, owner: str) -> str:
+    return f"{_shared(spark)}/tidemark-owner-{hashlib.sha256(owner.encode()).hexdigest()[:32]}"
+
+
+def work_dir(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder below the shared folder, and below that of its owner if there is one (see ``owned``)."""
+    owner = spark.sparkContext.getLocalProperty(_OWNER)
+    parent = _owned_folder(spark, owner) if owner else _shared(spark)
+    return f"{parent}/tidemark-{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def owned(spark: SparkSession, owner: str) -> Iterator[None]:
+    """Work folders made inside belong to ``owner`` and are removed at the end, also after a failure.
+
+    What an earlier owner of this name has left because its driver died is removed first, so a name may be
+    used by one run at a time. No frame that still has to read a work folder may leave the block.
+    """
+    before = spark.sparkContext.getLocalProperty(_OWNER)
+    remove(spark, _owned_folder(spark, owner))
+    spark.sparkContext.setLocalProperty(_OWNER, owner)
+    try:
+        yield
+    finally:
+        spark.sparkContext.setLocalProperty(_OWNER, before)
+        remove(spark, _owned_folder(spark, owner))
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Remove a folder through the file system it names; whether there was one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
 def small_frame(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:

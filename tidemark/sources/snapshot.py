@@ -34,7 +34,7 @@ def snapshot(warehouse: Warehouse, path: str, tables: Iterable[str] | None = Non
         _, seen = settle(warehouse.table(name, state), f"{path}/{name}", mode="overwrite")
         counts[name] = seen["rows"]
 
-    names = sorted(state.parts if tables is None else tables)
+    names = sorted(set(state.parts) & set(warehouse.tables) if tables is None else tables)
     run_together(spark, [partial(copy, name) for name in names])
     manifest = small_frame(spark, sorted(counts.items()), _COUNTS)
     manifest.coalesce(1).write.mode("overwrite").json(f"{path}/row_counts")
