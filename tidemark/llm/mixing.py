@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import unused, written
+from tidemark.operators import keyfilter
 
 #: Key ranges per source; more ranges make smaller tasks and give the same result.
 RANGES = 2048
@@ -207,44 +208,53 @@ def mixture(
 ) -> DataFrame:
     """The mix itself: the rows, each as often as it is to be copied, in the columns of ``docs``.
 
-    Decided on narrow rows: ``cutoffs`` gives one row per source, and each document is then compared with its
-    source's border where it lies. Texts cross the cluster only to meet ``ratings(rated_id, weight)``, one row
-    per id, if these are too many to broadcast. Keys are drawn from a hash of the whole row, so only rows
-    equal in every column tie; should they stand on a border, those copies are made of one of them.
+    Decided on narrow rows: ``cutoffs`` gives one row per source, and each document is compared with its
+    source's border where it lies, as if it had weight 1. Documents that come out otherwise by their own weight
+    in ``ratings(rated_id, weight)``, one row per id, are found among the narrow rows; a filter of their hashes
+    of bounded size tells which texts need to cross the cluster to meet that list. Keys are drawn from a hash
+    of the whole row, so only rows equal in every column tie; should they stand on a border, those copies are
+    made of one of them.
 
     A document's weight in the fractional epoch is positive, 1 without a rating. NULL text and text without
     words has size 0 and is copied once per whole epoch; a NULL source is a source of its own, a NULL id has
     no rating. Repeated rows are copied each; an empty frame gives an empty one. No column is overwritten.
     """
     names = [f"`{c}`" for c in docs.columns]
-
-    def keyed(*more: Column) -> DataFrame:
-        rows = docs.select(
-            *more, word_count(text_col).alias("size"), F.col(source_col).alias("source"), F.xxhash64(*names).alias("tie"),
-            F.col(id_col).alias("id"),
-        )
-        if ratings is None:
-            rows = rows.withColumn("weight", F.lit(1.0))
-        else:
-            rows = rows.join(ratings, F.col("id") == F.col("rated_id"), "left")
-        bits = F.shiftrightunsigned(F.xxhash64("tie", F.lit(seed)), 11)
-        uniform = (bits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
-        weight = F.greatest(F.coalesce("weight", F.lit(1.0)), F.lit(1e-6))
-        return rows.withColumn("key", -F.log(uniform) / weight)
-
-    ranges = max(RANGES, docs.count() // ROWS_PER_RANGE)
-    narrow = keyed().select("source", "size", "key", "tie")
+    tie = F.xxhash64(*names).alias("tie")
+    bits = F.shiftrightunsigned(F.xxhash64("tie", F.lit(seed)), 11)
+    draw = -F.log((bits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 53)))
+
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"), tie)
+    if ratings is not None:
+        narrow = narrow.join(ratings, F.col("id") == F.col("rated_id"), "left")
+    weight = F.lit(1.0) if ratings is None else F.greatest(F.coalesce("weight", F.lit(1.0)), F.lit(1e-6))
+    narrow = written(narrow.select("source", "size", "tie", (draw / weight).alias("key")), "narrow")
+    ranges = max(RANGES, narrow.count() // ROWS_PER_RANGE)
     ends = written(cutoffs(narrow, weights, share, cap, ranges), "cutoffs").withColumnRenamed("source", "of_source")
-    met = keyed(F.struct(*names).alias("row")).join(ends, F.col("source").eqNullSafe(F.col("of_source")))
-    sized, border = F.col("size") > 0, (F.col("key") == F.col("end_key")) & (F.col("tie") == F.col("end_tie"))
-    earlier = (F.col("key") < F.col("end_key")) | ((F.col("key") == F.col("end_key")) & (F.col("tie") < F.col("end_tie")))
+    same_source = F.col("source").eqNullSafe(F.col("of_source"))
     parted = F.coalesce((F.col("chosen") > 0) & (F.col("chosen") < F.col("equal")), F.lit(False))
-    extra = F.coalesce(sized & (earlier | (border & (F.col("chosen") == F.col("equal")))), F.lit(False))
-    copies = F.when(F.coalesce(sized & border & parted, F.lit(False)), 0).otherwise(F.col("epochs") + F.when(extra, 1).otherwise(0))
-    whole = _copied(met.select("row", copies.cast("long").alias("copies")))
+    border = F.coalesce(F.col("tie") == F.col("end_tie"), F.lit(False))
+
+    def copies(key: Column, sized: Column) -> Column:
+        """Of a row with its source's border; rows of a border that is parted are copied apart."""
+        earlier = (key < F.col("end_key")) | ((key == F.col("end_key")) & (F.col("tie") < F.col("end_tie")))
+        taken = F.coalesce(sized & F.when(border, F.col("chosen") == F.col("equal")).otherwise(earlier), F.lit(False))
+        return F.when(sized & border & parted, 0).otherwise(F.col("epochs") + F.when(taken, 1).otherwise(0)).cast("long")
+
+    own, plain = copies(F.col("key"), F.col("size") > 0), copies(draw, F.col("size") > 0)
+    judged = narrow.join(ends, same_source).select(F.col("tie").alias("other_tie"), own.alias("other"), plain.alias("plain"))
+    others = written(judged.filter("other <> plain").select("other_tie", "other").distinct(), "others")
+
+    row = F.struct(*names).alias("row")
+    sized = F.coalesce(F.col(text_col).rlike(WORDS), F.lit(False)).alias("sized")
+    met = docs.select(row, F.col(source_col).alias("source"), sized, tie).join(ends, same_source)
+    marked = keyfilter.with_suspicion(met.select("row", "tie", copies(draw, F.col("sized")).alias("copies")), "tie", others.select(F.col("other_tie").alias("hash")), "marked")
+    whole = _copied(marked.filter(~F.col("marked")).select("row", "copies"))
+    exact = marked.filter("marked").join(others, F.col("tie") == F.col("other_tie"), "left")
+    whole = whole.unionByName(_copied(exact.select("row", F.coalesce("other", "copies").alias("copies"))))
     if ends.filter(parted).count():
         # One row stands for all that are equal to it; its copies are made in many tasks.
-        one = met.filter(sized & border & parted).select("row", (F.col("epochs") * F.col("equal") + F.col("chosen")).alias("copies"))
+        one = met.filter(F.col("sized") & border & parted).select("row", (F.col("epochs") * F.col("equal") + F.col("chosen")).alias("copies"))
         chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {CHUNK}"))).alias("chunk")
         dealt = one.distinct().select("row", "copies", chunks).repartition("chunk")
         left = F.least(F.lit(CHUNK), F.col("copies") - F.col("chunk") * CHUNK)
