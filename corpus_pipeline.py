@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, jaccard, mixing, sharding, toxicity
-from tidemark.llm.frames import shielded, table, text_hash, unused, written
+from tidemark.llm.frames import shielded, table, text_hash, written
+from tidemark.operators import keyfilter
+from tidemark.session import owned, remove, work_dir
 
 SHARDS = 8
 
@@ -37,7 +39,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     NULL is the largest id. Of rows with the smallest id, one with the smallest hash of its text stays, and of
     these one with the smallest hash of all columns; ids may be NULL and may repeat, in one group or in several.
 
-    Who goes is decided on hashes; texts are shuffled once, to meet the hashes of those that go.
+    Who goes is decided on hashes. A filter of bounded size marks the rows that may go, and only their texts are
+    shuffled, to meet the list of those that do.
     """
     names = [f"`{c}`" for c in docs.columns]
     found = jaccard.jaccard_join(docs).filter(F.col("n_shingles") > 0)
@@ -47,24 +50,24 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     crowded = first.filter("rows > 1").select("component", "first")
     # Every place of a crowded component goes, apart from a first one that holds a single row.
     met = placed.join(crowded, "component")
-    gone = written(met.filter((F.col("place") != F.col("first")) | (F.col("rows") > 1)).select("place.*", (F.col("place") == F.col("first")).alias("back")), "gone")
-
-    hashed, gone_id, gone_hash = (unused(docs, c) for c in ("text_hash", "gone_id", "gone_hash"))
-    rows = docs.withColumn(hashed, text_hash("text"))
-
-    def places(back: bool) -> DataFrame:
-        some = gone.filter("back") if back else gone
-        return some.select(F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_hash))
-
-    here = F.col("doc_id").eqNullSafe(F.col(gone_id)) & (F.col(hashed) == F.col(gone_hash))
-    kept = rows.join(places(False), here, "left_anti").select(*names)
+    gone = met.filter((F.col("place") != F.col("first")) | (F.col("rows") > 1)).select(
+        F.col("place.doc_id").alias("gone_id"), F.col("place.text_hash").alias("gone_hash"),
+        (F.col("place") == F.col("first")).alias("back"), F.xxhash64("place.doc_id", "place.text_hash").alias("hash"),
+    )
+    gone = written(gone, "gone")
+    rows = docs.select(F.struct(*names).alias("row"), F.col("doc_id").alias("id"), text_hash("text").alias("text_hash"))
+    rows = rows.withColumn("hash", F.xxhash64("id", "text_hash"))
+    # Few rows stand where some go: only these meet the list, all others stay where they are.
+    marked = keyfilter.with_suspicion(rows, "hash", gone.select("hash"), "marked")
+    here = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash"))
+    kept = marked.filter(~F.col("marked")).select("row")
+    kept = kept.unionByName(marked.filter("marked").join(gone, here, "left_anti").select("row"))
     if gone.filter("back").count():
         # Rows equal in id and text: the one of the smallest hash, whole rows reduced where they lie first.
-        repeated = rows.join(places(True), here, "left_semi")
-        least = F.min_by(F.struct(*names), F.xxhash64(*names)).alias("row")
-        one = repeated.groupBy("doc_id", hashed).agg(least)
-        kept = kept.unionByName(one.select(*[F.col("row")[c].alias(c) for c in docs.columns]))
-    return kept
+        repeated = rows.join(gone.filter("back"), here, "left_semi")
+        least = F.min_by("row", F.xxhash64(*[F.col("row")[c] for c in docs.columns])).alias("row")
+        kept = kept.unionByName(repeated.groupBy("id", "text_hash").agg(least).select("row"))
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -109,8 +112,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; only the last one's rows stay in the shared folder."""
+    docs, left = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = work_dir(spark, f"pipeline-{name}")
+        with owned(spark, path):
+            rows = stage(spark, docs, sf_dir)
+            rows.write.parquet(path)
+        docs = spark.read.schema(rows.schema).parquet(path)
+        if left is not None:
+            remove(spark, left)
+        left = path
     return docs
