@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from checks import check
 from checks.roles import (
-    COUNTRY, FAMILY_NAME, HOTSPOT, ORDER_NAME, SPECIES_DETAIL, SUBREGION, TAXONOMY,
-    countries, family_names, hotspots, order_names, read, species_details, subregions, taxonomy,
+    FAMILY_NAME, HOTSPOT, ORDER_NAME, TAXONOMY,
+    countries, family_names, hotspots, order_names, read, subregions, taxonomy,
 )
 from tidemark.operators import clean, enrich, merge
 
@@ -36,26 +36,51 @@ def dict_project(spark, sf):
     return clean.clean_hotspots(raw)
 
 
+# Rows that find no name are the point of these checks: one country and one subregion, and in one locale one order
+# and one family, are not in the dictionaries here.
 _HOTSPOTS = f"""
-SELECT h.locid, h.locname, c.name AS countryname, s.name AS subregionname, h.lat, h.lon,
+SELECT h.locid, h.locname, c.r_name AS countryname, s.n_name AS subregionname, h.lat, h.lon,
        CAST(h.numspeciesalltime AS INTEGER) AS numspeciesalltime, h.latestobsdt
-FROM ({HOTSPOT}) h {{how}} JOIN ({COUNTRY}) c ON h.countrycode = c.code
-{{how}} JOIN ({SUBREGION}) s ON h.subnational1code = s.code"""
+FROM ({HOTSPOT}) h {{how}} JOIN (SELECT * FROM region WHERE r_name <> 'ASIA') c ON h.countrycode = c.r_regionkey
+{{how}} JOIN (SELECT * FROM nation WHERE n_name <> 'NATION_7') s ON h.subnational1code = s.n_nationkey"""
+
+
+def _hotspots(spark, sf, how):
+    known = countries(spark, sf).filter("name <> 'ASIA'"), subregions(spark, sf).filter("name <> 'NATION_7'")
+    return enrich.hotspots_with_regions(hotspots(spark, sf), *known, how)
 
 
 @check("hotspots_left", _HOTSPOTS.format(how="LEFT"))
 def hotspots_left(spark, sf):
-    return enrich.hotspots_with_regions(hotspots(spark, sf), countries(spark, sf), subregions(spark, sf))
+    return _hotspots(spark, sf, "left")
 
 
 @check("hotspots_inner", _HOTSPOTS.format(how="INNER"))
 def hotspots_inner(spark, sf):
-    return enrich.hotspots_with_regions(hotspots(spark, sf), countries(spark, sf), subregions(spark, sf), "inner")
+    return _hotspots(spark, sf, "inner")
+
+
+_ORDER_PART = f"SELECT * FROM ({ORDER_NAME}) WHERE ordersciname <> 'PROMO' OR orderlocale = 'en'"
+_FAMILY_PART = f"SELECT * FROM ({FAMILY_NAME}) WHERE familycode <> 'Brand#1' OR familylocale = 'en'"
+
+
+def _names(spark, sf, family_side):
+    orders = order_names(spark, sf).filter("ordersciname <> 'PROMO' OR orderlocale = 'en'")
+    families = family_names(spark, sf).filter("familycode <> 'Brand#1' OR familylocale = 'en'")
+    return enrich.taxonomy_with_names(taxonomy(spark, sf), orders, families, "ru", family_side)
 
 
-@check("taxonomy_names", SPECIES_DETAIL)
+@check(
+    "taxonomy_names",
+    f"""
+SELECT t.speciescode, t.sciname, t.comname, t.category, t.ordersciname, o.ordercomname, t.familycode,
+       f.familycomname, t.familysciname
+FROM ({TAXONOMY}) t
+LEFT JOIN ({_ORDER_PART}) o ON t.ordersciname = o.ordersciname AND o.orderlocale = 'ru'
+LEFT JOIN ({_FAMILY_PART}) f ON t.familycode = f.familycode AND f.familylocale = 'ru'""",
+)
 def taxonomy_names(spark, sf):
-    return species_details(spark, sf)
+    return _names(spark, sf, family_side=False)
 
 
 @check(
@@ -64,13 +89,11 @@ def taxonomy_names(spark, sf):
 SELECT t.speciescode, t.sciname, t.comname, t.category, t.ordersciname, o.ordercomname, f.familycode,
        f.familycomname, f.familysciname
 FROM ({TAXONOMY}) t
-LEFT JOIN ({ORDER_NAME}) o ON t.ordersciname = o.ordersciname AND o.orderlocale = 'ru'
-LEFT JOIN ({FAMILY_NAME}) f ON t.familycode = f.familycode AND f.familylocale = 'ru'""",
+LEFT JOIN ({_ORDER_PART}) o ON t.ordersciname = o.ordersciname AND o.orderlocale = 'ru'
+LEFT JOIN ({_FAMILY_PART}) f ON t.familycode = f.familycode AND f.familylocale = 'ru'""",
 )
 def taxonomy_names_family_side(spark, sf):
-    return enrich.taxonomy_with_names(
-        taxonomy(spark, sf), order_names(spark, sf), family_names(spark, sf), "ru", family_side=True
-    )
+    return _names(spark, sf, family_side=True)
 
 
 # The stored dictionary holds every part under its old name; the new one has lost the parts of one type.

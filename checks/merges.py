@@ -10,7 +10,7 @@ from checks.roles import (
     checklists, checklists_first, checklists_second, observations, read,
 )
 from tidemark.operators import merge
-from tidemark.operators.quality import with_reject_reason
+from tidemark.operators.quality import quality_split as split
 
 
 @check(
@@ -92,10 +92,11 @@ SELECT *, nullif(concat_ws(',', CASE WHEN locid IS NULL THEN 'locid' END,
                            CASE WHEN userdisplayname IS NULL THEN 'userdisplayname' END), '') AS reject_reason FROM d""",
 )
 def quality_split(spark, sf):
-    """Every checklist with the reason it would be rejected for, if any."""
+    """Accepted checklists without a reason, rejected ones with it: together every checklist."""
     holes = checklists(spark, sf).select(
         F.when(F.col("numspecies") >= 100, F.col("locid")).alias("locid"),
         "subid",
         F.when(F.col("userdisplayname") != "5-LOW", F.col("userdisplayname")).alias("userdisplayname"),
     )
-    return with_reject_reason(holes, ["locid", "userdisplayname"])
+    accepted, rejected = split(holes, ["locid", "userdisplayname"])
+    return accepted.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(rejected)

@@ -66,6 +66,48 @@ def seasonal_diversity_approx(spark, sf):
     return reports.seasonal_diversity_approx(fact(spark, sf), locations(spark, sf))
 
 
+@check(
+    "seasonal_diversity_sketches",
+    f"""
+WITH s AS (SELECT f.speciescode, f.howmany, CAST(year(f.obsdt) AS INTEGER) AS year, CAST(quarter(f.obsdt) AS INTEGER) AS quarter,
+                  l.countryname, l.subregionname FROM ({FACT}) f LEFT JOIN ({LOCATION}) l ON f.locid = l.locid)
+SELECT 'quarter and country' AS level, year, quarter, countryname, NULL AS subregionname, count(DISTINCT speciescode) AS species,
+       CAST(sum(howmany) AS BIGINT) AS individuals, true AS estimate_is_close FROM s GROUP BY year, quarter, countryname
+UNION ALL
+SELECT 'year and subregion', year, NULL, countryname, subregionname, count(DISTINCT speciescode),
+       CAST(sum(howmany) AS BIGINT), true FROM s GROUP BY year, countryname, subregionname""",
+)
+def seasonal_diversity_sketches(spark, sf):
+    """Stored sketches of months and subregions merged to quarters and countries, and to years and subregions.
+
+    With the exact counts, and whether each estimate lies within three standard errors of it.
+    """
+    facts, places = fact(spark, sf), locations(spark, sf)
+    path = work_dir(spark, "sketches")
+    reports.diversity_sketches(facts, places).write.parquet(path)
+    stored = spark.read.parquet(path)
+    named = facts.join(places.select("locid", "countryname", "subregionname"), "locid", "left")
+    named = named.select("speciescode", "countryname", "subregionname", F.year("obsdt").alias("year"), F.quarter("obsdt").alias("quarter"))
+    columns = ["year", "quarter", "countryname", "subregionname"]
+    out = []
+    for level, by in (("quarter and country", columns[:3]), ("year and subregion", [columns[0], *columns[2:]])):
+        estimated = reports.diversity_over(stored, *by).withColumnRenamed("species", "estimate")
+        exact = named.groupBy(*by).agg(F.countDistinct("speciescode").alias("species"))
+        renamed = exact.select(*[F.col(c).alias(f"exact_{c}") for c in by], "species")
+        same = F.lit(True)
+        for c in by:
+            same &= F.col(c).eqNullSafe(F.col(f"exact_{c}"))
+        near = F.abs(F.col("estimate") - F.col("species")) <= 3 * reports.sketch_error() * F.col("species")
+        out.append(
+            estimated.join(renamed, same).select(
+                F.lit(level).alias("level"),
+                *[F.col(c).alias(c) if c in by else F.lit(None).cast("string" if c.endswith("name") else "int").alias(c) for c in columns],
+                "species", "individuals", near.alias("estimate_is_close"),
+            )
+        )
+    return out[0].unionByName(out[1])
+
+
 @check(
     "abundance_by_temperature",
     f"""

@@ -126,26 +126,19 @@ def hotspots(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-# Dictionaries without one country and one subregion, so that some hotspots find no name.
-COUNTRY = "SELECT r_regionkey AS code, r_name AS name FROM region WHERE r_name <> 'ASIA'"
-SUBREGION = "SELECT n_nationkey AS code, n_name AS name FROM nation WHERE n_name <> 'NATION_7'"
-
-
 def countries(spark: SparkSession, sf: str) -> DataFrame:
-    named = read(spark, sf, "region").filter(F.col("r_name") != "ASIA")
-    return named.select(F.col("r_regionkey").alias("code"), F.col("r_name").alias("name"))
+    return read(spark, sf, "region").select(F.col("r_regionkey").alias("code"), F.col("r_name").alias("name"))
 
 
 def subregions(spark: SparkSession, sf: str) -> DataFrame:
-    named = read(spark, sf, "nation").filter(F.col("n_name") != "NATION_7")
-    return named.select(F.col("n_nationkey").alias("code"), F.col("n_name").alias("name"))
+    return read(spark, sf, "nation").select(F.col("n_nationkey").alias("code"), F.col("n_name").alias("name"))
 
 
 LOCATION = f"""
-SELECT h.locid, h.locname, h.lat, h.lon, c.name AS countryname, s.name AS subregionname,
+SELECT h.locid, h.locname, h.lat, h.lon, c.r_name AS countryname, s.n_name AS subregionname,
        h.latestobsdt, CAST(h.numspeciesalltime AS INTEGER) AS numspeciesalltime
-FROM ({HOTSPOT}) h LEFT JOIN ({COUNTRY}) c ON h.countrycode = c.code
-LEFT JOIN ({SUBREGION}) s ON h.subnational1code = s.code"""
+FROM ({HOTSPOT}) h LEFT JOIN region c ON h.countrycode = c.r_regionkey
+LEFT JOIN nation s ON h.subnational1code = s.n_nationkey"""
 
 
 def locations(spark: SparkSession, sf: str) -> DataFrame:
@@ -181,11 +174,11 @@ def taxonomy(spark: SparkSession, sf: str) -> DataFrame:
 LOCALES = ["en", "ru"]
 ORDER_NAME = """
 SELECT DISTINCT p_type AS ordersciname, l.locale AS orderlocale, concat(lower(p_type), ' ', l.locale) AS ordercomname
-FROM part, (VALUES ('en'), ('ru')) l(locale) WHERE p_type <> 'PROMO' OR l.locale = 'en'"""
+FROM part, (VALUES ('en'), ('ru')) l(locale)"""
 FAMILY_NAME = """
 SELECT DISTINCT p_brand AS familycode, l.locale AS familylocale, concat(lower(p_brand), ' ', l.locale) AS familycomname,
        upper(p_brand) AS familysciname
-FROM part, (VALUES ('en'), ('ru')) l(locale) WHERE p_brand <> 'Brand#1' OR l.locale = 'en'"""
+FROM part, (VALUES ('en'), ('ru')) l(locale)"""
 
 
 def _per_locale(df: DataFrame) -> DataFrame:
@@ -193,8 +186,7 @@ def _per_locale(df: DataFrame) -> DataFrame:
 
 
 def order_names(spark: SparkSession, sf: str) -> DataFrame:
-    types = _per_locale(read(spark, sf, "part").select("p_type"))
-    return types.filter((F.col("p_type") != "PROMO") | (F.col("locale") == "en")).select(
+    return _per_locale(read(spark, sf, "part").select("p_type")).select(
         F.col("p_type").alias("ordersciname"),
         F.col("locale").alias("orderlocale"),
         F.concat(F.lower("p_type"), F.lit(" "), "locale").alias("ordercomname"),
@@ -202,8 +194,7 @@ def order_names(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def family_names(spark: SparkSession, sf: str) -> DataFrame:
-    brands = _per_locale(read(spark, sf, "part").select("p_brand"))
-    return brands.filter((F.col("p_brand") != "Brand#1") | (F.col("locale") == "en")).select(
+    return _per_locale(read(spark, sf, "part").select("p_brand")).select(
         F.col("p_brand").alias("familycode"),
         F.col("locale").alias("familylocale"),
         F.concat(F.lower("p_brand"), F.lit(" "), "locale").alias("familycomname"),

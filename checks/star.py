@@ -12,15 +12,16 @@ from checks.feed_checks import land_checklists, land_observations, observation_r
 from checks.merges import MIRROR_UPSERT
 from checks.roles import (
     CHECKLIST, CUT, CUT_SQL, LOCATION, OBSERVATION, SPECIES_DETAIL,
-    as_text, checklists, checklists_first, checklists_second, fact, hotspots, locations, observations, read,
-    species_details,
+    as_text, checklists, checklists_first, checklists_second, fact, family_names, hotspots, locations, observations,
+    order_names, read, species_details,
 )
 from checks.dictionaries import hotspots_inner
 from tidemark.operators import enrich, merge
 from tidemark.plans import reports
 from tidemark.plans.mirror import ingest_observations, refresh_dictionaries
 from tidemark.plans.model import build_model
-from tidemark.plans.stage import stage
+from tidemark.plans.run import Settings, run_once
+from tidemark.plans.stage import stage, staged_batch
 from tidemark.schemas import FACT_MARK, MEASURES, STAGING, WEATHER_MARK
 from tidemark.session import work_dir
 from tidemark.sources import staging
@@ -50,7 +51,7 @@ def dim_dt(spark, sf):
 _STORED_LOCATION = f"""
 SELECT locid, concat('old ', locname) AS locname, lat, lon, countryname, subregionname, latestobsdt,
        CAST(NULL AS INTEGER) AS numspeciesalltime FROM ({LOCATION})"""
-_INNER = f"SELECT * FROM ({LOCATION}) WHERE countryname IS NOT NULL AND subregionname IS NOT NULL"
+_INNER = f"SELECT * FROM ({LOCATION}) WHERE countryname <> 'ASIA' AND subregionname <> 'NATION_7'"
 
 
 @check(
@@ -405,3 +406,56 @@ def views_pending(spark, sf):
         publication.write("high_water_mark", high.select(F.lit(FACT_MARK).alias("table_id"), "current_high_ts"))
         publication.publish()
     return warehouse.table("mrr_observation").select("speciescode", "subid", "obsid", "obsdt")
+
+
+@check(
+    "late_views_to_star",
+    """
+SELECT subid, speciescode, CAST(o_custkey AS VARCHAR) AS locid, obsdt
+FROM (SELECT CAST(l_orderkey AS VARCHAR) AS subid, concat('p', l_partkey) AS speciescode, max(l_shipdate) AS obsdt
+      FROM lineitem GROUP BY ALL
+      UNION ALL
+      SELECT CAST(l_orderkey AS VARCHAR), concat('s', l_suppkey), max(l_shipdate) FROM lineitem GROUP BY ALL)
+JOIN orders ON subid = CAST(o_orderkey AS VARCHAR)""",
+)
+def late_views_to_star(spark, sf):
+    """Two whole runs: the views of every second order land a run after their checklists, older than the mark by then.
+
+    Staged by arrival, the fact ends with all observations.
+    """
+    root = work_dir(spark, "feeds")
+    landing, warehouse = f"{root}/landing", Warehouse(spark, f"{root}/warehouse")
+    _land_dictionaries(spark, sf, landing)
+    land_checklists(spark, sf, f"{landing}/checklists")
+    none = "struct<loc_id:string,obsdt:date,status:int>"
+    spark.range(0).select(F.lit(None).cast(none).alias("x")).select("x.*").write.json(f"{landing}/weather")
+    publication = warehouse.begin("start")
+    start = read(spark, sf, "orders").agg((F.min("o_orderdate") - F.expr("interval 1 day")).alias("current_high_ts"))
+    publication.write("high_water_mark", start.select(F.lit(FACT_MARK).alias("table_id"), "current_high_ts"))
+    publication.publish()
+    settings = Settings(
+        landing, f"{root}/staging", f"{root}/log", "ru", multi_line=False, missing_views="pending", staged_by="arrival"
+    )
+    for turn in range(2):
+        land_observations(spark, sf, f"{landing}/observations", f"l_orderkey % 2 = {turn}")
+        run_once(spark, warehouse, settings, f"run-{turn}", datetime(2002, 1, 1 + turn))
+    return warehouse.table("dwh_fact_observation").select("subid", "speciescode", "locid", "obsdt")
+
+
+@check(
+    "common_names",
+    """
+SELECT concat('p', p_partkey) AS speciescode, p_type AS ordersciname, concat(lower(p_type), ' ru') AS ordercomname,
+       p_brand AS familycode, concat(lower(p_brand), ' ru') AS familycomname FROM part""",
+)
+def common_names(spark, sf):
+    """Common names exported as CSV, loaded by position with the dictionaries, and joined into staged species."""
+    root = work_dir(spark, "feeds")
+    warehouse = Warehouse(spark, f"{root}/warehouse")
+    _land_dictionaries(spark, sf, f"{root}/landing")
+    for folder, names in (("orders", order_names(spark, sf)), ("families", family_names(spark, sf))):
+        exported = names.select(*[F.col(c).alias(f"upstream {i}") for i, c in enumerate(names.columns)])
+        exported.write.option("header", True).csv(f"{root}/names/{folder}")
+    refresh_dictionaries(spark, f"{root}/landing", warehouse, "d", multi_line=False, comnames=f"{root}/names")
+    staged = staged_batch(warehouse, "ru")["stg_taxonomy"]
+    return staged.select("speciescode", "ordersciname", "ordercomname", "familycode", "familycomname")

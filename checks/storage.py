@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import check
-from checks.roles import CHECKLIST, as_text, checklists, read
+from checks.merges import FIRST
+from checks.roles import CHECKLIST, as_text, checklists, checklists_first, checklists_second, read
+from tidemark.operators import merge
 from tidemark.schemas import STAR
 from tidemark.session import work_dir
 from tidemark.sources import feeds, staging
@@ -69,3 +71,21 @@ def snapshot_roundtrip(spark, sf):
     snapshot(stored, f"{root}/backup")
     restore(other, f"{root}/backup")
     return other.table("dwh_dim_checklist").select(*STAR["dwh_dim_checklist"].columns)
+
+
+@check(
+    "failed_publication",
+    f"""
+SELECT CAST(locid AS VARCHAR) AS locid, CAST(subid AS VARCHAR) AS subid, userdisplayname, numspecies, obsfulldt
+FROM ({FIRST})""",
+)
+def failed_publication(spark, sf):
+    """A second batch has written its checklists when it fails: readers keep the first batch, whole."""
+    warehouse = Warehouse(spark, f"{work_dir(spark, 'failed')}/warehouse")
+    publication = warehouse.begin("first")
+    publication.write("dwh_dim_checklist", as_text(checklists_first(spark, sf), "locid", "subid"))
+    publication.publish()
+    failing = warehouse.begin("second")
+    old, new = failing.table("dwh_dim_checklist"), as_text(checklists_second(spark, sf), "locid", "subid")
+    failing.write("dwh_dim_checklist", merge.upsert(old, new, ["subid"]))
+    return warehouse.table("dwh_dim_checklist")

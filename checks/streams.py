@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from checks import check
+from checks.feed_checks import OBSFULLDT, land_checklists, land_observations
 from checks.merges import FIRST, MIRROR_UPSERT
 from checks.roles import CHECKLIST_SECOND, CUT, CUT_SQL, as_text, checklists_first, checklists_second, read
 from tidemark.schemas import FACT_MARK, MIRROR
@@ -109,3 +110,38 @@ def stream_dedup(spark, sf):
         stream = ingest.new_files(spark, f"{root}/landing", events.schema)
         ingest.deduplicate_stream(stream, f"{root}/unique", f"{root}/checkpoint", ["event_id"], ["ts"])
     return ingest.stored_batches(spark, f"{root}/unique", events.schema)
+
+
+# Each observation once, as its latest record says.
+MIRRORED = """
+SELECT CAST(l_orderkey AS VARCHAR) AS subid, concat('p', l_partkey) AS speciescode,
+       concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) || 'p' AS obsid, max(l_shipdate) AS obsdt
+FROM lineitem GROUP BY ALL
+UNION ALL
+SELECT CAST(l_orderkey AS VARCHAR), concat('s', l_suppkey),
+       concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) || 's', max(l_shipdate)
+FROM lineitem GROUP BY ALL"""
+
+
+@check(
+    "stream_feeds",
+    f"""
+SELECT o.*, CAST(o_custkey AS VARCHAR) AS locid, {OBSFULLDT} AS obsfulldt, c_name AS locname, n_name AS subnational1name
+FROM ({MIRRORED}) o JOIN orders ON CAST(o_orderkey AS VARCHAR) = o.subid
+JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
+)
+def stream_feeds(spark, sf):
+    """JSON checklists and views of all orders land in three turns, views a turn apart from their checklists.
+
+    Each turn only opens what has landed since the last; the mirror ends as if all had landed at once.
+    """
+    root = work_dir(spark, "stream")
+    landing, warehouse = f"{root}/landing", Warehouse(spark, f"{root}/warehouse")
+    for turn in range(3):
+        land_checklists(spark, sf, f"{landing}/checklists", f"o_orderkey % 3 = {turn}")
+        land_observations(spark, sf, f"{landing}/observations", f"(l_orderkey + 1) % 3 = {turn}")
+        ingest.ingest_feeds(spark, landing, warehouse, f"{root}/checkpoint", "feeds", multi_line=False)
+    checklists = warehouse.table("mrr_checklist").select("subid", "locid", "obsfulldt")
+    places = warehouse.table("mrr_location").select("locid", "locname", "subnational1name")
+    observed = warehouse.table("mrr_observation").select("subid", "speciescode", "obsid", "obsdt")
+    return observed.join(checklists, "subid").join(places, "locid")

@@ -11,7 +11,13 @@ from checks import check
 from checks.roles import read
 from tidemark.functions import older_than
 from tidemark.operators import clean, merge, weather
+from tidemark.plans.mirror import ingest_weather
+from tidemark.plans.model import build_model
+from tidemark.plans.stage import stage
 from tidemark.schemas import FEEDS, MEASURES
+from tidemark.session import work_dir
+from tidemark.sources import staging
+from tidemark.sources.warehouse import Warehouse
 
 RUN = datetime(2024, 2, 1, 6)
 _MEASURES_OF = "{v} AS tavg, {v} - 1 AS tmin, {v} + 1 AS tmax, " + ", ".join(
@@ -245,3 +251,60 @@ def facts_with_weather(spark, sf) -> DataFrame:
 @check("fact_weather_update", FACT_WITH_WEATHER)
 def fact_weather_update(spark, sf):
     return facts_with_weather(spark, sf)
+
+
+def _feed_to_fact(spark, sf, on_failure: str, on_conflict: str, errors: int) -> DataFrame:
+    """Answers landed as JSON by day, twice, the second time 100 degrees warmer, then the facts with their weather."""
+    root = work_dir(spark, "weather")
+    landing, warehouse = f"{root}/landing", Warehouse(spark, f"{root}/warehouse")
+
+    def user(column: str):
+        return F.lpad(F.col(column).cast("string"), 10, "0").alias(column)
+
+    known = facts(spark, sf).withColumn("speciescode", F.lit("any")).withColumn("subid", F.col("subid").cast("string"))
+    known = known.withColumn("locid", user("locid"))
+    nothing = [F.lit(None).cast("string").alias(c) for c in ("locname", "countryname", "subregionname")]
+    places = known.select("locid").distinct().select(
+        "locid", F.lit(1.5).alias("lat"), F.lit(2.5).alias("lon"), *nothing,
+        F.lit(None).cast("timestamp_ntz").alias("latestobsdt"), F.lit(None).cast("int").alias("numspeciesalltime"),
+    )
+    publication = warehouse.begin("start")
+    publication.write("dwh_fact_observation", known)
+    publication.write("dwh_dim_location", places)
+    publication.publish()
+    for turn in range(2):
+        answers = responses(spark, sf, errors).withColumn("loc_id", user("loc_id"))
+        warmer = F.transform("data", lambda r: r.withField("tavg", r["tavg"] + 100 * turn))
+        landed = answers.withColumn("data", warmer).withColumn("day", F.col("obsdt"))
+        landed.write.mode("append").partitionBy("day").json(f"{landing}/weather")
+        ingest_weather(
+            spark, landing, warehouse, f"weather-{turn}", RUN, on_conflict, on_failure, multi_line=False, by_day=True
+        )
+    stage(warehouse, f"{root}/staging", "ru")
+    build_model(warehouse, staging.read_batch(spark, f"{root}/staging"), "model")
+    stored = warehouse.table("dwh_fact_observation")
+    return stored.select(F.lit(on_failure).alias("on_failure"), F.lit(on_conflict).alias("on_conflict"), "subid", "tavg", "tmax")
+
+
+_JOINED = """
+SELECT '{on_failure}' AS on_failure, '{on_conflict}' AS on_conflict, CAST(event_id AS VARCHAR) AS subid,
+       w.tavg + {more} AS tavg, w.tmax AS tmax
+FROM events e LEFT JOIN ({walk}) w ON e.user_id = w.loc_id AND CAST(e.ts AS DATE) = w.obsdt WHERE e.event_type = 'purchase'"""
+
+
+@check(
+    "weather_feed_to_fact",
+    _JOINED.format(on_failure="skip", on_conflict="ignore", more=0, walk=_WALK.format(failing="2", stop=""))
+    + " UNION ALL "
+    + _JOINED.format(
+        on_failure="stop",
+        on_conflict="replace",
+        more=100,
+        walk=_WALK.format(failing="3", stop="LEFT JOIN stop ON true")
+        + " AND (stop_loc IS NULL OR locid < stop_loc OR (locid = stop_loc AND obsdt < stop_day))",
+    ),
+)
+def weather_feed_to_fact(spark, sf):
+    """The weather branch from its JSON feed to the fact, with either answer to failed fetches and to conflicts."""
+    kept = _feed_to_fact(spark, sf, "skip", "ignore", errors=2)
+    return kept.unionByName(_feed_to_fact(spark, sf, "stop", "replace", errors=3))

@@ -12,7 +12,10 @@ SF = "/root/testdata/sf0.001"
 checks.load_all()
 QUERIES, ORACLE = checks.QUERIES, checks.ORACLE
 # Compositions that take many jobs; `compare.py` runs them too.
-LONG = {"star_fact_two_batches", "star_marks_two_batches", "feeds_to_star", "snapshot_roundtrip"}
+LONG = {
+    "star_fact_two_batches", "star_marks_two_batches", "feeds_to_star", "snapshot_roundtrip", "late_views_to_star",
+    "weather_feed_to_fact", "stream_feeds",
+}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no given tables")
 

@@ -1,11 +1,11 @@
 """Plans at scale: pushed filters, pruned columns and months, split hot keys, no forced broadcast."""
 
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import enrich, incremental, merge
+from tidemark.operators import enrich, incremental, merge, weather
 from tidemark.plans import reports
 from tidemark.schemas import MIRROR
 from tidemark.sources.warehouse import MONTH, Warehouse
@@ -88,6 +88,48 @@ def test_null_keys_bypass_the_shuffle(spark, tmp_path):
     assert merged.count() == stored.count() + stored.filter("subid is null").count()
 
 
+def test_weather_walk_needs_no_window_and_no_second_look(spark):
+    """One aggregate per location carries its rows along; a walk that may stop looks at days and flags once more."""
+    rows = [(f"L{i % 7}", date(2024, 1, 1 + i % 20), i % 11 == 3, i % 13 == 5, "payload") for i in range(140)]
+    walk = spark.createDataFrame(rows, "locid string, obsdt date, gap boolean, failed boolean, data string").distinct()
+    kept = weather.suppress_after_gap(walk)
+    text = plan(kept)
+    assert "Window" not in text and text.count("Scan ExistingRDD") == 1 and "partial_collect_list" in text
+    stopped = plan(weather.stop_at_first_failure(walk))
+    assert "Window" not in stopped and "partial_min" in stopped
+
+    def by_hand(stop):
+        out, ended = [], set()
+        for loc, day, gap, failed, data in sorted(set(rows)):
+            if loc in ended:
+                continue
+            if failed and stop:
+                break
+            out.append((loc, day, gap, failed, data))
+            if gap:
+                ended.add(loc)
+        return out
+
+    unique = {(r[0], r[1]): r for r in rows}
+    rows = list(unique.values())
+    walk = spark.createDataFrame(rows, "locid string, obsdt date, gap boolean, failed boolean, data string")
+    assert sorted(tuple(r) for r in weather.suppress_after_gap(walk).collect()) == by_hand(False)
+    both = weather.suppress_after_gap(weather.stop_at_first_failure(walk))
+    assert sorted(tuple(r) for r in both.collect()) == by_hand(True)
+
+
+def test_merge_into_a_bucketed_table_reads_its_keys_in_place(spark, tmp_path, small_thresholds):
+    warehouse = Warehouse(spark, str(tmp_path), buckets=8)
+    data = [("x", datetime(2024, m, 5), "S", "P", f"O{m}-{i}", 1, True, None) for m in (1, 2, 3) for i in range(20)]
+    publication = warehouse.begin("a")
+    publication.write("mrr_observation", spark.createDataFrame(data, MIRROR["mrr_observation"].schema))
+    publication.publish()
+    stored = warehouse.table("mrr_observation")
+    keys = spark.range(5).select(F.concat(F.lit("O1-"), F.col("id")).alias("obsid"))
+    text = plan(stored.select("obsid").join(keys, "obsid", "left_semi"))
+    assert text.count("Bucketed: true") == 3 and text.count("Exchange hashpartitioning") == 1
+
+
 def test_mark_reaches_the_scan_and_prunes_months_and_columns(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
     data = [("x", datetime(2024, m, 5), "S", "P", f"O{m}", 1, True, None) for m in (1, 2, 3)]

@@ -93,6 +93,19 @@ def test_empty_staging_table(spark, tmp_path, fmt):
     assert staging.read_table(spark, str(tmp_path / "t"), STAGING["stg_weather"], fmt).count() == 0
 
 
+def test_staged_times_lose_their_zone(spark, tmp_path, rows):
+    """A mirror whose times carry a zone stages the same wall clocks in a session of any zone."""
+    zoned = spark.sql("SELECT 'L1' AS locid, 'S1' AS subid, 'Ana' AS userdisplayname, 1 AS numspecies, timestamp'2024-01-01 07:05:00+04:00' AS obsfulldt")
+    empty = {n: spark.createDataFrame([], s) for n, s in STAGING.items() if n != "stg_checklist"}
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tbilisi")
+    try:
+        staging.write_batch({**empty, "stg_checklist": zoned}, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert rows(staging.read_batch(spark, str(tmp_path))["stg_checklist"], "obsfulldt") == [(datetime(2024, 1, 1, 3, 5),)]
+
+
 def test_csv_number_that_does_not_fit_fails(spark, tmp_path):
     (tmp_path / "t.csv").write_text("a,b,c,d,e\nL1,S1,Ana,3.0,2024-01-01 07:05:00\n")
     with pytest.raises(Exception, match="FAILFAST|MALFORMED"):

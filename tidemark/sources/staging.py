@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions import wall_clock
 from tidemark.schemas import STAGING
 from tidemark.session import run_together
 
@@ -42,12 +43,21 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.format(fmt).load(path)
 
 
+def without_zones(df: DataFrame) -> DataFrame:
+    """Date-times with a zone become their UTC wall clocks, whatever the session's zone is; others stay."""
+    zoned = {f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)}
+    return df.withColumns({c: wall_clock(F.col(c)) for c in zoned}) if zoned else df
+
+
 def write_batch(batch: dict[str, DataFrame], path: str, fmt: str = "parquet") -> None:
-    """Write the staged tables of a run in their declared column order and types."""
+    """Write the staged tables of a run in their declared column order and types, date-times without zones."""
     spark = next(iter(batch.values())).sparkSession
     run_together(
         spark,
-        [partial(write_table, df.to(STAGING[name]), f"{path}/{name}", fmt) for name, df in batch.items()],
+        [
+            partial(write_table, without_zones(df).to(STAGING[name]), f"{path}/{name}", fmt)
+            for name, df in batch.items()
+        ],
     )
 
 
