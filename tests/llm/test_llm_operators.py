@@ -184,8 +184,11 @@ def test_frequent_passages_are_written_out_once(spark, documents, monkeypatch):
     monkeypatch.setattr(decontamination, "PAIRS", 64)
     got = {r.doc_id: r for r in decontamination.contamination(rows, benchmark, matches="longest").collect()}
     assert [(got[i].n_hit, got[i].n_items, got[i].longest_match) for i in (1, 2, 3)] == [(400, 50, 10), (0, 0, 0), (11, 50, 11)]
+    assert [(got[i].longest_item, got[i].longest_first_word) for i in (1, 2, 3)] == [("0", 0), (None, None), ("7", 1)]
     whole = decontamination.contamination(rows, benchmark, matches=True).collect()
-    assert {r.doc_id: max((m.words for m in r.matches), default=0) for r in whole} == {i: got[i].longest_match for i in got}
+    for r in whole:
+        best = min(((-m.words, m.first_word, m.item_id) for m in r.matches), default=(0, None, None))
+        assert (-got[r.doc_id].longest_match, got[r.doc_id].longest_first_word, got[r.doc_id].longest_item) == best
     assert len(whole[0].matches) == 50 * 40
 
 

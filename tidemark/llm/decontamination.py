@@ -27,7 +27,7 @@ from tidemark.llm.text import LETTERS, pieces, utf8, word_strings, words
 
 WINDOW = 10
 #: Columns that judging adds.
-MADE = ("n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated", "matches", "longest_match")
+MADE = ("n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated", "matches", "longest_match", "longest_item", "longest_first_word")
 #: Bytes of document text per suffix array, and of benchmark text per block of queries.
 SHARD_BYTES = 3 << 20
 BLOCK_BYTES = 4 << 20
@@ -152,14 +152,16 @@ def _matches(first, block, query, ids, order, separators, hits, low, high, wante
     """Occurrences followed to both ends of what document and item share, as (document, item, first word, words).
 
     Pairs of test suffix and occurrence are taken ``PAIRS`` at a time; of each piece, distinct matches stay, or
-    with ``longest`` the longest of each document.
+    with ``longest`` the longest of each document: of equally long ones that of the first word, then of the
+    first item.
     """
     _, q_start, q_length, q_item, n_items = block
     item_first = np.full(n_items, len(query))
     item_last = np.zeros(n_items, np.int64)
     np.minimum.at(item_first, q_item, q_start)
     np.maximum.at(item_last, q_item, q_start + q_length)
-    longest = np.zeros(len(separators), np.int64)
+    # Of each document: words, first word and item of its longest match.
+    longest = np.zeros((len(separators), 3), np.int64)
     kept = [np.empty((0, 4), np.int64)]
     ends = np.concatenate([[0], np.cumsum((high - low)[hits])])
     for begin in range(0, int(ends[-1]), PAIRS):
@@ -182,13 +184,24 @@ def _matches(first, block, query, ids, order, separators, hits, low, high, wante
                 same = ok & (query[np.clip(q, 0, len(query) - 1)] == ids[np.clip(t, 0, len(ids) - 1)])
                 live = live[same]
                 (left if side < 0 else right)[live] += 1
+        start = at - left - doc - first[doc]
         if wanted == "longest":
-            np.maximum.at(longest, doc, right)
+            by_rank = np.lexsort((q_item[which], start, -right, doc))
+            best = by_rank[np.concatenate([[True], np.diff(doc[by_rank]) != 0])]
+            found = np.stack([right[best], start[best], q_item[which[best]]], axis=1)
+            better = _longer(found, longest[doc[best]])
+            longest[doc[best][better]] = found[better]
         else:
-            kept.append(np.unique(np.stack([doc, q_item[which], at - left - doc - first[doc], left + right], axis=1), axis=0))
+            kept.append(np.unique(np.stack([doc, q_item[which], start, left + right], axis=1), axis=0))
     return longest if wanted == "longest" else np.unique(np.concatenate(kept), axis=0)
 
 
+def _longer(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which rows (words, first word, item) of ``a`` come before those of ``b``."""
+    later = (a[:, 1] < b[:, 1]) | ((a[:, 1] == b[:, 1]) & (a[:, 2] < b[:, 2]))
+    return (a[:, 0] > b[:, 0]) | ((a[:, 0] == b[:, 0]) & later)
+
+
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -203,7 +216,8 @@ def contamination(
     Adds ``n_words``, ``n_hit`` (words inside any occurrence of a window), ``n_items``, ``items`` (sorted
     ids of items with occurring windows, as strings), ``items_sha256``, ``contaminated`` and, with
     ``matches``, ``matches``: the longest verbatim matches as (item, first word, words); with
-    ``matches="longest"`` only ``longest_match``, the words of the longest one, or 0.
+    ``matches="longest"`` only the longest one: ``longest_match`` (its words, or 0), ``longest_item`` and
+    ``longest_first_word``; of equally long ones that with the smallest first word, then item.
 
     * A window is ``WINDOW`` consecutive words of an item; an item of fewer words is one window, an item
       without words none. NULL text has no words; a NULL item id is the empty string.
@@ -218,7 +232,7 @@ def contamination(
     blocks = _blocks(spark, benchmark, item_col, item_text)
     added = "n_words long, n_hit long, n_items long, items array<string>, items_sha256 string, contaminated boolean"
     if matches == "longest":
-        added += ", longest_match long"
+        added += ", longest_match long, longest_item string, longest_first_word long"
     elif matches:
         added += ", matches array<struct<item_id:string,first_word:long,words:long>>"
     schema = plus(rows.schema, text_alias, added)
@@ -242,7 +256,7 @@ def _blocks(spark, benchmark, item_col, item_text):
     blocks = []
     for k in range(n):
         part = items if n == 1 else items.filter(F.pmod(F.xxhash64("item", "words"), F.lit(n)) == k)
-        rows = part.toArrow().combine_chunks()
+        rows = part.toArrow().sort_by([("item", "ascending"), ("words", "ascending")]).combine_chunks()
         words_of = pa.array(rows.column("words").to_pylist(), pa.string())
         blocks.append(spark.sparkContext.broadcast((rows.column("item").to_pylist(), _items(words_of))))
     return blocks
@@ -255,7 +269,7 @@ def _judged(batch, text_alias, blocks, want_matches):
     marks, total = None, len(strings)
     items: list[set[str]] = [set() for _ in range(n)]
     longest: list[list] = [[] for _ in range(n)]
-    most = np.zeros(n, np.int64)
+    most: list[tuple[int, int | None, str | None]] = [(0, None, None)] * n
     for block in blocks if total else ():
         names, asked = block.value
         if len(asked[1]) == 0:
@@ -268,7 +282,10 @@ def _judged(batch, text_alias, blocks, want_matches):
         for d, own in held.items():
             items[d].update(names[i] for i in own.tolist())
         if want_matches == "longest":
-            most = np.maximum(most, matches)
+            for d in np.flatnonzero(matches[:, 0]).tolist():
+                size, start, item = matches[d].tolist()
+                if (-size, start, names[item]) < (-most[d][0], most[d][1] or 0, most[d][2] or ""):
+                    most[d] = (size, start, names[item])
         elif want_matches:
             for d, i, start, count in matches.tolist():
                 longest[d].append({"item_id": names[i], "first_word": start, "words": count})
@@ -291,8 +308,9 @@ def _judged(batch, text_alias, blocks, want_matches):
     ]
     names += ["n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated"]
     if want_matches == "longest":
-        arrays.append(pa.array(most))
-        names.append("longest_match")
+        size, start, item = zip(*most, strict=True) if most else ((), (), ())
+        arrays += [pa.array(size, pa.int64()), pa.array(item, pa.string()), pa.array(start, pa.int64())]
+        names += ["longest_match", "longest_item", "longest_first_word"]
     elif want_matches:
         kind = pa.list_(pa.struct([("item_id", pa.string()), ("first_word", pa.int64()), ("words", pa.int64())]))
         arrays.append(pa.array(longest, kind))

@@ -23,11 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import partitions, text_hash, written
+from tidemark.operators import keyfilter
 
 #: White space stripped at both ends of a line.
 SPACE = b" \t\n\x0b\x0c\r"
 MIN_CHARS = 20
 MIN_DOCS = 3
+#: Tasks among which the lines of one key may be dealt out.
+LANES = 32
 
 
 def _long_enough(key: bytes, least: int) -> bool:
@@ -123,9 +126,13 @@ def dropped_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int, m
         .agg(F.count(F.lit(1)).alias("docs"), F.max("doc").alias("keeper"))
         .filter(F.col("docs") >= min_docs)
     )
+    # A key may hold a large share of all lines: its verdict is repeated, its lines are dealt out.
+    lane = F.pmod(F.xxhash64("doc"), F.lit(LANES)).cast("int").alias("lane")
+    lanes = F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))).alias("lane")
     rest = (
         decided.filter(F.col("kind") == UNDECIDED)
-        .join(runs, "key")
+        .select("key", "doc", "text_hash", "position", lane)
+        .join(runs.select("key", "keeper", lanes), ["key", "lane"])
         .filter(F.col("doc") < F.col("keeper"))
         .select("doc", "text_hash", "position")
     )
@@ -163,34 +170,46 @@ def line_dedup(
     * Repeated rows get equal results, one each. Lines repeated within a kept document stay.
     * Ids are integers. Columns other than id and text are not read, so their names cannot clash.
     """
-    drops = dropped_lines(docs, id_col, text_col, min_chars, min_docs)
+    drops = written(dropped_lines(docs, id_col, text_col, min_chars, min_docs), "drops")
+    drops = drops.select(F.col("doc").alias("drop_doc"), F.col("text_hash").alias("drop_hash"), "positions")
+    text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long")).alias("doc"),
         text_hash(text_col).alias("text_hash"),
-        F.col(text_col).alias("text"),
+        text.alias("text"),
+    ).withColumn("hash", F.xxhash64("doc", "text_hash"))
+    # Only texts that may lose lines are shuffled, to meet these; all others are kept whole where they lie.
+    losing = drops.select(F.xxhash64("drop_doc", "drop_hash").alias("hash"))
+    marked = keyfilter.with_suspicion(rows, "hash", losing, "marked")
+    lines = (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines")
+    none = F.lit(None).cast("array<int>").alias("positions")
+    whole = marked.filter(~F.col("marked")).select("doc_id", lines, none, F.sha2("text", 256).alias("kept_sha256"))
+    same = (F.col("doc") == F.col("drop_doc")) & (F.col("text_hash") == F.col("drop_hash"))
+    met = marked.filter("marked").join(drops, same, "left").select("doc_id", "text", "positions", lines)
+    parted = met.mapInArrow(_kept, "doc_id long, n_lines long, positions array<int>, kept_sha256 string")
+    return whole.union(parted).mapInArrow(
+        _bitmaps, "doc_id long, n_lines long, n_dropped long, keep binary, kept_sha256 string"
     )
-    joined = rows.join(drops, ["doc", "text_hash"], "left").select("doc_id", "text", "positions")
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: tuple[list, list, list, list] = ([], [], [], [])
-            positions = batch.column("positions").to_pylist()
-            for row, text in enumerate(batch.column("text")):
-                lines = lines_of(text.as_py())
-                bitmap = keep_bitmap(len(lines), positions[row])
-                if positions[row]:
-                    keep = kept_lines(bitmap, len(lines))
-                    left = [line for line, stays in zip(lines, keep.tolist(), strict=True) if stays]
-                else:
-                    left = lines
-                out[0].append(len(lines))
-                out[1].append(len(lines) - len(left))
-                out[2].append(bitmap)
-                out[3].append(hashlib.sha256(b"\n".join(left)).hexdigest())
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.string())
-            arrays = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
-            names = ["doc_id", "n_lines", "n_dropped", "keep", "kept_sha256"]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], names=names)
-
-    return joined.mapInArrow(apply, "doc_id long, n_lines long, n_dropped long, keep binary, kept_sha256 string")
+
+def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hash of each text without its lines to drop."""
+    for batch in batches:
+        hashes = []
+        for text, positions in zip(batch.column("text"), batch.column("positions").to_pylist(), strict=True):
+            lines, drop = lines_of(text.as_py()), set(positions or ())
+            left = [line for at, line in enumerate(lines) if at not in drop]
+            hashes.append(hashlib.sha256(b"\n".join(left)).hexdigest())
+        arrays = [batch.column(c) for c in ("doc_id", "n_lines", "positions")]
+        yield pa.RecordBatch.from_arrays([*arrays, pa.array(hashes)], names=["doc_id", "n_lines", "positions", "kept_sha256"])
+
+
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bitmap of each document, made of its number of lines and the positions to drop alone."""
+    for batch in batches:
+        n_lines, positions = batch.column("n_lines").to_pylist(), batch.column("positions").to_pylist()
+        dropped = pa.array([len(p) if p else 0 for p in positions], pa.int64())
+        keep = pa.array([keep_bitmap(n, p) for n, p in zip(n_lines, positions, strict=True)], pa.binary())
+        arrays = [batch.column("doc_id"), batch.column("n_lines"), dropped, keep, batch.column("kept_sha256")]
+        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_lines", "n_dropped", "keep", "kept_sha256"])

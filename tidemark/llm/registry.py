@@ -60,7 +60,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     judged = decontamination.contamination(docs, items, carry=["doc_id"], matches="longest")
-    return judged.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match")
+    return judged.select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated",
+        "longest_match", "longest_item", "longest_first_word",
+    )
 
 
 @query("op4_mixing")
@@ -75,7 +78,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_linededup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linededup.line_dedup(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+    return found.select("doc_id", "n_lines", "n_dropped", "kept_sha256", "keep")
 
 
 @query("op6_toxicity")

@@ -66,7 +66,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def pieces(column: pa.Array, most_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def pieces(column: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a text column that hold about ``most_bytes`` each; a longer text is a range alone."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)
     total, first = 0, 0
