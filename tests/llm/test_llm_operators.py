@@ -251,6 +251,36 @@ def test_toxicity_learns_held_out_labels(spark, documents, awkward):
     assert toxicity.scored(awkward, empty).filter("predicted = 1").count() == 0
 
 
+def test_statistic_by_brute_force():
+    """The tail of a negative binomial law, summed term by term, for every number of segments."""
+    rng, shape = random.Random(20), toxicity.SHAPE
+    for _ in range(60):
+        tokens, rate, decay = rng.randrange(1, 5000), 0.002, 0.8
+        sums = sorted((rng.expovariate(0.4) for _ in range(rng.randrange(8))), reverse=True)
+        counted = [s for s in sums if s >= toxicity.MINOR] or sums[:1]
+        best = -np.log(2.0) if not counted else -np.inf
+        for k, s in enumerate(counted, 1):
+            mean = tokens * rate * np.exp(-decay * (s - toxicity.MINOR))
+            share, term, tail = mean / (mean + shape), (1 + mean / shape) ** -shape, 0.0
+            for n in range(4000):
+                tail += term if n >= k else 0.0
+                term *= (shape + n) / (n + 1) * share
+            best = max(best, -np.log(min(1.0, tail)) - np.log(k * (k + 1)))
+        found = toxicity.statistic(np.array(sums), tokens, rate, decay)
+        # The tail is bounded from above by a geometric sum, so the statistic from below.
+        assert best - 1.5 < found <= best + 1e-6
+
+
+def test_few_labels_do_not_move_the_centre_far():
+    edges = toxicity._LOW + np.arange(toxicity._STATISTIC_BINS + 1) * (toxicity._HIGH - toxicity._LOW) / toxicity._STATISTIC_BINS
+    none = np.zeros(len(edges))
+    assert abs(toxicity._centre(none) - toxicity.CENTRE) < 0.02
+    few = 10.0 * (edges < 60) + 8.0  # all missed is two errors better than any other centre
+    assert abs(toxicity._centre(few - 2.0 * (edges >= 60)) - toxicity.CENTRE) < 10.1
+    many = 1000.0 * np.abs(edges - 7.0)
+    assert abs(toxicity._centre(many) - 7.0) < 0.05
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no given tables")
 def test_toxicity_does_not_grow_with_length(spark, documents):
     """Clean texts, each scored clean, joined to 300,000 words are clean; with toxic ones among them they are not."""

@@ -14,8 +14,10 @@ that of k or more such segments in a text of this length, by a negative binomial
 texts differ in what they speak of. A document's statistic is the largest -log of tail times k (k + 1); as
 the sum of 1 / (k (k + 1)) is 1, a clean text of any length exceeds x with a probability of at most exp(-x).
 Segments that alone have a tail below ``SIGNIFICANT`` are reported. The score is a logistic curve of the
-statistic, centred where training rows are told apart with the fewest errors; training rows are judged by a
-model that has not seen them (two halves, swapped).
+statistic. Its centre is where training rows, judged by a model that has not seen them (two halves, swapped),
+are told apart with the fewest errors, each unit of distance from ``CENTRE`` counting as one error more: a
+clean text passes ``CENTRE`` with a probability of at most exp(-CENTRE), whatever the labels, so a few labels
+cannot move the centre far and many are not held back.
 
 Learning uses at most about ``max_labelled`` labelled rows (a documented bound: they are sent to every task),
 chosen by a hash of the id over the whole table. Counts cross the cluster as sums per bin.
@@ -43,6 +45,7 @@ CAUTION = 2.0
 MINOR = 2.0
 SHAPE = 4.0
 SIGNIFICANT = 0.01
+CENTRE = 5.0
 MAX_LABELLED = 100_000
 #: Columns that scoring adds.
 MADE = ("score", "predicted", "passages")
@@ -304,9 +307,13 @@ def fit(
     for label, at, n in histogram.collect():  # a fixed number of bins
         seen[label, at] = n
     errors = np.concatenate([[0], np.cumsum(seen[1])]) + seen[0].sum() - np.concatenate([[0], np.cumsum(seen[0])])
-    fewest = np.flatnonzero(errors == errors.min())
-    centre = _LOW + float(np.median(fewest)) * (_HIGH - _LOW) / _STATISTIC_BINS
-    return Model(*final, rate, decay, centre)
+    return Model(*final, rate, decay, _centre(errors))
+
+
+def _centre(errors: np.ndarray) -> float:
+    """The statistic that scores one half, by the errors that each edge of a bin makes as a centre."""
+    edges = _LOW + np.arange(len(errors)) * (_HIGH - _LOW) / _STATISTIC_BINS
+    return float(edges[(errors + np.abs(edges - CENTRE)).argmin()])
 
 
 def held_out(doc_id: str) -> Column:
