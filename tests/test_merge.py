@@ -175,3 +175,13 @@ def test_upsert_equals_a_dictionary_model(spark, target, source):
 def test_timestamps_survive_the_pick(spark, rows):
     data = spark.createDataFrame([(1, datetime(2024, 1, 1, 7, 5, 0, 123456))], "k int, t timestamp_ntz")
     assert rows(merge.latest_per_key(data, ["k"], ["t"])) == [(1, datetime(2024, 1, 1, 7, 5, 0, 123456))]
+
+
+def test_only_repeated_keys_are_reduced(spark, rows):
+    data = [(1, "a", 3), (1, "b", 4), (2, "c", 1), (None, "d", 1), (None, "d", 2), (3, "e", 1), (3, "e", None)]
+    df = spark.createDataFrame(data, "k int, v string, t int")
+    repeated = merge.repeated_keys(df, ["k"])
+    assert rows(repeated) == [(1,), (3,)]
+    found = merge.latest_where_repeated(df, repeated, ["k"], ["t"])
+    assert rows(found) == [(None, "d", 1), (None, "d", 2), (1, "b", 4), (2, "c", 1), (3, "e", 1)]
+    assert rows(merge.latest_where_repeated(df, repeated.limit(0), ["k"], ["t"])) == rows(df)

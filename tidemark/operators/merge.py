@@ -104,6 +104,25 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     return _pick_per_key(df, keys, order_by, None, first=False)
 
 
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that stand in several rows. Reads the key columns only, with map-side combine."""
+    groups = df.filter(_has_key(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return groups.filter("n > 1").select(*keys)
+
+
+def latest_where_repeated(
+    df: DataFrame, repeated: DataFrame, keys: Sequence[str], order_by: Sequence[str]
+) -> DataFrame:
+    """``latest_per_key`` that reduces only the rows of ``repeated`` keys; all others, and those without a key, pass.
+
+    For a frame that is cheap to read again and keys that were written before: if they are few, Spark
+    broadcasts them and whole rows are shuffled for no other key.
+    """
+    several = df.join(repeated, list(keys), "left_semi").select(*df.columns)
+    single = df.join(repeated, list(keys), "left_anti").select(*df.columns)
+    return single.unionByName(latest_per_key(several, keys, order_by))
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """First writer wins: the row with the least ``order_by`` per key."""
     return _pick_per_key(df, keys, order_by, None, first=True)
