@@ -465,6 +465,32 @@ def test_edits_equal_a_new_count(counter):
             assert (tree.total, tree.length) == (len(counter.encoding.encode_ordinary(t)), len(t))
 
 
+def test_runs_stay_short(counter):
+    """Many edits at one place, and one with a long insert: what is encoded again stays small."""
+    text = prose(random.Random(21), 3000)
+    tree = tokencounts.Tree(*counter.runs(text)[:2])
+    place, most = len(text) // 2, 0
+    for _ in range(1000):
+        text, work = tokencounts.edit(tree, counter, text, place, 0, "abcd ")
+        most = max(most, work)
+    assert most < 400 and tree.total == len(counter.encoding.encode_ordinary(text))
+    text, work = tokencounts.edit(tree, counter, text, place, 0, "more words " * 20_000)
+    assert work < 221_000
+    for at in (place + 7, place + 100_000, place + 219_990):
+        text, work = tokencounts.edit(tree, counter, text, at, 0, "x")
+        assert work < 400
+    text, work = tokencounts.edit(tree, counter, text, place, 219_000, "")
+    assert work < 400
+    tree = tokencounts.Tree.unpack(tree.pack())
+    assert (tree.total, tree.length) == (len(counter.encoding.encode_ordinary(text)), len(text))
+    # An edit list longer than the text, places beyond its end, and one word without any cut.
+    text = "a" * 50_000
+    tree = tokencounts.Tree(*counter.runs(text)[:2])
+    for i in range(30):
+        text, _ = tokencounts.edit(tree, counter, text, 60_000 - i, 5, "b")
+    assert (tree.total, tree.length) == (len(counter.encoding.encode_ordinary(text)), len(text))
+
+
 def test_token_counts_of_rows(awkward, counter):
     step = F.struct(F.lit(3).alias("start"), F.lit(2).alias("length"), F.lit(" new").alias("insert"))
     rows = tokencounts.counted(awkward.withColumn("edits", F.when(F.col("doc_id") != 7, F.array(step))))

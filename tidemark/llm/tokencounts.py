@@ -4,8 +4,10 @@ A text is cut into pre-tokens by a fixed pattern and each pre-token is encoded o
 is the sum over its pre-tokens. A segment tree per document keeps, over runs of ``RUN`` pre-tokens, how many
 characters and tokens they have. An edit touches few runs: only these, one run of context to the left and as
 many characters to the right as it takes until a cut of the new text falls on a cut between old runs, are cut
-and encoded again; then the sums above the touched leaves are updated. From a common cut on, both texts are
-cut alike, because the pattern looks at what follows only.
+and encoded again, into runs of the same size; then the sums above the touched leaves are updated. From a
+common cut on, both texts are cut alike, because the pattern looks at what follows only. The tree is stored with
+its inner sums. Runs stay short however many edits meet at one place and however long an insert is; only if
+there are more runs than leaves for them are the leaves (numbers, no text) laid out anew.
 
 Vocabulary file and pattern are parameters. Ranks are read once by the driver (a file of fixed size) and sent
 to the tasks.
@@ -96,20 +98,43 @@ class Tree:
                 node += 1
         return node - self.leaves, begin
 
-    def replace(self, first: int, last: int, chars: int, tokens: int) -> None:
-        """Put all that leaves ``first`` to ``last`` - 1 hold into the first of them, and update sums."""
+    def replace(self, first: int, last: int, chars: list[int], tokens: list[int]) -> None:
+        """Put runs in place of those that leaves ``first`` to ``last`` - 1 hold, and update sums."""
+        if len(chars) > last - first:
+            before, after = slice(self.leaves, self.leaves + first), slice(self.leaves + last, 2 * self.leaves)
+            kept = [
+                (c, t)
+                for c, t in zip(
+                    [*self.chars[before], *chars, *self.chars[after]],
+                    [*self.tokens[before], *tokens, *self.tokens[after]],
+                    strict=True,
+                )
+                if c
+            ]
+            self.__init__([c for c, _ in kept], [t for _, t in kept])
+            return
         for leaf in range(first, last):
-            node = self.leaves + leaf
-            self.chars[node], self.tokens[node] = (chars, tokens) if leaf == first else (0, 0)
+            node, nth = self.leaves + leaf, leaf - first
+            held = nth < len(chars)
+            self.chars[node], self.tokens[node] = (chars[nth], tokens[nth]) if held else (0, 0)
         nodes = {(self.leaves + leaf) // 2 for leaf in range(first, last)}
         while nodes:
             for node in nodes - {0}:
                 self._sum(node)
             nodes = {node // 2 for node in nodes if node > 1}
 
-    def runs(self) -> tuple[list[int], list[int]]:
-        held = [i for i in range(self.leaves, 2 * self.leaves) if self.chars[i]]
-        return [self.chars[i] for i in held], [self.tokens[i] for i in held]
+    def pack(self) -> bytes:
+        """All sums, inner ones too."""
+        return np.array([self.chars, self.tokens], dtype=np.int64).tobytes()
+
+    @classmethod
+    def unpack(cls, packed: bytes | None) -> Tree:
+        if not packed:
+            return cls([], [])
+        tree = cls.__new__(cls)
+        tree.chars, tree.tokens = np.frombuffer(packed, np.int64).reshape(2, -1).tolist()
+        tree.leaves = len(tree.chars) // 2
+        return tree
 
 
 def edit(tree: Tree, counter: Counter, text: str, start: int, length: int, insert: str) -> tuple[str, int]:
@@ -123,10 +148,14 @@ def edit(tree: Tree, counter: Counter, text: str, start: int, length: int, inser
     first, begin = tree.leaf_at(max(0, start - AHEAD))
     last, shift = first, len(new) - len(text)
     old_end = begin
-    at, tokens = begin, 0
-    for match in counter.pattern.finditer(new, begin):
+    at, chars, tokens = begin, [], []
+    for nth, match in enumerate(counter.pattern.finditer(new, begin)):
         at = match.end()
-        tokens += counter.count(match.group())
+        if nth % RUN == 0:
+            chars.append(0)
+            tokens.append(0)
+        chars[-1] += at - match.start()
+        tokens[-1] += counter.count(match.group())
         # Take in old runs up to this cut; stop if the cut is also theirs and the edit is behind.
         while last < tree.leaves and old_end + shift < at or old_end < stop and last < tree.leaves:
             old_end += tree.chars[tree.leaves + last]
@@ -135,19 +164,10 @@ def edit(tree: Tree, counter: Counter, text: str, start: int, length: int, inser
             break
     else:
         last, at = tree.leaves, len(new)
-    tree.replace(first, max(last, first + 1), at - begin, tokens)
+    tree.replace(first, max(last, first + 1), chars, tokens)
     return new, at - begin
 
 
-def _packed(chars: list[int], tokens: list[int]) -> bytes:
-    return np.array([chars, tokens], dtype=np.int64).tobytes()
-
-
-def _tree(packed: bytes | None) -> Tree:
-    chars, tokens = np.frombuffer(packed or b"", np.int64).reshape(2, -1).tolist()
-    return Tree(chars, tokens)
-
-
 def _counter(spark: SparkSession, vocabulary: str, pattern: str) -> Callable[[], Counter]:
     shared = spark.sparkContext.broadcast(ranks(vocabulary))
     return lambda: Counter(shared.value, pattern)
@@ -156,7 +176,7 @@ def _counter(spark: SparkSession, vocabulary: str, pattern: str) -> Callable[[],
 def counted(
     docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY, pattern: str = PATTERN
 ) -> DataFrame:
-    """All rows and columns, plus ``n_pretokens``, ``n_tokens`` and ``token_tree`` (the runs of the tree).
+    """All rows and columns, plus ``n_pretokens``, ``n_tokens`` and ``token_tree`` (all sums of the tree).
 
     NULL and empty texts have no tokens. Repeated rows get equal results. Columns of these names are replaced.
     """
@@ -170,7 +190,7 @@ def counted(
             more = [
                 pa.array([n for _, _, n in found], pa.int64()),
                 pa.array([sum(tokens) for _, tokens, _ in found], pa.int64()),
-                pa.array([_packed(chars, tokens) for chars, tokens, _ in found], pa.binary()),
+                pa.array([Tree(chars, tokens).pack() for chars, tokens, _ in found], pa.binary()),
             ]
             names = [*batch.schema.names, "n_pretokens", "n_tokens", "token_tree"]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=names)
@@ -204,14 +224,14 @@ def recounted(
             texts, trees, totals, lengths, encoded = [], [], [], [], []
             packed, edits = batch.column("token_tree"), batch.column(edits_col)
             for row, value in enumerate(batch.column(text_col)):
-                text, tree, work = value.as_py() or "", _tree(packed[row].as_py()), 0
+                text, tree, work = value.as_py() or "", Tree.unpack(packed[row].as_py()), 0
                 for step in edits[row].as_py() or ():
                     text, chars = edit(tree, counter, text, step["start"] or 0, step["length"] or 0, step["insert"] or "")
                     work += chars
                     if not tree.length:
                         tree = Tree([], [])
                 texts.append(text)
-                trees.append(_packed(*tree.runs()))
+                trees.append(tree.pack())
                 totals.append(tree.total)
                 lengths.append(len(text))
                 encoded.append(work)
