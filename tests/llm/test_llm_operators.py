@@ -368,6 +368,13 @@ def test_next_documents(documents, awkward):
         t, following = t or "", rows[(n + 1) % len(rows)][1] or ""
         assert got[i].edited_sha256 == hashlib.sha256(fingerprints.edited(t, following).encode()).hexdigest()
     assert len(got) == len(rows)
+    many = [(None, prose(rng, 6), "s") for _ in range(150)] + [(5, prose(rng, 6), "s") for _ in range(150)] + [(5, "same", "s")] * 3
+    found = fingerprints.compared(documents(many).repartition(5)).collect()
+    # Texts of one id come in the order of their hash, which the query itself tells.
+    hashed = documents(many).select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    order = sorted(hashed, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h))
+    shas = [hashlib.sha256(fingerprints.edited(a.text, b.text).encode()).hexdigest() for a, b in zip(order, order[1:] + order[:1], strict=True)]
+    assert collections.Counter(r.edited_sha256 for r in found) == collections.Counter(shas)
     assert fingerprints.compared(awkward).count() == 9 and fingerprints.compared(awkward.limit(0)).count() == 0
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import partitions, plus
+from tidemark.llm.frames import partitions, plus, text_hash
 from tidemark.llm.text import pieces, text_shingles
 
 K = 128
@@ -137,19 +137,36 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def _dealt(bounds: np.ndarray, smallest):
-    """Add each row's part of the id order; the first row of a part goes to the part before it as well."""
+def _places(order: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Pairs of longs as 16 bytes each that sort alike."""
+    pair = np.stack([order, hashes], axis=1).astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63)
+    return np.ascontiguousarray(pair.astype(">u8")).view("S16").reshape(-1)
+
+
+def _bounds(rows: DataFrame, n_parts: int) -> np.ndarray:
+    """First place, by id and hash of the text, of each of about ``n_parts`` parts of the order, the first one's too.
+
+    Spark samples the ranges; one row per part, of 16 bytes, comes to the driver and goes to the tasks.
+    """
+    places = rows.select(F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")).alias("place"), "text_hash")
+    ranged = places.repartitionByRange(n_parts, "place", "text_hash").withColumn("part", F.spark_partition_id())
+    found = ranged.groupBy("part").agg(F.min(F.struct("place", "text_hash")).alias("first")).select("first.*").toArrow()
+    return np.unique(_places(*(np.asarray(found.column(c), dtype=np.int64) for c in ("place", "text_hash"))))
+
+
+def _dealt(bounds: np.ndarray):
+    """Add each row's part of the order; the first row of a part goes to the part before it as well, that of the
+    first part to the last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id")
-            order = np.asarray(ids.fill_null(-(1 << 63)), dtype=np.int64)
-            part = np.searchsorted(bounds, order, "right").astype(np.int32)
-            seam = np.flatnonzero(np.isin(order, bounds))
-            first = np.flatnonzero(order == smallest)
-            again = np.concatenate([np.arange(len(order)), seam, first])
-            parts = np.concatenate([part, part[seam] - 1, np.full(len(first), len(bounds), np.int32)])
-            turn = np.repeat(np.array([0, 1, 1], np.int32), [len(order), len(seam), len(first)])
+            ids = batch.column("doc_id").fill_null(-(1 << 63))
+            place = _places(np.asarray(ids, dtype=np.int64), np.asarray(batch.column("text_hash"), dtype=np.int64))
+            part = np.searchsorted(bounds, place, "right").astype(np.int32) - 1
+            seam = np.flatnonzero(bounds[part] == place)
+            again = np.concatenate([np.arange(len(place)), seam])
+            parts = np.concatenate([part, (part[seam] - 1) % len(bounds)])
+            turn = np.repeat(np.array([0, 1], np.int32), [len(place), len(seam)])
             rows = batch.take(pa.array(again))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(parts.astype(np.int32)), pa.array(turn), *rows.columns],
@@ -210,28 +227,21 @@ _COMPARED = [
 def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
     """Each document's sketch, that of its edited text, and its likeness to that and to the next document.
 
-    The next document is the one after it by id, then text; after the last comes the first. The id order is
-    cut into parts at quantiles; the row that begins a part is also sent to the part before it, so parts are
+    The next document is the one after it by id, then hash of the text; after the last comes the first. This
+    order is cut into ranges; the row that begins a part is also sent to the part before it, so parts are
     streamed on their own, one row of state each.
 
     * A NULL id comes first; NULL text is empty. A single document is its own next one.
-    * Rows of one id lie in one part; equal rows follow each other.
+    * An id that many rows share, or that many lack, is cut like any other; only rows equal in id and text lie in
+      one part, and follow each other.
     * Ids are integers; other columns are not read.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ids = rows.select("doc_id")
-    n, smallest, nulls = ids.agg(
-        F.count(F.lit(1)), F.min("doc_id"), F.count(F.when(F.col("doc_id").isNull(), 1))
-    ).first()
-    n_parts = max(partitions(spark), -(-n // PART_ROWS))
-    shares = [i / n_parts for i in range(1, n_parts)]
-    cuts = ids.agg(F.percentile_approx("doc_id", shares or [0.5], max(10_000, 20 * n_parts))).first()[0] or []
-    least = -(1 << 63)
-    smallest = least if nulls or smallest is None else smallest
-    bounds = np.unique(np.array([c for c in cuts if c > smallest], dtype=np.int64))
-    dealt = rows.mapInArrow(_dealt(bounds, smallest), "part int, seam int, doc_id long, text string")
-    ordered = dealt.repartition(n_parts, "part").sortWithinPartitions("part", "seam", "doc_id", "text")
+    rows = rows.withColumn("text_hash", text_hash("text"))
+    n_parts = max(partitions(spark), -(-rows.count() // PART_ROWS))
+    dealt = rows.mapInArrow(_dealt(_bounds(rows, n_parts)), "part int, seam int, doc_id long, text string, text_hash long")
+    ordered = dealt.repartition(n_parts, "part").sortWithinPartitions("part", "seam", "doc_id", "text_hash", "text")
     schema = (
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double, n_shingles double, edited_contained double"
