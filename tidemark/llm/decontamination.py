@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import plus, unused
+from tidemark.llm.frames import modest_batches, plus, unused
 from tidemark.llm.text import LETTERS, pieces, utf8, word_strings, words
 
 WINDOW = 10
@@ -226,6 +226,7 @@ def contamination(
     * Columns of the result's names are replaced.
     """
     spark = docs.sparkSession
+    modest_batches(spark)
     kept = [c for c in (docs.columns if carry is None else carry) if c.lower() not in MADE]
     text_alias = unused(docs, "benchmark_text_of_row")
     rows = docs.select(*kept, F.col(text_col).alias(text_alias))

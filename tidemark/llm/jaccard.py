@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.frames import partitions, text_hash, written
+from tidemark.llm.frames import modest_batches, partitions, text_hash, written
 from tidemark.llm.text import mix, pieces, text_shingles
 
 WIDTH = 5
@@ -458,6 +458,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     is judged, those inside one component too, whose number can grow with the square of a group.
     """
     spark = docs.sparkSession
+    modest_batches(spark)
     n_parts = partitions(spark)
     least = F.lit(-(1 << 63)).cast("long")
     texts = docs.select(

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import plus, unused, written
+from tidemark.llm.frames import modest_batches, plus, unused, written
 from tidemark.llm.text import LETTERS, mix, pieces, utf8, word_hashes, words
 
 BITS = 20
@@ -253,6 +253,7 @@ def fit(
     Without labels, or with one label only, every token is neutral and every document scores 0.
     """
     spark = docs.sparkSession
+    modest_batches(spark)
     train = _training_text(docs, labelled(labels, label_col, most), id_col, text_col)
     schema = "bin int, c0 long, t0 long, c1 long, t1 long"
     summed = train.mapInArrow(_counting, schema).groupBy("bin").agg(*[F.sum(c).alias(c) for c in ("c0", "t0", "c1", "t1")])
