@@ -127,7 +127,10 @@ def test_merge_into_a_bucketed_table_reads_its_keys_in_place(spark, tmp_path, sm
     stored = warehouse.table("mrr_observation")
     keys = spark.range(5).select(F.concat(F.lit("O1-"), F.col("id")).alias("obsid"))
     text = plan(stored.select("obsid").join(keys, "obsid", "left_semi"))
-    assert text.count("Bucketed: true") == 3 and text.count("Exchange hashpartitioning") == 1
+    # Spark may push the join into the months; only the asked keys are shuffled, whichever way.
+    assert text.count("Bucketed: true") == 3
+    assert text.count("Exchange hashpartitioning") == text.count("Range (")
+    assert all("FileScan" not in below.split("Range (")[0] for below in text.split("Exchange hashpartitioning")[1:])
 
 
 def test_mark_reaches_the_scan_and_prunes_months_and_columns(spark, tmp_path):
