@@ -21,18 +21,6 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Rows of an Arrow batch. Whole texts go to Python and back, so Spark's own 10,000 rows may be tens of megabytes
-#: on either side of each running task.
-BATCH_ROWS = 1_000
-_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
-
-def modest_batches(spark: SparkSession) -> None:
-    """Let the session send texts in batches of ``BATCH_ROWS``, unless it was started with a number of its own."""
-    if not spark.sparkContext.getConf().contains(_BATCH_SETTING):
-        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
