@@ -347,6 +347,21 @@ def test_licence_covers_by_brute_force(documents):
     assert got[len(rows) - 1].labels == "mit"
 
 
+def test_each_licence_is_found_in_its_own_text_alone(documents):
+    """Every template gives its own label and no other's, with punctuation, capitals and prose around it."""
+    rng, rows = random.Random(30), []
+    for i, (_, template, _) in enumerate(licenses.TEMPLATES):
+        rows.append((i, f"{prose(rng, 20)}\n * {template.upper().replace(' ', ', ')}.\n{prose(rng, 20)}", "s"))
+    rows.append((len(rows), "// SPDX-License-Identifier: LGPL-2.1-or-later", "s"))
+    rows.append((len(rows), "SPDX-License-Identifier: MITX, a licence of our own", "s"))
+    got = {r.doc_id: r for r in licenses.licence_scan(documents(rows)).collect()}
+    for i, (label, template, _) in enumerate(licenses.TEMPLATES):
+        assert set(got[i].labels.split(",")) == {label}, template
+        assert got[i].covers[i] == pytest.approx(1.0)
+    assert len({label for label, _, _ in licenses.TEMPLATES}) > 30
+    assert got[len(rows) - 2].labels == "lgpl" and got[len(rows) - 1].labels == ""
+
+
 def test_sketches_merge_and_estimate(spark):
     rng = random.Random(6)
     a, b = prose(rng, 3000, 5000), prose(rng, 3000, 5000)

@@ -34,16 +34,62 @@ BASE = [
     ("cc-by-nc", "cc by nc"),
 ]
 # Label, template and key phrase, from the public licence texts, in lower-case words.
-TEMPLATES = [
+TEXTS = [
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "permission is hereby granted free of charge"),
     ("apache-2", "licensed under the apache license version 2 0 you may not use this file except in compliance with the license", "apache license"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source and binary forms"),
     ("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license", "gnu general public license"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "permission to use copy modify and or distribute this software"),
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
-    ("cc-by", "this work is licensed under a creative commons attribution license", "creative commons attribution"),
+    ("cc-by", "this work is licensed under a creative commons attribution license", "creative commons attribution license"),
+    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license", "creative commons attribution 4 0"),
+    ("cc-by", "this work is licensed under a creative commons attribution 3 0 unported license", "creative commons attribution 3 0"),
     ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial license", "attribution noncommercial"),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license", "creative commons attribution sharealike"),
+    ("cc-by-nd", "this work is licensed under a creative commons attribution noderivatives 4 0 international license", "creative commons attribution noderivatives"),
+    ("cc0", "has dedicated all copyright and related and neighboring rights to this software to the public domain worldwide", "related and neighboring rights"),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
+    ("lgpl", "you can redistribute it and or modify it under the terms of the gnu lesser general public license", "gnu lesser general public license"),
+    ("lgpl", "you can redistribute it and or modify it under the terms of the gnu library general public license", "gnu library general public license"),
+    ("agpl-3", "you can redistribute it and or modify it under the terms of the gnu affero general public license", "gnu affero general public license"),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", "gnu free documentation license"),
+    ("bsd-3", "may be used to endorse or promote products derived from this software without specific prior written permission", "may be used to endorse or promote products"),
+    ("bsd-4", "all advertising materials mentioning features or use of this software must display the following acknowledgement", "all advertising materials mentioning features"),
+    ("zlib", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely", "permission is granted to anyone to use this software"),
+    ("postgresql", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted", "without a written agreement"),
+    ("upl-1", "permission is hereby granted to any person obtaining a copy of this software associated documentation and or data", "associated documentation and or data"),
+    ("mpl-1", "the contents of this file are subject to the mozilla public license version 1 1", "mozilla public license version 1"),
+    ("epl-1", "are made available under the terms of the eclipse public license v1 0 which accompanies this distribution", "eclipse public license v1"),
+    ("epl-2", "are made available under the terms of the eclipse public license 2 0 which is available at", "eclipse public license 2"),
+    ("cddl", "the contents of this file are subject to the terms of the common development and distribution license", "common development and distribution license"),
+    ("eupl", "licensed under the eupl you may not use this work except in compliance with the licence", "under the eupl"),
+    ("ecl-2", "licensed under the educational community license version 2 0 you may not use this file except in compliance with the license", "educational community license"),
+    ("afl-3", "licensed under the academic free license version 3 0", "academic free license version 3"),
+    ("osl-3", "licensed under the open software license version 3 0", "open software license version 3"),
+    ("ofl", "this font software is licensed under the sil open font license version 1 1", "sil open font license"),
+    ("odbl", "this database is made available under the open database license", "open database license"),
+    ("lppl", "this work may be distributed and or modified under the conditions of the latex project public license", "latex project public license"),
+    ("artistic-2", "you may distribute your modified version as source either gratis or for a distributor fee", "for a distributor fee"),
+    ("wtfpl", "everyone is permitted to copy and distribute verbatim or modified copies of this license document", "verbatim or modified copies of this license document"),
+    ("cecill", "this software is governed by the cecill license under french law and abiding by the rules of distribution of free software", "the cecill license"),
+    ("openssl", "this product includes software developed by the openssl project for use in the openssl toolkit", "for use in the openssl toolkit"),
+    ("psf", "psf is making python available to licensee on an as is basis", "psf is making python available"),
+    ("mulan-2", "you can use this software according to the terms and conditions of the mulan psl v2", "mulan psl v2"),
 ]
+# Labels and the identifiers that a one-line notice gives for them.
+IDENTIFIERS = [
+    ("mit", "MIT"), ("apache-2", "Apache-2.0"), ("bsd", "BSD-2-Clause"), ("bsd-3", "BSD-3-Clause"), ("gpl", "GPL-2.0"), ("gpl", "GPL-3.0"),
+    ("lgpl", "LGPL-2.1"), ("lgpl", "LGPL-3.0"), ("agpl-3", "AGPL-3.0"), ("mpl-2", "MPL-2.0"), ("epl-2", "EPL-2.0"), ("isc", "ISC"),
+    ("unlicense", "Unlicense"), ("cc0", "CC0-1.0"), ("cc-by", "CC-BY-4.0"), ("cc-by-sa", "CC-BY-SA-4.0"), ("cc-by-nc", "CC-BY-NC-4.0"),
+]
+
+
+def _notice(identifier: str) -> str:
+    return " ".join(["spdx license identifier", *identifier.lower().replace(".", "-").split("-")])
+
+
+#: An identifier's notice must stand whole, so it is its own key phrase.
+TEMPLATES = TEXTS + [(label, _notice(name), _notice(name)) for label, name in IDENTIFIERS]
 #: Least share of a template's IDF weight for its label.
 COVER = 0.6
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
