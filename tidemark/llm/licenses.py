@@ -19,8 +19,8 @@ templates.
 
 from __future__ import annotations
 
+import json
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -177,32 +177,56 @@ def _whole(phrase: list[str], proposals: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(proposals, stands), lambda p: p["start"]))
 
 
-def _cover(phrase: list[str], idf: dict[str, float], eligible: Column) -> Column:
-    """The greatest share of the phrase's IDF weight found at any place; 0 where it is not eligible."""
-    total = sum(idf[w] for w in phrase)
+def _postings(idf: dict[str, float]) -> Column:
+    """All templates as one constant: words with their shares of the IDF weight, key phrase and heavy words."""
+    rows = []
+    for label, text, key in TEMPLATES:
+        phrase = text.split()
+        total = sum(idf[w] for w in phrase)
+        rows.append(
+            {
+                "label": label, "words": phrase, "weights": [idf[w] / total for w in phrase], "key": key.split(),
+                "heavy": _heavy(phrase, idf), "every": sorted(set(phrase)),
+            }
+        )
+    kind = "array<struct<label:string,words:array<string>,weights:array<double>,key:array<string>,heavy:array<string>,every:array<string>>>"
+    return F.from_json(F.lit(json.dumps(rows)), kind)
 
-    def share(start: Column, index: Column) -> Column:
-        near = F.slice("hits", F.greatest(index, F.lit(0)) + 1, F.lit(len(phrase)))
 
+def _cover(t: Column) -> Column:
+    """The greatest share of a template's IDF weight found at any place."""
+    n = F.size(t["words"])
+
+    def share(start: Column, index: Column) -> Column:
         def add(sum_: Column, h: Column) -> Column:
             at = h["at"] - start
-            weight = F.when(F.get(_array(phrase), at) == h["word"], F.get(_array([idf[w] / total for w in phrase]), at))
-            return sum_ + F.coalesce(weight, F.lit(0.0))
+            return sum_ + F.coalesce(F.when(F.get(t["words"], at) == h["word"], F.get(t["weights"], at)), F.lit(0.0))
 
-        return F.aggregate(near, F.lit(0.0), add)
+        return F.aggregate(F.slice("hits", F.greatest(index, F.lit(0)) + 1, n), F.lit(0.0), add)
 
-    def by(words_: list[str]) -> Column:
+    def by(words_: Column) -> Column:
         def of_hit(h: Column, x: Column) -> Column:
-            offsets = [(w, F.array(*[F.lit(o) for o, p in enumerate(phrase) if p == w])) for w in words_]
-            own = reduce(lambda rest, one: F.when(h["word"] == one[0], one[1]).otherwise(rest), offsets, F.lit(None))
-            return F.coalesce(F.array_max(F.transform(own, lambda o: share(h["at"] - o, x - o))), F.lit(0.0))
+            offsets = F.filter(F.sequence(F.lit(0), n - 1), lambda o: F.get(t["words"], o) == h["word"])
+            return F.when(F.array_contains(words_, h["word"]), F.array_max(F.transform(offsets, lambda o: share(h["at"] - o, x - o))))
 
         return F.coalesce(F.array_max(F.transform("hits", of_hit)), F.lit(0.0))
 
-    heavy = by(_heavy(phrase, idf))
     # Held as an array of one, so that it is worked out once.
-    best = F.get(F.transform(F.array(heavy), lambda c: F.when(c >= COVER, c).otherwise(F.greatest(c, by(sorted(set(phrase)))))), F.lit(0))
-    return F.when(eligible, best).otherwise(F.lit(0.0))
+    best = F.transform(F.array(by(t["heavy"])), lambda c: F.when(c >= COVER, c).otherwise(F.greatest(c, by(t["every"]))))
+    return F.get(best, F.lit(0))
+
+
+def _stands(t: Column) -> Column:
+    """Whether the key phrase of a template stands word for word."""
+
+    def begins(h: Column, x: Column) -> Column:
+        def same(word: Column, j: Column) -> Column:
+            hit = F.get("hits", x + j)
+            return F.coalesce((hit["word"] == word) & (hit["at"] == h["at"] + j), F.lit(False))
+
+        return F.when(h["word"] == F.get(t["key"], F.lit(0)), F.forall(F.transform(t["key"], same), lambda ok: ok)).otherwise(F.lit(False))
+
+    return F.exists(F.transform("hits", begins), lambda ok: ok)
 
 
 def licence_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -215,56 +239,40 @@ def licence_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     index = written(indexed(docs, id_col, text_col), "licences")
     idf = inverse_frequencies(index)
-    # A phrase that must stand whole needs all its words, a template those of its key phrase.
-    phrases, needed = {}, {}
-    for n, (_, phrase) in enumerate(BASE):
-        phrases[f"base{n}"] = needed[f"base{n}"] = phrase.split()
-    for n, (_, template, key) in enumerate(TEMPLATES):
-        phrases[f"text{n}"], phrases[f"key{n}"] = template.split(), key.split()
-        needed[f"text{n}"] = needed[f"key{n}"] = key.split()
+    phrases = [phrase.split() for _, phrase in BASE]
     # Anchors are one column that is read often, so that Spark does not work them out for every place anew.
     held = index.withColumn("held", F.array_distinct(F.transform("hits", lambda h: h["word"])))
-    anchored = held.select(
-        "doc_id", "n_words", "hits", F.array(*[_anchor(phrases[p], needed[p], idf) for p in phrases]).alias("anchors")
-    )
-    looked_up = anchored.select(
-        "doc_id",
-        "n_words",
-        "hits",
-        *[
-            (F.get("anchors", F.lit(n)).isNotNull() if p.startswith("text") else _proposals(words_, F.get("anchors", F.lit(n)))).alias(p)
-            for n, (p, words_) in enumerate(phrases.items())
-        ],
-    )
+    anchored = held.withColumn("anchors", F.array(*[_anchor(p, p, idf) for p in phrases]))
+
+    # A base phrase needs all its words, a template those of its key phrase.
+    def compared(t: Column) -> Column:
+        eligible = F.forall(t["key"], lambda w: F.array_contains("held", w))
+        cover = F.when(eligible, _cover(t)).otherwise(F.lit(0.0))
+        key = F.when(eligible, _stands(t)).otherwise(F.lit(False))
+        return F.struct(t["label"].alias("label"), cover.alias("cover"), key.alias("key"))
 
-    base = [_whole(phrases[f"base{n}"], F.col(f"base{n}")) for n in range(len(BASE))]
-    covers = [_cover(phrases[f"text{n}"], idf, F.col(f"text{n}")) for n in range(len(TEMPLATES))]
-    keys = [F.size(_whole(phrases[f"key{n}"], F.col(f"key{n}"))) > 0 for n in range(len(TEMPLATES))]
-    found = looked_up.select(
+    found = anchored.select(
         "doc_id",
         "n_words",
-        F.array(*base).alias("base"),
-        F.array(*[F.struct(c.alias("cover"), k.alias("key")) for c, k in zip(covers, keys, strict=True)]).alias("method"),
+        F.array(*[_whole(p, _proposals(p, F.get("anchors", F.lit(n)))) for n, p in enumerate(phrases)]).alias("base"),
+        F.transform(_postings(idf), compared).alias("method"),
     )
     starts = F.flatten("base")
     base_labels = [F.when(F.size(F.col("base")[n]) > 0, F.lit(label)) for n, (label, _) in enumerate(BASE)]
-    more_labels = [
-        F.when((F.col("method")[n]["cover"] >= COVER) & F.col("method")[n]["key"], F.lit(label))
-        for n, (label, _, _) in enumerate(TEMPLATES)
-    ]
+    more_labels = F.transform(F.filter("method", lambda m: (m["cover"] >= COVER) & m["key"]), lambda m: m["label"])
 
-    def joined(labels: list[Column]) -> Column:
-        return F.concat_ws(",", F.array_sort(F.array_distinct(F.array_compact(F.array(*labels)))))
+    def joined(labels: Column) -> Column:
+        return F.concat_ws(",", F.array_sort(F.array_distinct(F.array_compact(labels))))
 
-    best = reduce(F.greatest, [F.col("method")[n]["cover"] for n in range(len(TEMPLATES))])
+    best = F.array_max(F.transform("method", lambda m: m["cover"]))
     return found.select(
         "doc_id",
         "n_words",
         F.size(starts).cast("long").alias("n_base"),
         F.array_min(starts).cast("long").alias("first_word"),
         F.array_max(starts).cast("long").alias("last_word"),
-        joined(base_labels).alias("base_labels"),
-        joined(base_labels + more_labels).alias("labels"),
+        joined(F.array(*base_labels)).alias("base_labels"),
+        joined(F.concat(F.array(*base_labels), more_labels)).alias("labels"),
         F.when(F.size(starts) > 0, F.lit(1.0)).otherwise(F.least(best, F.lit(1.0))).alias("score"),
         F.transform("method", lambda m: m["cover"]).alias("covers"),
     )
