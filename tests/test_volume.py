@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import feed_checks
+from tidemark.operators import keyfilter
 from tidemark.sources import feeds
+from tidemark.sources.warehouse import Warehouse
 
 
 @pytest.fixture()
@@ -54,3 +56,31 @@ def test_set_aside_copies_are_compressed_and_whole(spark, lines):
         read = spark.read.text(folder)
         assert read.count() == 2000
         assert size(data_files(folder)) * 4 < read.agg(F.sum(F.length("value") + 1)).first()[0]
+
+
+def test_filter_sizes_meet_the_keys_without_a_shuffle(spark):
+    """With Spark's own broadcasts off: the keys of a table are not dealt out by part only to learn how large each part is."""
+    rows = spark.range(0, 5000, 1, 4).select((F.col("id") % 3).cast("string").alias("part"), F.col("id").alias("key"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        built = keyfilter.build(rows, ["part"], ["key"])
+        text = built._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
+        found = keyfilter.may_hold(built, ["part"], rows.filter("key = 7"), ["key"])
+        assert "1" in [r[0] for r in found.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_stored_tables_are_compressed_well(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    publication = warehouse.begin("a")
+    day = F.lit(datetime(2024, 1, 5)).cast("timestamp_ntz")
+    new = spark.range(1000).select(F.col("id").cast("string").alias("subid"), day.alias("obsfulldt"))
+    for name in ("locid", "userdisplayname"):
+        new = new.withColumn(name, F.lit(None).cast("string"))
+    publication.write("mrr_checklist", new.withColumn("numspecies", F.lit(1)).withColumn("arrived", day))
+    publication.publish()
+    assert all(p.name.endswith(".zstd.parquet") for p in data_files(tmp_path / "mrr_checklist"))
+    assert warehouse.table("mrr_checklist").count() == 1000
