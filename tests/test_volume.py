@@ -6,8 +6,9 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from checks import feed_checks
+from checks import feed_checks, roles
 from tidemark.operators import keyfilter
+from tidemark.plans import reports
 from tidemark.sources import feeds
 from tidemark.sources.warehouse import Warehouse
 
@@ -84,3 +85,77 @@ def test_stored_tables_are_compressed_well(spark, tmp_path):
     publication.publish()
     assert all(p.name.endswith(".zstd.parquet") for p in data_files(tmp_path / "mrr_checklist"))
     assert warehouse.table("mrr_checklist").count() == 1000
+
+
+@pytest.fixture()
+def large(spark):
+    """No table is small enough to be broadcast."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def star(spark):
+    ids = spark.range(0, 300, 1, 3)
+    facts = ids.select(
+        (F.col("id") % 60).alias("subid"), (F.col("id") % 7).alias("speciescode"),
+        F.when(F.col("id") % 5 > 0, F.col("id") % 6).alias("locid"),
+        F.timestamp_add("DAY", (F.col("id") % 90).cast("int"), F.lit(datetime(1998, 1, 1)).cast("timestamp_ntz")).alias("obsdt"),
+        F.when(F.col("id") % 11 > 0, F.col("id").cast("int")).alias("howmany"),
+    )
+    places = spark.range(6).select(
+        F.col("id").alias("locid"), F.concat(F.lit("l"), F.col("id") % 5).alias("locname"),
+        F.when(F.col("id") > 0, F.concat(F.lit("c"), F.col("id") % 2)).alias("countryname"),
+        F.concat(F.lit("s"), F.col("id") % 3).alias("subregionname"))
+    return facts.dropDuplicates(["subid", "speciescode"]), places
+
+
+def test_facts_meet_their_checklists_where_they_were_reduced(spark, lines, large):
+    """One shuffle by checklist serves the reduction and the join, and nothing is sorted before it."""
+    spark.range(500).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 40).alias("o_custkey"), F.lit("1-URGENT").alias("o_orderpriority"),
+        F.lit(5000.0).alias("o_totalprice"), F.lit(datetime(1998, 1, 1)).cast("timestamp_ntz").alias("o_orderdate"),
+    ).write.parquet(str(lines / "orders.parquet"))
+    fact = roles.fact(spark, str(lines))
+    text = plan(fact)
+    assert text.count("Exchange hashpartitioning") == 2
+    below = text.split("Exchange hashpartitioning")[1]
+    assert "l_orderkey" in text and "SortAggregate" not in below
+    lines_of = spark.read.parquet(str(lines / "lineitem.parquet"))
+    assert fact.count() == lines_of.select("l_orderkey", "l_partkey").distinct().count()
+    assert fact.filter("locid <> subid % 40 or locid is null").count() == 0
+
+
+def test_the_report_shuffles_no_descriptive_column_more_often_than_needed(spark, large):
+    facts, places = star(spark)
+    checklists = spark.range(60).select(F.col("id").alias("subid"), F.lit("me").alias("userdisplayname"), F.lit(3).alias("numspecies"))
+    species = spark.range(7).select(F.col("id").alias("speciescode"), F.lit("bird").alias("comname"), F.lit("f").alias("familycomname"))
+    dealt = facts.repartition("subid")
+    report = reports.star_report(dealt, None, places, species, checklists)
+    # Facts: by checklist once, by place, by species; and each dimension once. Their names go into later shuffles only.
+    assert plan(report).count("Exchange hashpartitioning(subid") == plan(dealt).count("Exchange hashpartitioning(subid") + 1
+    assert report.count() == facts.count()
+    assert report.filter("userdisplayname is null or comname is null").count() == 0
+    assert report.filter("locname is null").count() == facts.filter("locid is null").count()
+
+
+def test_levels_of_geography_are_summed_up_without_copies_of_every_row(spark):
+    facts, places = star(spark)
+    report = reports.species_geography(facts, places)
+    assert "Expand" not in plan(report)
+    joined = facts.join(places, "locid", "left")
+    joined.createOrReplaceTempView("volume_geography")
+    wanted = spark.sql("""
+        SELECT speciescode, countryname, subregionname, locname, CAST(sum(howmany) AS BIGINT) AS individuals, count(*) AS checklists,
+               CAST(grouping(countryname) * 4 + grouping(subregionname) * 2 + grouping(locname) AS INT) AS place_level
+        FROM volume_geography GROUP BY speciescode, ROLLUP (countryname, subregionname, locname)""")
+    assert report.columns == wanted.columns and report.dtypes == wanted.dtypes
+    assert report.exceptAll(wanted).count() == 0 and wanted.exceptAll(report).count() == 0
