@@ -12,6 +12,7 @@ from tidemark.plans import reports
 from tidemark.schemas import MEASURES
 from tidemark.session import work_dir
 from tidemark.sources import oplog
+from tidemark.sources.staging import settle
 
 
 @check(
@@ -83,16 +84,20 @@ def seasonal_diversity_sketches(spark, sf):
     With the exact counts, and whether each estimate lies within three standard errors of it.
     """
     facts, places = fact(spark, sf), locations(spark, sf)
+    # Sketches and exact counts read the same facts, which are worked out once.
+    facts, _ = settle(facts.select("speciescode", "locid", "obsdt", "howmany"), work_dir(spark, "facts"))
     path = work_dir(spark, "sketches")
     reports.diversity_sketches(facts, places).write.parquet(path)
     stored = spark.read.parquet(path)
     named = facts.join(places.select("locid", "countryname", "subregionname"), "locid", "left")
     named = named.select("speciescode", "countryname", "subregionname", F.year("obsdt").alias("year"), F.quarter("obsdt").alias("quarter"))
+    # Dealt out by species, both levels count each species where it lies.
+    named = named.repartition("speciescode").distinct()
     columns = ["year", "quarter", "countryname", "subregionname"]
     out = []
     for level, by in (("quarter and country", columns[:3]), ("year and subregion", [columns[0], *columns[2:]])):
         estimated = reports.diversity_over(stored, *by).withColumnRenamed("species", "estimate")
-        exact = named.groupBy(*by).agg(F.countDistinct("speciescode").alias("species"))
+        exact = named.select("speciescode", *by).distinct().groupBy(*by).agg(F.count("speciescode").alias("species"))
         renamed = exact.select(*[F.col(c).alias(f"exact_{c}") for c in by], "species")
         same = F.lit(True)
         for c in by:

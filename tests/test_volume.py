@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from checks import feed_checks, roles
+from checks import feed_checks, reporting, roles
 from tidemark.operators import keyfilter
 from tidemark.plans import reports
 from tidemark.sources import feeds
@@ -159,3 +159,19 @@ def test_levels_of_geography_are_summed_up_without_copies_of_every_row(spark):
         FROM volume_geography GROUP BY speciescode, ROLLUP (countryname, subregionname, locname)""")
     assert report.columns == wanted.columns and report.dtypes == wanted.dtypes
     assert report.exceptAll(wanted).count() == 0 and wanted.exceptAll(report).count() == 0
+
+
+def test_sketches_and_exact_counts_work_the_facts_out_once(spark, tmp_path, monkeypatch):
+    facts, places = star(spark)
+    facts.write.parquet(str(tmp_path / "given_facts"))
+    monkeypatch.setattr(reporting, "fact", lambda spark, sf: spark.read.parquet(str(tmp_path / "given_facts")))
+    monkeypatch.setattr(reporting, "locations", lambda spark, sf: places)
+    found = reporting.seasonal_diversity_sketches(spark, "")
+    # What is returned reads the settled facts, not what they were worked out from.
+    assert "given_facts" not in plan(found)
+    parts = [F.year("obsdt").alias("year"), F.quarter("obsdt").alias("quarter")]
+    named = facts.join(places, "locid", "left").select("*", *parts)
+    wanted = named.groupBy("year", "quarter", "countryname").agg(
+        F.countDistinct("speciescode").alias("species"), F.sum(F.col("howmany").cast("long")).alias("individuals"))
+    got = found.filter("level = 'quarter and country'").select(*wanted.columns)
+    assert got.exceptAll(wanted).count() == 0 and wanted.exceptAll(got).count() == 0
