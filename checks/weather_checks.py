@@ -16,7 +16,7 @@ from tidemark.plans.model import build_model
 from tidemark.plans.stage import stage
 from tidemark.schemas import FEEDS, MEASURES
 from tidemark.session import work_dir
-from tidemark.sources import staging
+from tidemark.sources import feeds, staging
 from tidemark.sources.warehouse import Warehouse
 
 RUN = datetime(2024, 2, 1, 6)
@@ -276,7 +276,7 @@ def _feed_to_fact(spark, sf, on_failure: str, on_conflict: str, errors: int) ->
         answers = responses(spark, sf, errors).withColumn("loc_id", user("loc_id"))
         warmer = F.transform("data", lambda r: r.withField("tavg", r["tavg"] + 100 * turn))
         landed = answers.withColumn("data", warmer).withColumn("day", F.col("obsdt"))
-        landed.write.mode("append").partitionBy("day").json(f"{landing}/weather")
+        feeds.packed(landed).mode("append").partitionBy("day").json(f"{landing}/weather")
         ingest_weather(
             spark, landing, warehouse, f"weather-{turn}", RUN, on_conflict, on_failure, multi_line=False, by_day=True
         )

@@ -1,12 +1,14 @@
 """What jobs leave on disk: landed feeds, intermediates and shuffles stay in proportion to what they hold."""
 
+import zlib
 from datetime import datetime
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from checks import feed_checks, reporting, roles
+from checks import feed_checks, reporting, roles, weather_checks
+from checks import star as star_checks
 from tidemark.operators import keyfilter
 from tidemark.plans import reports
 from tidemark.sources import feeds
@@ -59,6 +61,70 @@ def test_set_aside_copies_are_compressed_and_whole(spark, lines):
         assert size(data_files(folder)) * 4 < read.agg(F.sum(F.length("value") + 1)).first()[0]
 
 
+def test_exploded_views_write_in_proportion_to_their_lines(spark, lines):
+    """Ten times the line items leave ten times the landing, a fraction of its text, and all of them are read back."""
+    once = spark.read.parquet(str(lines / "lineitem.parquet"))
+    copies = once.crossJoin(spark.range(10)).withColumn("l_orderkey", F.col("l_orderkey") + 500 * F.col("id")).drop("id")
+    copies.repartition(2, "l_orderkey").write.parquet(str(lines / "ten" / "lineitem.parquet"))
+    landed = {}
+    for n, folder in ((1, lines), (10, lines / "ten")):
+        views = feed_checks.obs_explode(spark, str(folder))
+        assert views.count() == 4000 * n and views.select("obsId").distinct().count() == 4000 * n
+        path = Path(views.inputFiles()[0].removeprefix("file:")).parent
+        landed[n] = size(data_files(path))
+        text = spark.read.text(str(path)).agg(F.sum(F.length("value") + 1)).first()[0]
+        assert landed[n] * 4 < text
+    assert landed[10] < 11 * landed[1]
+
+
+def test_landing_is_packed_at_the_fastest_level(spark, lines):
+    """The default level takes twice the CPU to land and leaves less: what is landed is larger than that."""
+    landed = str(lines / "landed")
+    feed_checks.land_observations(spark, str(lines), landed)
+    for p in data_files(landed):
+        text = zlib.decompress(p.read_bytes(), wbits=31)
+        assert p.stat().st_size > 1.1 * len(zlib.compress(text, 6))
+
+
+def test_dictionaries_and_weather_land_packed(spark, tmp_path, monkeypatch):
+    sf, day = str(tmp_path), F.lit(datetime(2024, 1, 5)).cast("timestamp_ntz")
+    ids = spark.range(300)
+    ids.selectExpr(
+        "id AS c_custkey", "concat('c', id) AS c_name", "cast(id % 5 AS int) AS c_nationkey", "cast(id AS double) AS c_acctbal"
+    ).write.parquet(f"{sf}/customer.parquet")
+    ids.limit(5).selectExpr(
+        "cast(id AS int) AS n_nationkey", "concat('n', id) AS n_name", "cast(id % 2 AS int) AS n_regionkey"
+    ).write.parquet(f"{sf}/nation.parquet")
+    ids.limit(2).selectExpr("cast(id AS int) AS r_regionkey", "concat('r', id) AS r_name").write.parquet(f"{sf}/region.parquet")
+    ids.select(F.col("id").alias("o_custkey"), day.alias("o_orderdate")).write.parquet(f"{sf}/orders.parquet")
+    ids.selectExpr("id AS p_partkey", "concat('p', id) AS p_name", "'t' AS p_type", "'b' AS p_brand").write.parquet(f"{sf}/part.parquet")
+    ids.select(
+        F.col("id").alias("event_id"), (F.col("id") % 40).alias("user_id"),
+        F.timestamp_add("DAY", (F.col("id") % 3).cast("int"), day).alias("ts"),
+        F.when(F.col("id") % 2 == 0, "purchase").otherwise("click").alias("event_type"), F.lit(3.0).alias("value"),
+    ).write.parquet(f"{sf}/events.parquet")
+
+    dictionaries = tmp_path / "dictionaries"
+    star_checks._land_dictionaries(spark, sf, str(dictionaries))
+    for feed, n in (("hotspots", 300), ("countries", 2), ("subregions", 5), ("taxonomy", 300)):
+        assert all(p.name.endswith(".json.gz") for p in data_files(dictionaries / feed))
+        assert feeds.read_dictionary(spark, str(dictionaries / feed), feed, multi_line=False).count() == n
+
+    class Landed(Exception):
+        pass
+
+    def stop(spark, landing, *rest, **more):
+        raise Landed(landing)
+
+    monkeypatch.setattr(weather_checks, "ingest_weather", stop)
+    with pytest.raises(Landed) as landed:
+        weather_checks._feed_to_fact(spark, sf, "skip", "ignore", errors=2)
+    path = str(landed.value) + "/weather"
+    assert data_files(path) and all(p.name.endswith(".json.gz") for p in data_files(path))
+    users = spark.read.parquet(f"{sf}/events.parquet").select("user_id", "ts").distinct().count()
+    assert feeds.read_weather(spark, path, multi_line=False).count() == users
+
+
 def test_filter_sizes_meet_the_keys_without_a_shuffle(spark):
     """With Spark's own broadcasts off: the keys of a table are not dealt out by part only to learn how large each part is."""
     rows = spark.range(0, 5000, 1, 4).select((F.col("id") % 3).cast("string").alias("part"), F.col("id").alias("key"))
