@@ -126,8 +126,10 @@ def ingest_feeds(
     def checklists(publication: Publication, rows: DataFrame) -> None:
         arrived = clock()
         timed = clean.clean_checklists(rows).filter(F.col("obsfulldt").isNotNull())
-        merge_arrivals(publication, "mrr_location", clean.flatten_locations(rows), ["obsfulldt"], arrived)
-        merge_arrivals(publication, "mrr_checklist", timed, ["obsfulldt"], arrived)
+        # Both are made distinct, which is worked out once, however often the merges read them.
+        for name, distinct in (("mrr_location", clean.flatten_locations(rows)), ("mrr_checklist", timed)):
+            stored, seen = settle(distinct, f"{work_dir(spark, 'batch')}/{name}")
+            merge_arrivals(publication, name, stored, ["obsfulldt"], arrived, seen["rows"])
 
     def views(publication: Publication, rows: DataFrame) -> None:
         observations = clean.clean_observations(clean.explode_observations(rows))
