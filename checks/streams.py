@@ -144,4 +144,6 @@ def stream_feeds(spark, sf):
     checklists = warehouse.table("mrr_checklist").select("subid", "locid", "obsfulldt")
     places = warehouse.table("mrr_location").select("locid", "locname", "subnational1name")
     observed = warehouse.table("mrr_observation").select("subid", "speciescode", "obsid", "obsdt")
-    return observed.join(checklists, "subid").join(places, "locid")
+    # Places meet the checklists first, so that the observations are shuffled once.
+    placed = checklists.join(places, "locid")
+    return observed.join(placed, "subid").select("locid", "subid", "speciescode", "obsid", "obsdt", "obsfulldt", "locname", "subnational1name")

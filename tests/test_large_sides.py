@@ -198,3 +198,30 @@ def test_a_matched_key_is_found_once_for_months_and_merge(spark, tmp_path, few,
     source = spark.createDataFrame([checklist("S1-1", 5), *[checklist(f"N{i}", 2) for i in range(9)]], CHECKLIST)
     warehouse = merged(stored(spark, tmp_path), source, source_rows=10)
     assert names == ["mrr_checklist"] and warehouse.table("mrr_checklist").count() == 30
+
+
+def test_intermediates_go_when_their_step_has_published(spark, tmp_path, monkeypatch):
+    """Also without an owner: what a step has stored for itself does not stay on disk while later steps run."""
+    from tidemark.plans import model
+    from tidemark.sources import staging
+    from tidemark.streaming import ingest
+
+    made = []
+    for module in (mirror, model, ingest):
+        monkeypatch.setattr(module, "work_dir", lambda spark, purpose: made.append(str(tmp_path / f"{purpose}-{len(made)}")) or made[-1])
+    landed = tmp_path / "landing"
+    record = '{"locId":"L1","subId":"S1","userDisplayName":"me","numSpecies":1,"obsDt":"8 Aug 2023","obsTime":"07:05","loc":{"locId":"L1","locName":"here"}}'
+    view = '{"obs":[{"speciesCode":"a","obsDt":"2023-08-08 07:05","subId":"S1","obsId":"O1","howManyStr":"1","present":true}]}'
+    for feed, text in (("checklists", record), ("observations", view)):
+        (landed / feed).mkdir(parents=True)
+        (landed / feed / "a.json").write_text(text + "\n")
+    warehouse, batch = Warehouse(spark, str(tmp_path / "w")), Warehouse(spark, str(tmp_path / "b"))
+    ingest.ingest_feeds(spark, str(landed), warehouse, str(tmp_path / "c"), "feeds", multi_line=False)
+    mirror.ingest_observations(spark, str(landed), batch, "i", datetime(2024, 1, 1), multi_line=False)
+    for stored in (warehouse, batch):
+        assert stored.table("mrr_observation").count() == stored.table("mrr_checklist").count() == stored.table("mrr_location").count() == 1
+    empty = {name: spark.createDataFrame([], schema) for name, schema in staging.STAGING.items()}
+    staging.write_batch(empty, str(tmp_path / "staged"))
+    model.build_model(batch, staging.read_batch(spark, str(tmp_path / "staged")), "m")
+    kept = [p for p in made if (tmp_path / p).exists() and not p.rsplit("/", 1)[1].startswith(("merge", "held"))]
+    assert len(made) >= 5 and not kept

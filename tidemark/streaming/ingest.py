@@ -69,10 +69,11 @@ def _once(
         if warehouse.published(batch_id):
             return
         # The files of a batch are read once, however often the steps below use their rows.
-        rows, _ = settle(rows, work_dir(warehouse.spark, "batch"))
+        rows, _ = settle(rows, work := work_dir(warehouse.spark, "batch"))
         publication = warehouse.begin(batch_id)
         apply(publication, rows)
         publication.publish()
+        remove(warehouse.spark, work)
 
     return run
 
@@ -128,8 +129,9 @@ def ingest_feeds(
         timed = clean.clean_checklists(rows).filter(F.col("obsfulldt").isNotNull())
         # Both are made distinct, which is worked out once, however often the merges read them.
         for name, distinct in (("mrr_location", clean.flatten_locations(rows)), ("mrr_checklist", timed)):
-            stored, seen = settle(distinct, f"{work_dir(spark, 'batch')}/{name}")
+            stored, seen = settle(distinct, work := work_dir(spark, "batch"))
             merge_arrivals(publication, name, stored, ["obsfulldt"], arrived, seen["rows"])
+            remove(spark, work)
 
     def views(publication: Publication, rows: DataFrame) -> None:
         observations = clean.clean_observations(clean.explode_observations(rows))
